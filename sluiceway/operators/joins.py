@@ -120,4 +120,4 @@ def programme_projects(
     matches = (df["user_id"] == holders["role_user"]) & contains_ignore_case(
         holders["project_name"], df["programme"]
     )
-    return df.join(holders, matches).drop("role_user")
+    return df.join(holders, matches).drop("role_user", "role_project")

@@ -6,8 +6,6 @@ already has, so they are fixed values.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Outbox columns, present on every relation in OUTBOX_RELATIONS.
 FLAG = "send_to_commcare"
 STATUS = "send_to_commcare_status"
@@ -20,94 +18,91 @@ COMPLETE = "Complete"
 FAILED = "Failed"
 
 
-def _struct(columns: str, outbox: bool = False) -> T.StructType:
-    if outbox:
-        columns += f", {FLAG} boolean, {STATUS} string, {UPDATED} timestamp"
-    return T.StructType.fromDDL(columns)
-
+_OUTBOX = f", {FLAG} boolean, {STATUS} string, {UPDATED} timestamp"
 
-RELATIONS: dict[str, T.StructType] = {
-    "projects": _struct(
+# Schemas are DDL text, which readers take as it is.
+RELATIONS: dict[str, str] = {
+    "projects": (
         "id string, sf_id string, project_name string, project_unique_id string"
     ),
-    "users": _struct(
+    "users": (
         "id string, sf_id string, first_name string, middle_name string,"
         " last_name string, status string"
     ),
-    "project_staff_roles": _struct(
+    "project_staff_roles": (
         "id string, sf_id string, project_id string, staff_id string, tns_id string,"
-        " role string, commcare_location_id string, commcare_case_id string",
-        outbox=True,
+        " role string, commcare_location_id string, commcare_case_id string"
+        + _OUTBOX
     ),
-    "training_modules": _struct(
+    "training_modules": (
         "id string, project_id string, module_name string, module_number int,"
         " current_previous string, current_module boolean, is_deleted boolean,"
         " updated_at timestamp"
     ),
-    "farmer_groups": _struct(
+    "farmer_groups": (
         "id string, sf_id string, tns_id string, commcare_case_id string,"
         " ffg_name string, status string, project_id string, location_id string,"
         " responsible_staff_id string, focal_farmer_id string,"
-        " assistant_focal_farmer_id string",
-        outbox=True,
+        " assistant_focal_farmer_id string"
+        + _OUTBOX
     ),
-    "locations": _struct("id string, sf_id string, location_name string"),
-    "households": _struct(
+    "locations": ("id string, sf_id string, location_name string"),
+    "households": (
         "id string, sf_id string, household_name string, household_number int,"
         " tns_id string, commcare_case_id string, status string,"
         " visited_for_fv_aa boolean, sampled_for_fv_aa boolean,"
-        " fv_aa_sampling_round int, farm_size decimal(10,2), farmer_group_id string",
-        outbox=True,
+        " fv_aa_sampling_round int, farm_size decimal(10,2), farmer_group_id string"
+        + _OUTBOX
     ),
-    "farmers": _struct(
+    "farmers": (
         "id string, sf_id string, first_name string, middle_name string,"
         " last_name string, age int, gender string, phone_number string,"
         " other_id string, is_primary_household_member boolean, status string,"
         " tns_id string, commcare_case_id string, household_id string,"
-        " farmer_group_id string, is_deleted boolean",
-        outbox=True,
+        " farmer_group_id string, is_deleted boolean"
+        + _OUTBOX
     ),
-    "training_sessions": _struct(
+    "training_sessions": (
         "id string, sf_id string, commcare_case_id string, module_id string,"
-        " farmer_group_id string, date_session_1 date, date_session_2 date",
-        outbox=True,
+        " farmer_group_id string, date_session_1 date, date_session_2 date"
+        + _OUTBOX
     ),
-    "wetmills": _struct(
+    "wetmills": (
         "id string, user_id string, wet_mill_unique_id string,"
         " commcare_case_id string, name string, mill_status string,"
         " exporting_status string, programme string, country string,"
         " manager_name string, manager_role string, comments string, status string,"
-        " mill_external_id string, registration_date date, is_deleted boolean",
-        outbox=True,
+        " mill_external_id string, registration_date date, is_deleted boolean"
+        + _OUTBOX
     ),
-    "wetmill_visits": _struct(
+    "wetmill_visits": (
         "id string, wetmill_id string, visit_date date, is_deleted boolean"
     ),
-    "wv_survey_responses": _struct(
+    "wv_survey_responses": (
         "form_visit_id string, survey_type string, completed_date date"
     ),
 }
 
 # One row per delivery attempt of a document.
-RECEIPTS = _struct("payload_id string, status_code int")
+RECEIPTS = ("payload_id string, status_code int")
 
 # Records another run holds.
-CLAIMS = _struct("entity string, id string, run_id string, open boolean")
+CLAIMS = ("entity string, id string, run_id string, open boolean")
 
 # One row per record whose outbox state changes; appended, never updated.
-CHANGES = _struct(
+CHANGES = (
     f"entity string, id string, {FLAG} boolean, {STATUS} string,"
     f" {UPDATED} timestamp, run_id string, step int"
 )
 
 # One row per document to deliver.
-DOCUMENTS = _struct(
+DOCUMENTS = (
     "entity string, run_id string, payload_id string, unique_project_key string,"
     " chunk long, n_items int, body string"
 )
 
 # One row per record placed in a document (more than one when joins fan out).
-MEMBERS = _struct(
+MEMBERS = (
     "entity string, id string, unique_project_key string, pos long, chunk long,"
     " payload_id string"
 )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluiceway.schemas import CHANGES, FLAG, RECEIPTS, RELATIONS, STATUS, UPDATED
+from sluiceway.schemas import CHANGES, FLAG, RELATIONS, STATUS, UPDATED
 
 
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -19,14 +19,13 @@ def load_all(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def read_receipts(df: DataFrame) -> DataFrame:
     """Delivery receipts, checked for the columns and types they need."""
-    found = {f.name: f.dataType for f in df.schema}
-    for field in RECEIPTS:
-        if field.name not in found:
-            raise ValueError(f"receipts lack column {field.name}")
-    integral = ("tinyint", "smallint", "int", "bigint")
-    if found["payload_id"].simpleString() != "string":
+    found = dict(df.dtypes)
+    for column in ("payload_id", "status_code"):
+        if column not in found:
+            raise ValueError(f"receipts lack column {column}")
+    if found["payload_id"] != "string":
         raise ValueError("receipts.payload_id must be a string")
-    if found["status_code"].simpleString() not in integral:
+    if found["status_code"] not in ("tinyint", "smallint", "int", "bigint"):
         raise ValueError("receipts.status_code must be an integer")
     return df.select("payload_id", F.col("status_code").cast("int"))
 

@@ -9,7 +9,6 @@ tables grow.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +25,24 @@ ROLES = ("Farmer Trainer", "Field Officer")
 CUSTOMERS_PER_STAFF = 15
 WETMILL_KEY = "asia"
 
+# Schemas of the tables, so that reading one needs no look at its files first.
+STAR_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,"
+    " value double, props string",
+}
+
 RELATION_NAMES = (
     "projects",
     "users",
@@ -339,6 +356,21 @@ def claims(t: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+class StarTables(dict):
+    """The star schema's own tables, each read when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        super().__init__()
+        self.spark = spark
+        self.root = root
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.spark.read.schema(STAR_TABLES[name]).parquet(
+            f"{self.root}/{name}.parquet"
+        )
+        return self[name]
+
+
 class StarSchema(Mapping):
     """The relations over one folder of star-schema parquet files."""
 
@@ -346,13 +378,7 @@ class StarSchema(Mapping):
         self.spark = spark
         self.root = root
         self.leaders = leaders
-
-    @cached_property
-    def base(self) -> dict[str, DataFrame]:
-        names = (
-            "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"
-        )
-        return {n: self.spark.read.parquet(f"{self.root}/{n}.parquet") for n in names}
+        self.base = StarTables(spark, root)
 
     def __getitem__(self, name: str) -> DataFrame:
         if name == "farmer_groups":
