@@ -76,28 +76,3 @@ def state_changes(
         F.lit(run_id).alias("run_id"),
         F.lit(step).alias("step"),
     )
-
-
-def apply_changes(state: DataFrame, changes: DataFrame) -> DataFrame:
-    """``state`` with each changed record's flag, status and time replaced.
-
-    ``changes`` holds at most one row per id.
-    """
-    new = changes.select(
-        F.col("id").alias("changed_id"),
-        F.col(FLAG).alias("new_flag"),
-        F.col(STATUS).alias("new_status"),
-        F.col(UPDATED).cast(state.schema[UPDATED].dataType).alias("new_updated"),
-    )
-    hit = F.col("changed_id").isNotNull()
-    return (
-        state.join(new, F.col("id") == F.col("changed_id"), "left")
-        .withColumns(
-            {
-                FLAG: F.when(hit, F.col("new_flag")).otherwise(F.col(FLAG)),
-                STATUS: F.when(hit, F.col("new_status")).otherwise(F.col(STATUS)),
-                UPDATED: F.when(hit, F.col("new_updated")).otherwise(F.col(UPDATED)),
-            }
-        )
-        .select(*state.columns)
-    )

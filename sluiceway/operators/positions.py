@@ -15,6 +15,20 @@ from sluiceway.session import write_once
 _INDEX_BITS = 33
 
 
+def numbered_ranges(df: DataFrame, by: Sequence[Column]) -> DataFrame:
+    """Written copy of ``df`` in sorted ranges: ``__row`` rises with the order,
+    by one inside each range, whose number is ``__part``.
+    """
+    numbered = (
+        df.repartitionByRange(*by)
+        .sortWithinPartitions(*by)
+        .withColumn("__row", F.monotonically_increasing_id())
+    )
+    return write_once(numbered, "positions").withColumn(
+        "__part", F.shiftright("__row", _INDEX_BITS)
+    )
+
+
 def with_positions(
     df: DataFrame,
     keys: Sequence[str],
@@ -37,14 +51,7 @@ def with_positions(
         return df.withColumn(name, F.row_number().over(ranking).cast("bigint"))
 
     by = [F.col(k).asc_nulls_first() for k in keys] + list(order)
-    numbered = (
-        df.repartitionByRange(*by)
-        .sortWithinPartitions(*by)
-        .withColumn("__row", F.monotonically_increasing_id())
-    )
-    placed = write_once(numbered, "positions").withColumn(
-        "__part", F.shiftright("__row", _INDEX_BITS)
-    )
+    placed = numbered_ranges(df, by)
     runs = placed.groupBy(*keys, "__part").agg(
         F.min("__row").alias("__start"), F.count("*").alias("__n")
     )

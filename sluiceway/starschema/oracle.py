@@ -38,7 +38,7 @@ _CUSTOMER_TIME = (
 )
 _FARMER_ID = (
     "l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-'"
-    " || strftime(l_shipdate, '%Y%m%d')"
+    " || date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))"
 )
 _GROUP_COLUMNS = f"""
     CAST(c_custkey AS VARCHAR) AS id,

@@ -234,11 +234,9 @@ def households(t: Mapping[str, DataFrame]) -> DataFrame:
 
 def farmers(t: Mapping[str, DataFrame]) -> DataFrame:
     line = F.col("l_linenumber")
-    record = F.concat_ws(
-        "-",
-        *[_text(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-        F.date_format("l_shipdate", "yyyyMMdd"),
-    )
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    shipped = F.unix_date(F.col("l_shipdate").cast("date"))
+    record = F.concat_ws("-", *[_text(c) for c in keys], _text(shipped))
     flagged = F.when(line != 4, F.col("l_linestatus") == "O")
     return pick(
         t["lineitem"],

@@ -1,0 +1,103 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from sluiceway.functions import expressions as E
+from sluiceway.functions.predicates import contains_ignore_case
+
+
+def values(spark, ddl, rows, *columns):
+    out = spark.createDataFrame(rows, ddl).select(*columns).collect()
+    return [tuple(r) if len(columns) > 1 else r[0] for r in out]
+
+
+def test_prefer_id_treats_empty_as_missing(spark):
+    rows = [(None, "1"), ("", "2"), ("x", "3"), (None, None), ("", "")]
+    assert values(spark, "a string, b string", rows, E.prefer_id("a", "b")) == [
+        "1", "2", "x", None, "",
+    ]
+
+
+def test_full_name_joins_non_empty_parts(spark):
+    rows = [("A", "", "B"), ("A", None, "B"), ("", None, ""), ("A", "M", "B"), (None, None, "B")]
+    assert values(spark, "a string, b string, c string", rows, E.full_name("a", "b", "c")) == [
+        "A B", "A B", "", "A M B", "B",
+    ]
+
+
+def test_join_names_is_null_when_either_name_is(spark):
+    rows = [(1, "a", None), (2, "a", "b"), (2, None, "b"), (2, "a", None), (1, None, None), (3, "a", "b")]
+    got = values(spark, "n int, a string, b string", rows, E.join_names("n", "a", "b"))
+    assert got == ["a", "a & b", None, None, None, None]
+
+
+def test_boolean_texts(spark):
+    rows = [(True,), (False,), (None,)]
+    got = values(spark, "b boolean", rows, E.yes_no("b"), E.true_false("b"), E.py_bool("b"))
+    assert got == [("Yes", "TRUE", "True"), ("No", "FALSE", "False"), ("No", "FALSE", None)]
+
+
+def test_underscore_and_empty_to_null(spark):
+    rows = [("Farmer Trainer Lead",), ("",), (None,)]
+    got = values(spark, "a string", rows, E.underscore("a"), E.empty_to_null("a"))
+    assert got == [("Farmer_Trainer_Lead", "Farmer Trainer Lead"), ("", None), (None, None)]
+
+
+def test_dates_and_casts(spark):
+    rows = [(dt.date(2024, 2, 29), dt.datetime(2024, 1, 2, 23, 59)), (None, None)]
+    df = spark.createDataFrame(rows, "d date, t timestamp")
+    assert [tuple(r) for r in df.select(E.iso_date("d"), E.iso_date("t")).collect()] == [
+        ("2024-02-29", "2024-01-02"), (None, None),
+    ]
+    cast = E.cast_all(df, {"d": "string", "t": "date"})
+    assert cast.dtypes == [("d", "string"), ("t", "date")]
+
+
+def test_decimal_text_keeps_its_scale(spark):
+    df = spark.sql("SELECT CAST(1.5 AS DECIMAL(10,2)) AS x")
+    assert E.cast_all(df, {"x": "string"}).first()[0] == "1.50"
+
+
+def test_run_time_ignores_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        moment = dt.datetime(2024, 5, 6, 7, 8, 9)
+        for value in (moment, "2024-05-06 07:08:09"):
+            got = spark.range(1).select(E.run_time(value, "timestamp_ntz")).first()[0]
+            assert got == moment
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_json_keeps_nulls(spark):
+    df = spark.sql("SELECT named_struct('a', CAST(NULL AS STRING), 'b', 1) AS s")
+    assert df.select(E.to_json_keep_nulls("s")).first()[0] == '{"a":null,"b":1}'
+
+
+def test_doc_id_is_stable_and_tells_null_from_empty(spark):
+    rows = [("e", "r", None, 0), ("e", "r", "", 0), ("e", "r", "k", 0), ("e", "r", "k", 1), ("e", "r", "k", 0)]
+    ids = values(spark, "e string, r string, k string, c int", rows, E.doc_id("e", "r", "k", "c"))
+    assert len(set(ids)) == 4 and ids[2] == ids[4]
+
+
+def test_contains_ignore_case_is_a_like_pattern(spark):
+    rows = [
+        ("Coffee One", "FEE", True),
+        ("Coffee One", "c_ffee", True),
+        ("Coffee One", "c%one", True),
+        ("Coffee One", "tea", False),
+        ("Coffee One", None, None),
+        (None, "x", None),
+        ("Coffee One", "", True),
+        # A backslash makes the next character stand for itself.
+        ("10% fair", r"10\%", True),
+        ("100 fair", r"10\%", False),
+        ("a_b", r"a\_b", True),
+        ("axb", r"a\_b", False),
+        ("Coffee One", r"co\ffee", True),
+        (r"a\b", r"a\\b", True),
+        ("50%", "50\\", True),
+    ]
+    df = spark.createDataFrame(rows, "text string, part string, want boolean")
+    got = df.select(contains_ignore_case(F.col("text"), F.col("part")).alias("got"), "want")
+    assert [r.got for r in got.collect()] == [r[2] for r in rows]
