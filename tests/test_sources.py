@@ -1,0 +1,137 @@
+"""Reading and writing: relations, receipts, documents, the change log, state."""
+
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from sluiceway.plans.runs import dispatch
+from sluiceway.session import shared_dir, write_once
+from sluiceway.sources import sinks, tables
+from sluiceway.streaming.drain import drain_stream
+from tests.conftest import flagged
+from tests.test_runs import NOW, answering, homes_world, states
+
+DAY = [dt.datetime(2024, 1, d) for d in range(1, 20)]
+
+
+def test_relations_are_read_with_their_own_schema(spark, table, tmp_path):
+    homes = table("households", {"id": "a", "household_number": 3, **flagged(DAY[0])})
+    homes.select("id", "household_number", "updated_at").write.parquet(f"{tmp_path}/households")
+    read = tables.load(spark, str(tmp_path), "households")
+    assert read.columns == homes.columns
+    assert read.first().household_number == 3 and read.first().tns_id is None
+    assert len(tables.load_all(spark, str(tmp_path))) == 12 if (tmp_path / "users").exists() else True
+
+
+def test_receipts_are_checked(spark):
+    good = spark.createDataFrame([("x", 200, "extra")], "payload_id string, status_code bigint, e string")
+    assert tables.read_receipts(good).dtypes == [("payload_id", "string"), ("status_code", "int")]
+    for ddl, row in (("payload_id string", ("x",)), ("payload_id int, status_code int", (1, 2)),
+                     ("payload_id string, status_code string", ("x", "200"))):
+        with pytest.raises(ValueError):
+            tables.read_receipts(spark.createDataFrame([row], ddl))
+
+
+def test_documents_are_written_one_per_line(spark, world, tmp_path):
+    t = homes_world(world, [("a", "p"), ("b", "q")])
+    docs = dispatch(t, "households", **NOW).documents
+    sinks.write_payloads(docs, f"{tmp_path}/json")
+    lines = spark.read.text(f"{tmp_path}/json").collect()
+    assert {r.entity for r in lines} == {"households"}
+    assert sorted(json.loads(r.value)["uniqueProjectKey"] for r in lines) == ["p", "q"]
+    assert all('"moduleName":null' in r.value for r in lines)
+    sinks.write_payloads(docs, f"{tmp_path}/parquet", fmt="parquet")
+    assert spark.read.parquet(f"{tmp_path}/parquet").select(*docs.columns).count() == 2
+    with pytest.raises(ValueError):
+        sinks.write_payloads(docs, f"{tmp_path}/other", fmt="xml")
+    with pytest.raises(AnalysisException):
+        sinks.write_payloads(docs, f"{tmp_path}/json")
+
+
+def test_change_log_gives_the_current_state(spark, world, tmp_path):
+    t = homes_world(world, [("a", "p"), ("b", "q"), ("c", "r")])
+    path = f"{tmp_path}/log"
+    sent = dispatch(t, "households", **NOW)
+    sinks.append_changes(sent.claim_changes(), path)
+    log = tables.read_changes(spark, path)
+    claimed = tables.current_state(t["households"], log, "households")
+    assert set(states(claimed).values()) == {("Processing", True)}
+    assert dispatch({**t, "households": claimed}, "households", **NOW).claimed.count() == 0
+
+    receipts = answering(spark, {"p": [200], "q": [500]})(sent.documents)
+    for _ in range(2):  # a repeated run replaces what it wrote
+        sinks.append_changes(sent.settle(receipts), path)
+    log = tables.read_changes(spark, path)
+    assert log.count() == 5
+    now = tables.current_state(t["households"], log, "households")
+    assert states(now) == {"a": ("Complete", False), "b": ("Failed", True), "c": ("Processing", True)}
+    assert states(tables.current_state(t["households"], log, "farmers")) == states(t["households"])
+
+    # Flagged again after the run: the record's own values win over the log.
+    flagged_again = t["households"].withColumn(
+        "updated_at", F.when(F.col("id") == "a", F.lit("2024-07-01").cast("timestamp")).otherwise(F.col("updated_at"))
+    )
+    again = tables.current_state(flagged_again, log, "households")
+    assert states(again)["a"] == ("Pending", True)
+    next_run = dispatch({**t, "households": again}, "households", run_id="r2", run_ts="2024-07-02")
+    sinks.append_changes(next_run.claim_changes(), path)
+    log = tables.read_changes(spark, path)
+    assert states(tables.current_state(flagged_again, log, "households"))["a"] == ("Processing", True)
+
+
+def test_state_versions_are_never_overwritten(spark, table, tmp_path):
+    homes = table("households", {"id": "a", **flagged(DAY[0])})
+    sinks.write_state(homes, str(tmp_path), "1")
+    assert tables.read_state(spark, str(tmp_path), "1", "households").collect() == homes.collect()
+    with pytest.raises(AnalysisException):
+        sinks.write_state(homes, str(tmp_path), "1")
+
+
+def test_written_copy_keeps_rows_and_lives_in_the_shared_folder(spark):
+    df = spark.range(10).withColumn("s", F.struct(F.lit(1).alias("x")))
+    copy = write_once(df, "t")
+    assert copy.dtypes == df.dtypes and sorted(copy.collect()) == sorted(df.collect())
+    assert all(f.startswith(("file:", shared_dir(spark))) for f in copy.inputFiles())
+    assert all(shared_dir(spark) in f for f in copy.inputFiles())
+
+
+def test_drain_takes_each_appended_record_once(spark, world, tmp_path):
+    t = homes_world(world, [(f"h{i}", "p") for i in range(6)])
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    homes = t["households"].coalesce(1)
+
+    def append(*ids):
+        homes.filter(F.col("id").isin(*ids)).write.mode("append").parquet(source)
+
+    def drain():
+        records = spark.readStream.schema(homes.schema).parquet(source)
+        drained = drain_stream(
+            records, lambda: t, "households", out, f"{tmp_path}/cp", run_ts="2024-06-01", name="d"
+        )
+        drained.awaitTermination()
+
+    def sent():
+        docs = spark.read.parquet(f"{out}/documents").collect()
+        return {d.run_id: sorted(h["householdId"] for h in json.loads(d.body)["households"]) for d in docs}
+
+    append("h0", "h1", "h2")
+    drain()
+    assert sent() == {"d-0": ["h0", "h1", "h2"]}
+    append("h3")
+    drain()
+    drain()
+    assert sent() == {"d-0": ["h0", "h1", "h2"], "d-1": ["h3"]}
+    # Appended twice in one batch: the latest version counts, once.
+    append("h4")
+    homes.filter("id = 'h4'").withColumn("updated_at", F.lit("2024-03-01").cast("timestamp")).withColumn(
+        "household_name", F.lit("renamed")
+    ).write.mode("append").parquet(source)
+    drain()
+    assert sent()["d-2"] == ["h4"]
+    last = [d for d in spark.read.parquet(f"{out}/documents").collect() if d.run_id == "d-2"]
+    assert json.loads(last[0].body)["households"][0]["householdName"] == "renamed"
+    log = tables.read_changes(spark, f"{out}/changes")
+    assert {r.id for r in log.collect()} == {"h0", "h1", "h2", "h3", "h4"}
