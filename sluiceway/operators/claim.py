@@ -38,9 +38,24 @@ def take_first(df: DataFrame, order: list[Column], limit: int | None) -> DataFra
     ).drop("__rank")
 
 
+def take_oldest(df: DataFrame, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows of an outbox table by age and id.
+
+    For a large limit only the ordering columns are ranked; the last row within
+    the limit is then a single value that the scan of the table filters by, so
+    the records themselves are neither sorted nor shuffled.
+    """
+    if limit is None or is_small(limit):
+        return take_first(df, fifo_order(), limit)
+    age = F.struct(F.col(UPDATED).isNull(), F.col(UPDATED), F.col("id"))
+    ranked = with_positions(df.select(UPDATED, "id"), [], fifo_order(), bounded=False, name="rank")
+    last = ranked.filter(F.col("rank") == limit).select(age).scalar()
+    return df.filter(F.coalesce(age <= last, F.lit(True)))
+
+
 def claim_fifo(df: DataFrame, limit: int | None = None) -> DataFrame:
     """Oldest eligible records, picked on the outbox table before any join."""
-    return take_first(eligible(df), fifo_order(), limit)
+    return take_oldest(eligible(df), limit)
 
 
 def claim_grouped(

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.predicates import eligible, eligible_one
-from sluiceway.operators.claim import claim_grouped, fifo_order, is_small, state_changes, take_first
+from sluiceway.operators.claim import claim_grouped, is_small, state_changes, take_oldest
 from sluiceway.operators.joins import exclude_in_flight, stranded
 from sluiceway.operators.packaging import documents, members, place
 from sluiceway.operators.reporting import run_report, run_totals, union_all
@@ -129,7 +129,7 @@ def dispatch(
         joined = spec.enrich(tables, candidates, one)
         claimed = claim_grouped(joined, 1 if one else limit, ties=spec.ties)
     else:
-        claimed = candidates if one else take_first(candidates, fifo_order(), limit)
+        claimed = candidates if one else take_oldest(candidates, limit)
     if bounded:
         claimed = write_once(claimed, f"claim-{spec.entity}")
         if one and claimed.isEmpty():

@@ -1,8 +1,15 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from sluiceway.operators.claim import claim_fifo, claim_grouped, take_first, fifo_order
+from sluiceway.operators.claim import (
+    claim_fifo,
+    claim_grouped,
+    fifo_order,
+    take_first,
+    take_oldest,
+)
 from sluiceway.operators.positions import numbered_ranges, with_positions
 from tests.conftest import flagged
 
@@ -67,15 +74,17 @@ def test_empty_input_has_no_positions(spark):
     assert with_positions(df, ["key"], order(), bounded=False).count() == 0
 
 
-def test_large_limit_takes_the_same_rows_as_a_small_one(spark, monkeypatch):
+@pytest.mark.parametrize("limit", [1, 123, 360, 399, 400, 900])
+def test_large_limit_takes_the_same_rows_as_a_small_one(spark, monkeypatch, limit):
     df = spark.createDataFrame(
         [(None if i % 9 == 0 else 50 - i % 50, str(i)) for i in range(400)],
         "updated_at int, id string",
     )
-    small = {r.id for r in take_first(df, fifo_order(), 123).collect()}
-    monkeypatch.setattr("sluiceway.operators.claim.SMALL_CLAIM", 10)
-    large = {r.id for r in take_first(df, fifo_order(), 123).collect()}
-    assert small == large and len(large) == 123
+    want = {r.id for r in take_first(df, fifo_order(), limit).collect()}
+    assert len(want) == min(limit, 400)
+    monkeypatch.setattr("sluiceway.operators.claim.SMALL_CLAIM", 0)
+    for large in (take_first(df, fifo_order(), limit), take_oldest(df, limit)):
+        assert sorted(r.id for r in large.collect()) == sorted(want)
 
 
 def test_fifo_takes_oldest_first_and_unknown_last(table):
