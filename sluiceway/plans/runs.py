@@ -32,10 +32,6 @@ Deliver = Callable[[DataFrame], DataFrame]
 ENTITY_LIMIT = -1
 
 
-class RecordNotFound(KeyError):
-    """The record does not exist or is not eligible."""
-
-
 @dataclass(frozen=True)
 class Dispatch:
     """A claim and what it sends, before any receipt."""
@@ -79,6 +75,18 @@ class Dispatch:
         return run_report(self.members, receipts, self.spec.entity)
 
 
+class RecordNotFound(KeyError):
+    """There is nothing to send for the record.
+
+    It does not exist or is not eligible; or it was claimed but lacks a parent,
+    in which case ``dispatch`` holds the claim, to be recorded all the same.
+    """
+
+    def __init__(self, record_id: str, sent: Dispatch):
+        super().__init__(record_id)
+        self.dispatch = sent
+
+
 @dataclass(frozen=True)
 class SyncRun:
     dispatch: Dispatch
@@ -132,8 +140,6 @@ def dispatch(
         claimed = candidates if one else take_oldest(candidates, limit)
     if bounded:
         claimed = write_once(claimed, f"claim-{spec.entity}")
-        if one and claimed.isEmpty():
-            raise RecordNotFound(record_id)
     enriched = claimed if spec.claim_after_joins else spec.enrich(tables, claimed, bounded)
     if spec.finish is not None:
         enriched = spec.finish(tables, enriched, bounded)
@@ -180,8 +186,11 @@ def sync_batch(
 def sync_one(
     tables: Tables, entity: EntitySpec | str, record_id: str, deliver: Deliver, **options
 ) -> SyncRun:
-    """One eligible record; raises :class:`RecordNotFound` when there is none."""
-    return sync_batch(tables, entity, deliver, record_id=record_id, **options)
+    """One eligible record; raises :class:`RecordNotFound` when nothing can be sent."""
+    sent = dispatch(tables, entity, record_id=record_id, **options)
+    if sent.members.isEmpty():
+        raise RecordNotFound(record_id, sent)
+    return finish_run(sent, deliver(sent.documents))
 
 
 @dataclass(frozen=True)

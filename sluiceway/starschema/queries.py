@@ -139,7 +139,9 @@ def join_residual_like(t):
 
 @query
 def stranded_claims(t):
-    return _backlog(t, "wetmills").stranded().select("id")
+    claimed = eligible(t["wetmills"])
+    kept = P.enrich_wetmills(t, claimed, group_key=WETMILL_KEY)
+    return J.stranded(claimed, kept).select("id")
 
 
 # Aggregates
@@ -423,7 +425,10 @@ def payload_excludes_empty(t):
 
 @query
 def _group_sizes(t):
-    return group_sizes(_backlog(t, "households").members)
+    rows = P.enrich_households(t, eligible(t["households"]))
+    return group_sizes(rows, "project_unique_id").withColumnRenamed(
+        "project_unique_id", "unique_project_key"
+    )
 
 
 @query

@@ -16,8 +16,8 @@ SCHEMAS = RELATIONS | {"receipts": RECEIPTS, "claims": CLAIMS, "changes": CHANGE
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
+        SparkSession.builder.master("local[8]")
+        .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.maxMetadataStringLength", "10000")
@@ -35,13 +35,16 @@ def spark(tmp_path_factory):
 def table(spark):
     """Make a relation from dicts; columns a row leaves out are null."""
 
+    empty = {name: spark.createDataFrame([], ddl) for name, ddl in SCHEMAS.items()}
+
     def make(name: str, *rows: dict):
-        df = spark.createDataFrame([], SCHEMAS[name])
-        columns = df.columns
+        if not rows:
+            return empty[name]
+        columns = empty[name].columns
         for row in rows:
             assert set(row) <= set(columns), set(row) - set(columns)
         data = [tuple(row.get(c) for c in columns) for row in rows]
-        return spark.createDataFrame(data, df.schema)
+        return spark.createDataFrame(data, empty[name].schema)
 
     return make
 

@@ -235,6 +235,16 @@ def test_one_record(spark, world):
         sync_one(t, "unknown", "b", deliver, **NOW)
 
 
+def test_one_record_without_its_parents_is_claimed_but_not_found(spark, world):
+    t = homes_world(world, [("a", "p")])
+    t["projects"] = t["projects"].filter("id <> 'p'")
+    with pytest.raises(RecordNotFound) as missing:
+        sync_one(t, "households", "a", answering(spark, {}), **NOW)
+    assert [(r.id, r[STATUS]) for r in missing.value.dispatch.claim_changes().collect()] == [
+        ("a", "Processing")
+    ]
+
+
 def test_one_session_is_sent_once_where_joins_repeat_it(spark, world):
     t = world(
         projects=[{"id": "p", "project_unique_id": "p"}],
