@@ -770,6 +770,14 @@ def oracle_sql() -> dict[str, str]:
         "claim_fifo_large": f"""
             SELECT {_STATE} FROM (SELECT * FROM households WHERE {_ELIGIBLE}
                                   ORDER BY {fifo} LIMIT 2500)""",
+        "claim_state": f"""
+            SELECT id, send_to_commcare,
+                CASE WHEN taken THEN 'Processing' ELSE send_to_commcare_status END
+                    AS send_to_commcare_status,
+                CASE WHEN taken THEN {_RUN_WHEN}
+                     ELSE strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') END AS updated_at
+            FROM (SELECT *, id IN (SELECT id FROM households WHERE {_ELIGIBLE}
+                                   ORDER BY {fifo} LIMIT 200) AS taken FROM households)""",
         "claim_by_group": f"""
             SELECT row_number() OVER (ORDER BY project_unique_id ASC NULLS LAST, {fifo},
                 worker_group ASC NULLS LAST) AS pos, id, project_unique_id, worker_group
@@ -836,6 +844,7 @@ def oracle_sql() -> dict[str, str]:
         "sync_batch_households": _new_state("households"),
         "sync_batch_farmers": _new_state("farmers"),
         "sync_batch_wetmills": _new_state("wetmills"),
+        "written_state": _new_state("households"),
         "sync_one_record": _documents("households", first_id, max_items=MAX_ITEMS),
         "drain_available_now": _documents("households", run_id="drain-0"),
     }

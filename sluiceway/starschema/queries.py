@@ -32,8 +32,9 @@ from sluiceway.plans.runs import (
 )
 from sluiceway.schemas import FLAG, STATUS, UPDATED
 from sluiceway.session import scratch_path
-from sluiceway.sources.sinks import write_payloads
-from sluiceway.starschema.relations import STAR_TABLES, WETMILL_KEY, StarSchema
+from sluiceway.sources.sinks import append_changes, write_payloads, write_state
+from sluiceway.sources.tables import current_state, read_changes, read_state
+from sluiceway.starschema.relations import STAR_TABLES, WETMILL_KEY, StarSchema, star_schema
 from sluiceway.streaming.drain import drain_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +52,7 @@ _QUERIES: dict[str, Query] = {}
 
 def query(fn: Callable[[StarSchema], DataFrame]) -> Callable[[StarSchema], DataFrame]:
     """Register ``fn`` under its own name, without a leading underscore."""
-    _QUERIES[fn.__name__.lstrip("_")] = lambda spark, root: fn(StarSchema(spark, root))
+    _QUERIES[fn.__name__.lstrip("_")] = lambda spark, root: fn(star_schema(spark, root))
     return fn
 
 
@@ -123,7 +124,7 @@ def join_left_composite(t):
 
 @query
 def join_self_roles(t):
-    led = StarSchema(t.spark, t.root, leaders=True)
+    led = star_schema(t.spark, t.root, leaders=True)
     groups = led["farmer_groups"].select("id", "focal_farmer_id", "assistant_focal_farmer_id")
     focal = J.with_farmer_role(groups, led["farmers"], "focal_farmer_id", "focal")
     both = J.with_farmer_role(focal, led["farmers"], "assistant_focal_farmer_id", "assistant")
@@ -238,6 +239,13 @@ def claim_by_group(t):
     return ordered.select("pos", "id", "project_unique_id", "worker_group")
 
 
+@query
+def claim_state(t):
+    """All households after a claim of the entity's own limit."""
+    sent = dispatch(t, "households", run_id=RUN_ID, run_ts=RUN_TS)
+    return _state(current_state(t["households"], sent.claim_changes(), "households"))
+
+
 # Scalar expressions
 
 
@@ -299,7 +307,7 @@ def enrich_staff_roles(t):
 
 @query
 def enrich_groups(t):
-    led = StarSchema(t.spark, t.root, leaders=True)
+    led = star_schema(t.spark, t.root, leaders=True)
     return P.enrich_groups(led, led["farmer_groups"]).drop(UPDATED)
 
 
@@ -333,7 +341,7 @@ def _max_items(spec: EntitySpec) -> int:
 
 
 def _tables(t: StarSchema, entity: str) -> StarSchema:
-    return StarSchema(t.spark, t.root, leaders=entity == "farmer_groups")
+    return star_schema(t.spark, t.root, leaders=entity == "farmer_groups")
 
 
 def _backlog(t: StarSchema, entity: str, **options) -> Dispatch:
@@ -457,7 +465,7 @@ def run_report(t):
 
 @query
 def run_totals(t):
-    led = StarSchema(t.spark, t.root, leaders=True)
+    led = star_schema(t.spark, t.root, leaders=True)
     return sync_all(
         led, t.receipts, SPECS, run_id=RUN_ID, run_ts=RUN_TS, limit=None
     ).totals
@@ -465,7 +473,7 @@ def run_totals(t):
 
 def _synced_state(entity: str) -> Query:
     def run(spark: SparkSession, root: str) -> DataFrame:
-        t = StarSchema(spark, root)
+        t = star_schema(spark, root)
         return _state(_sync(t, entity).new_state(t[entity]))
 
     return run
@@ -491,6 +499,19 @@ def sync_one_record(t):
     return run.dispatch.documents
 
 
+@query
+def written_state(t):
+    """Household state by way of the change log and a new version of the table."""
+    path = scratch_path(t.spark, "state")
+    sent = _backlog(t, "households")
+    append_changes(sent.claim_changes(), f"{path}/changes")
+    append_changes(sent.settle(t.receipts(sent.documents)), f"{path}/changes")
+    log = read_changes(t.spark, f"{path}/changes")
+    state = current_state(t["households"], log, "households")
+    write_state(state.withColumn(UPDATED, F.col(UPDATED).cast("timestamp")), path, RUN_ID)
+    return _state(read_state(t.spark, path, RUN_ID, "households"))
+
+
 # Streaming
 
 

@@ -9,6 +9,7 @@ tables grow.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -379,13 +380,17 @@ class StarSchema(Mapping):
         self.root = root
         self.leaders = leaders
         self.base = StarTables(spark, root)
+        self._views: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name == "farmer_groups":
-            return farmer_groups(self.base, self.leaders)
         if name not in RELATION_NAMES:
             raise KeyError(name)
-        return globals()[name](self.base)
+        if name not in self._views:
+            if name == "farmer_groups":
+                self._views[name] = farmer_groups(self.base, self.leaders)
+            else:
+                self._views[name] = globals()[name](self.base)
+        return self._views[name]
 
     def __iter__(self):
         return iter(RELATION_NAMES)
@@ -419,3 +424,9 @@ class StarSchema(Mapping):
         return asked.join(codes, F.col("asked_key") == F.col("group_key")).select(
             "payload_id", "status_code"
         )
+
+
+@lru_cache(maxsize=16)
+def star_schema(spark: SparkSession, root: str, leaders: bool = False) -> StarSchema:
+    """The relations over ``root``, whose definitions later queries reuse."""
+    return StarSchema(spark, root, leaders)
