@@ -12,10 +12,12 @@ from sluiceway.functions.predicates import eligible
 from sluiceway.operators.positions import with_positions
 from sluiceway.schemas import COMPLETE, FLAG, STATUS, UPDATED
 
-# Up to this many rows a claim counts as small: a top-n keeps n rows per task
-# and merges them in one, and the claim is then cheap to broadcast. It decides
-# how a claim is computed, never which rows are in it.
-SMALL_CLAIM = 2_000
+# Neither number decides which rows are claimed, only how.
+# Up to this limit a top-n keeps its rows per task and merges them in one.
+TOP_N = 2_000
+# Up to this limit a claim is written by itself, so that large tables can be cut
+# down to it: its ids stay well under Spark's default size for a broadcast.
+SMALL_CLAIM = 100_000
 
 
 def is_small(limit: int | None) -> bool:
@@ -31,7 +33,7 @@ def take_first(df: DataFrame, order: list[Column], limit: int | None) -> DataFra
     """The first ``limit`` rows in ``order``; all rows when there is no limit."""
     if limit is None:
         return df
-    if is_small(limit):
+    if limit <= TOP_N:
         return df.orderBy(*order).limit(limit)
     return with_positions(df, [], order, bounded=False, name="__rank").filter(
         F.col("__rank") <= limit
@@ -45,7 +47,7 @@ def take_oldest(df: DataFrame, limit: int | None) -> DataFrame:
     the limit is then a single value that the scan of the table filters by, so
     the records themselves are neither sorted nor shuffled.
     """
-    if limit is None or is_small(limit):
+    if limit is None or limit <= TOP_N:
         return take_first(df, fifo_order(), limit)
     age = F.struct(F.col(UPDATED).isNull(), F.col(UPDATED), F.col("id"))
     ranked = with_positions(df.select(UPDATED, "id"), [], fifo_order(), bounded=False, name="rank")

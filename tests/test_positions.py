@@ -82,7 +82,7 @@ def test_large_limit_takes_the_same_rows_as_a_small_one(spark, monkeypatch, limi
     )
     want = {r.id for r in take_first(df, fifo_order(), limit).collect()}
     assert len(want) == min(limit, 400)
-    monkeypatch.setattr("sluiceway.operators.claim.SMALL_CLAIM", 0)
+    monkeypatch.setattr("sluiceway.operators.claim.TOP_N", 0)
     for large in (take_first(df, fifo_order(), limit), take_oldest(df, limit)):
         assert sorted(r.id for r in large.collect()) == sorted(want)
 

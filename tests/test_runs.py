@@ -316,3 +316,22 @@ def test_state_invariants_on_a_mixed_backlog(spark, world):
     assert items == len([i for i in claimed if int(i[1:]) % 2 == 0])
     settled_twice = run.new_state(run.new_state(t["households"]))
     assert sorted(settled_twice.collect()) == sorted(run.new_state(t["households"]).collect())
+
+
+@pytest.mark.parametrize("entity", ["households", "project_staff_roles"])
+def test_size_of_claim_does_not_change_what_is_sent(spark, world, monkeypatch, entity):
+    """A top-n, a ranked claim and a ranked claim too large to write agree."""
+    homes = [(f"h{i:02}", f"p{i % 3}") for i in range(30)]
+    t = homes_world(world, homes, roles=("w1", "w2"))
+    t["users"] = world(users=[{"id": "s", "first_name": "S"}])["users"]
+    t["project_staff_roles"] = t["project_staff_roles"].withColumns(
+        {FLAG: F.lit(True), STATUS: F.lit("Pending")}
+    ).withColumn("id", F.concat("project_id", "id"))
+    sent = []
+    for top_n, small in ((100, 100), (0, 100), (0, 0)):
+        monkeypatch.setattr("sluiceway.operators.claim.TOP_N", top_n)
+        monkeypatch.setattr("sluiceway.operators.claim.SMALL_CLAIM", small)
+        run = dispatch(t, entity, limit=4, **NOW)
+        sent.append(sorted((d.payload_id, d.body) for d in run.documents.collect()))
+        assert run.claimed.count() == 4
+    assert sent[0] == sent[1] == sent[2] and sent[0]
