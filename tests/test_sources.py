@@ -21,9 +21,8 @@ def test_relations_are_read_with_their_own_schema(spark, table, tmp_path):
     homes = table("households", {"id": "a", "household_number": 3, **flagged(DAY[0])})
     homes.select("id", "household_number", "updated_at").write.parquet(f"{tmp_path}/households")
     read = tables.load(spark, str(tmp_path), "households")
-    assert read.columns == homes.columns
+    assert read.dtypes == homes.dtypes
     assert read.first().household_number == 3 and read.first().tns_id is None
-    assert len(tables.load_all(spark, str(tmp_path))) == 12 if (tmp_path / "users").exists() else True
 
 
 def test_receipts_are_checked(spark):
