@@ -28,10 +28,11 @@ def place(
 ) -> DataFrame:
     """Give every row its item, its position in its group and its document.
 
-    Positions follow the ``order`` columns, ascending with nulls last. A group is cut into documents of ``max_items`` positions. With ``max_items``
-    at least the group's size there is one document per group. Rows that are not
-    packable keep a position and a document, so they settle with their group,
-    but have a null item.
+    Positions follow the ``order`` columns, ascending with nulls last. A group is
+    cut into documents of ``max_items`` positions; with ``max_items`` at least the
+    group's size there is one document per group. Rows that are not packable keep
+    a position and a document, so they settle with their group, but have a null
+    item.
     """
     item = F.struct(*[c.alias(name) for name, c in fields.items()])
     if packable is not None:

@@ -94,7 +94,8 @@ class SyncRun:
     report: DataFrame
 
     def new_state(self, state: DataFrame) -> DataFrame:
-        return current_state(state, self.changes, self.dispatch.spec.entity)
+        """What the state this run was made from becomes."""
+        return current_state(state, self.changes, self.dispatch.spec.entity, newer_only=False)
 
 
 def spec_of(entity: EntitySpec | str) -> EntitySpec:

@@ -40,36 +40,36 @@ def read_state(spark: SparkSession, path: str, version: str, name: str) -> DataF
     return spark.read.schema(RELATIONS[name]).parquet(f"{path}/version={version}")
 
 
-def current_state(state: DataFrame, changes: DataFrame, entity: str) -> DataFrame:
+def current_state(
+    state: DataFrame, changes: DataFrame, entity: str, newer_only: bool = True
+) -> DataFrame:
     """``state`` as the log of changes leaves it.
 
     The log is reduced to the latest change per record before it meets the
     table. A record that was updated after its latest change keeps its own
-    values, so flagging it again makes it eligible again.
+    values, so flagging it again makes it eligible again. Without ``newer_only``
+    every change counts, as is right for the very state a run was made from.
     """
     updated_type = state.schema[UPDATED].dataType
     latest = (
         changes.filter(F.col("entity") == entity)
         .groupBy("id")
-        .agg(
-            F.max_by(F.struct(FLAG, STATUS, UPDATED), F.struct(UPDATED, "step")).alias("change")
-        )
+        .agg(F.max_by(F.struct(FLAG, STATUS, UPDATED), F.struct(UPDATED, "step")).alias("change"))
         .select(F.col("id").alias("changed_id"), "change")
     )
     changed_at = F.col(f"change.{UPDATED}").cast(updated_type)
-    applies = F.col("changed_id").isNotNull() & (
-        F.col(UPDATED).isNull() | (changed_at >= F.col(UPDATED))
-    )
-    applied = F.col("__applies")
-    return (
-        state.join(latest, F.col("id") == F.col("changed_id"), "left")
-        .withColumn("__applies", applies)
-        .withColumns(
-            {
-                FLAG: F.when(applied, F.col(f"change.{FLAG}")).otherwise(F.col(FLAG)),
-                STATUS: F.when(applied, F.col(f"change.{STATUS}")).otherwise(F.col(STATUS)),
-                UPDATED: F.when(applied, changed_at).otherwise(F.col(UPDATED)),
-            }
-        )
-        .select(*state.columns)
+    applied = F.col("changed_id").isNotNull()
+    if newer_only:
+        applied = applied & (F.col(UPDATED).isNull() | (changed_at >= F.col(UPDATED)))
+    joined = state.join(latest, F.col("id") == F.col("changed_id"), "left")
+    new = {
+        FLAG: F.col(f"change.{FLAG}"),
+        STATUS: F.col(f"change.{STATUS}"),
+        UPDATED: changed_at,
+    }
+    return joined.select(
+        *[
+            F.when(applied, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c)
+            for c in state.columns
+        ]
     )

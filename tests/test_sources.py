@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from sluiceway.plans.runs import dispatch
+from sluiceway.plans.runs import dispatch, sync_batch
 from sluiceway.session import shared_dir, write_once
 from sluiceway.sources import sinks, tables
 from sluiceway.streaming.drain import drain_stream
@@ -81,6 +81,15 @@ def test_change_log_gives_the_current_state(spark, world, tmp_path):
     assert states(tables.current_state(flagged_again, log, "households"))["a"] == ("Processing", True)
 
 
+def test_run_applies_to_its_own_state_whatever_the_clock_says(spark, world):
+    t = homes_world(world, [("a", "p")])
+    deliver = answering(spark, {"p": [200]})
+    run = sync_batch(t, "households", deliver, run_id="r", run_ts="2000-01-01")
+    assert states(run.new_state(t["households"])) == {"a": ("Complete", False)}
+    by_log = tables.current_state(t["households"], run.changes, "households")
+    assert states(by_log) == {"a": ("Pending", True)}
+
+
 def test_state_versions_are_never_overwritten(spark, table, tmp_path):
     homes = table("households", {"id": "a", **flagged(DAY[0])})
     sinks.write_state(homes, str(tmp_path), "1")
