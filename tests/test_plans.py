@@ -12,7 +12,7 @@ from sluiceway.operators.ranking import current_module, module_info, participant
 from sluiceway.operators.rollups import child_count, latest_by_type
 from sluiceway.plans import enrichment as P
 from sluiceway.plans.entities import ENTITIES
-from sluiceway.sources.tables import load_all
+from sluiceway.sources.tables import load, load_all
 from tests.conftest import flagged
 
 
@@ -120,3 +120,40 @@ def test_small_claims_are_broadcast_against_large_tables(t, spark):
     rows = P.enrich_households(t, claimed, True)
     assert "LeftSemi" in plan(rows)
     assert "LeftSemi" not in plan(P.enrich_households(t, claimed, False))
+
+
+def test_hot_group_is_split_by_adaptive_execution(spark, world, tmp_path, large_tables):
+    """A third of all households in one group: the backlog's join to its group is split."""
+    homes = spark.range(60_000).selectExpr(
+        "CAST(id AS STRING) AS id",
+        "sha2(CAST(id AS STRING), 512) AS household_name",
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 500 AS STRING) END AS farmer_group_id",
+        "true AS send_to_commcare",
+        "'Pending' AS send_to_commcare_status",
+        "CAST(NULL AS TIMESTAMP) AS updated_at",
+    )
+    homes.write.parquet(f"{tmp_path}/households")
+    groups = spark.range(501).selectExpr(
+        "CASE WHEN id = 500 THEN 'hot' ELSE CAST(id AS STRING) END AS id",
+        "CAST(id % 7 AS STRING) AS project_id",
+    )
+    groups.write.parquet(f"{tmp_path}/farmer_groups")
+    t = world(projects=[{"id": str(i), "project_unique_id": f"k{i}"} for i in range(7)])
+    for name in ("households", "farmer_groups"):
+        t[name] = load(spark, str(tmp_path), name)
+    settings = {
+        "spark.sql.shuffle.partitions": "24",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = P.enrich_households(t, eligible(t["households"]))
+        kept = rows.select("id", "household_name", "project_unique_id")
+        assert len(kept.collect()) == 60_000
+        assert "skew=true" in plan(kept)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
