@@ -11,22 +11,29 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local session, where driver and executors share one disk, may fall
-    back to a temporary folder; a cluster has to name a shared one.
-    """
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if not named:
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-    named = tempfile.mkdtemp(prefix="sluiceway-")
-    spark.conf.set(CHECKPOINT_DIR, named)
     return named
 
 
+def name_shared_dir(spark: SparkSession) -> None:
+    """Name the folder where the session does not, for programs that start their own session.
+
+    A local session's driver and executors share one disk, so a temporary folder will do;
+    otherwise it lies in the warehouse, which all executors reach.
+    """
+    if spark.conf.get(CHECKPOINT_DIR, None):
+        return
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
+        named = tempfile.mkdtemp(prefix="sluiceway-")
+    else:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    spark.conf.set(CHECKPOINT_DIR, named)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/sluiceway/{label}-{uuid.uuid4().hex}"
 
