@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, pii, simhash, toxicity
+from . import ann, chat, flatgraph, mixing, packing, pii, simhash, toxicity
 from .common import remainder, table
 
 HELD_OUT = 2  # remainder of the labels that only measure
@@ -26,6 +26,10 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.BASE_KINDS), "base_sha256", "spans")
 
 
+def op3_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), F.pmod("vec_id", F.lit(20)) == 0, k=20)
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(table(spark, folder, "documents"))
 
@@ -51,8 +55,12 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return flatgraph.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mixing, op2_pii, op4_packing, op5_toxicity, op7_chat, op8_simhash)
+    own = (op1_mixing, op2_pii, op3_ann, op4_packing, op5_toxicity, op7_chat, op8_simhash, op10_embedding_dedup)
     return {query.__name__: query for query in own}
 
 
