@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, flatgraph, mixing, packing, pii, simhash, toxicity
+from . import ann, chat, flatgraph, lm, mixing, packing, pii, simhash, toxicity
 from .common import remainder, table
 
 HELD_OUT = 2  # remainder of the labels that only measure
@@ -55,12 +55,18 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(table(spark, folder, "documents"), remainder("doc_id", 10) == 0)
+
+
 def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return flatgraph.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_mixing, op2_pii, op3_ann, op4_packing, op5_toxicity, op7_chat, op8_simhash, op10_embedding_dedup)
+    own = (
+        op1_mixing, op2_pii, op3_ann, op4_packing, op5_toxicity, op7_chat, op8_simhash, op9_lm, op10_embedding_dedup,
+    )
     return {query.__name__: query for query in own}
 
 
