@@ -16,7 +16,8 @@ the same mix.
 Only patterns and sources come to the driver; more than ``max_patterns`` raise an error.
 Defined results: a null source is a source, last in order; null and empty texts have size 0
 and are never taken; equal ids and repeated rows are taken each by itself; an empty table
-gives no rows; other columns are kept by ``mix`` if named and else ignored.
+gives no rows; other columns are kept by ``mix`` if named (names the operator uses itself cannot be) and else ignored;
+``mixed`` keeps all, whatever their names.
 """
 
 from __future__ import annotations
@@ -232,11 +233,11 @@ def mix(
     )
 
 
-def mixed(docs: DataFrame, members: Column, **options) -> DataFrame:
+def mixed(docs: DataFrame, members: Column, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` as the mix takes them: whole documents, repeated as often as they are taken."""
-    columns = docs.columns
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), *[F.col(f"`{c}`") for c in columns])
-    taken = mix(inner, members, keep=("row",), whole=True, **options)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    inner = docs.select(row, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), members.alias("members"))
+    taken = mix(inner, F.col("members"), keep=("row",), whole=True, **options)
     copies = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
     repeated = taken.where(copies > 0).select("row", F.explode(F.array_repeat(F.lit(0), copies)))
     return repeated.select("row.*")

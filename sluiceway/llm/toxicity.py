@@ -9,8 +9,8 @@ clean documents show, cancel the matches inside them. A document's weight and it
 weight per length go through a logistic curve that is fitted on the same sample.
 
 The fit uses at most ``sample_rows`` labelled documents, chosen by a hash of the id
-(a documented bound); near copies in it, which share the least hash of their word
-triples, count once, so that a group of copies cannot lift its words into the
+(a documented bound); near copies in it, which share the least or the greatest hash of
+their word triples, count once, so that a group of copies cannot lift its words into the
 lexicon. Scoring covers every whole text in one pass without a shuffle.
 
 Defined results: null and empty texts have weight 0; without labels, or without a
@@ -124,10 +124,12 @@ def _features(folded: str) -> set[str]:
     return {f" {w} " for w in words} | {f" {w[:n]}" for w in words for n in PREFIX_LENGTHS if len(w) >= n}
 
 
-def _sketch(folded: str) -> int:
+def _sketch(folded: str) -> tuple[int, int]:
+    """The least and the greatest hash of the word triples."""
     w = folded.split()
     shingles = zip(w, w[1:], w[2:]) if len(w) > 2 else [w]
-    return min(xxhash.xxh64_intdigest(" ".join(s)) for s in shingles) - 2**63
+    hashes = [xxhash.xxh64_intdigest(" ".join(s)) - 2**63 for s in shingles]
+    return min(hashes), max(hashes)
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int) -> DataFrame:
@@ -145,19 +147,24 @@ def _sample(docs: DataFrame, labels: DataFrame, label_col: str, rows: int) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1000):
             folded = [fold(t) for t in batch.column("text").to_pylist()]
+            low, high = zip(*map(_sketch, folded)) if folded else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("toxic"),
                     pa.array(folded, pa.string()),
-                    pa.array([_sketch(t) for t in folded], pa.int64()),
+                    pa.array(low, pa.int64()),
+                    pa.array(high, pa.int64()),
                 ],
-                names=["doc_id", "toxic", "folded", "sketch"],
+                names=["doc_id", "toxic", "folded", "low", "high"],
             )
 
-    found = write_once(chosen.mapInArrow(run, "doc_id long, toxic int, folded string, sketch long"), "toxicity")
-    first = found.groupBy("sketch", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    return found.join(first, ["sketch", "toxic", "doc_id"]).dropDuplicates(["sketch", "toxic"])
+    kinds = "doc_id long, toxic int, folded string, low long, high long"
+    found = write_once(chosen.mapInArrow(run, kinds), "toxicity")
+    for sketch in ("low", "high"):
+        first = found.groupBy(sketch, "toxic").agg(F.min("doc_id").alias("doc_id"))
+        found = found.join(first, [sketch, "toxic", "doc_id"]).dropDuplicates([sketch, "toxic"])
+    return found
 
 
 def _counted(batches: Iterator[pa.RecordBatch], of) -> Iterator[pa.RecordBatch]:
@@ -225,7 +232,7 @@ def fit(
     sample_rows: int = 20_000,
     size: int = 4096,
     least_docs: int = 5,
-    least_odds: float = 3.0,
+    least_odds: float = 4.0,
     exceptions: tuple[str, ...] = EXCEPTIONS,
 ) -> Lexicon:
     """Learn a lexicon of at most ``size`` terms from the labels whose remainder modulo 4 is not 2.

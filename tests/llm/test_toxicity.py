@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import pytest
+
+from sluiceway.llm import catalogue, toxicity
+
+
+@pytest.mark.parametrize(
+    "text", ["IDIOT", "id1ot", "1d10t", "іdіоt", "ｉｄｉｏｔ", "idi\u200bot", "ID\u0131OT", "idi\u0301ot".replace("\u0301", "\u00ad")]
+)
+def test_folding(text):
+    assert toxicity.fold(text) == toxicity.fold("idiot")
+
+
+def test_folding_of_odd_texts():
+    assert toxicity.fold("").split() == [] and toxicity.fold("...!?").split() == []
+    assert toxicity.fold("a-b  c\n") == " a b c "
+    assert toxicity.fold("ñandú") == " ñandú "
+
+
+def lexicon(**terms):
+    return toxicity.Lexicon({toxicity.fold(k): v for k, v in terms.items()}, (toxicity.fold("trash can"),), -2.0, (1.0, 1.0))
+
+
+def test_weights_and_exceptions():
+    own = lexicon(trash=2.0, idiot=3.0)
+    automaton = own.automaton()
+    assert toxicity.weigh(automaton, toxicity.fold("you tr4sh, you idiot!")) == 5.0
+    assert toxicity.weigh(automaton, toxicity.fold("the trash can is full")) == 0.0
+    assert toxicity.weigh(automaton, toxicity.fold("trash can trash")) == 2.0
+    assert toxicity.weigh(automaton, toxicity.fold("idiotic trashy")) == 0.0
+    prefix = toxicity.Lexicon({" idio": 1.0, toxicity.fold("idiot"): 3.0}, (), 0.0, (0.0, 0.0)).automaton()
+    assert toxicity.weigh(prefix, toxicity.fold("idiot idiotic")) == 4.0
+
+
+def test_length_counts():
+    own = lexicon(idiot=3.0)
+    assert toxicity.probability(own, 3.0, 5) > toxicity.probability(own, 3.0, 5000) > toxicity.probability(own, 0.0, 5)
+
+
+def world(spark, docs, n=600, seed=3):
+    rng = random.Random(seed)
+    words = [f"w{k}" for k in range(200)]
+    rows, labels = [], []
+    for k in range(n):
+        toxic = k % 5 == 0
+        text = [rng.choice(words) for _ in range(rng.randrange(20, 60))]
+        if toxic:
+            for _ in range(3):
+                text[rng.randrange(len(text))] = rng.choice(["scum", "idiot", "grubber" + rng.choice("abcdef")])
+        elif k % 3 == 0:
+            text[5:7] = ["idiot", "board"]
+        rows.append((k, " ".join(text)))
+        labels.append((k, 0, int(toxic)))
+    return docs(*rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), dict(rows), labels
+
+
+def test_learned_terms_prefixes_and_exceptions(spark, docs):
+    table, labels, texts, _ = world(spark, docs)
+    own = toxicity.fit(table, labels)
+    assert toxicity.fold("scum") in own.terms and any(t.startswith(" grubb") for t in own.terms)
+    more = docs((1, "w1 w2 GRUBBERzz w3 scum"), (2, "w1 w2 w3 w4"), (3, None), (4, ""))
+    got = {r.doc_id: (r.predicted, r.score) for r in toxicity.score(more, own).collect()}
+    assert got[1][0] == 1 and [got[k][0] for k in (2, 3, 4)] == [0, 0, 0]
+    assert all(0 <= s <= 1 for _, s in got.values())
+
+
+def test_labels_that_only_measure_are_not_read(spark, docs):
+    table, labels, texts, _ = world(spark, docs)
+    held = [k for k in texts if zlib.crc32(str(k).encode()) % 4 == 2]
+    flipped = labels.selectExpr("doc_id", f"CASE WHEN doc_id IN ({','.join(map(str, held))}) THEN 1 - toxic ELSE toxic END AS toxic")
+    assert toxicity.fit(table, labels) == toxicity.fit(table, flipped)
+
+
+def test_sample_bound_and_missing_labels(spark, docs):
+    table, labels, _, _ = world(spark, docs)
+    assert toxicity._sample(table, labels, "toxic", 100).count() < 250
+    for none in (labels.limit(0), labels.where("toxic = 0")):
+        own = toxicity.fit(table, none)
+        assert own.terms == {}
+        assert {r.predicted for r in toxicity.score(table, own).collect()} == {0}
+    nulls = spark.createDataFrame([(None, 1), (1, None), (3, 7)], "doc_id long, toxic int")
+    assert toxicity.fit(table, nulls).terms == {}
+
+
+def test_odd_rows(spark, docs, clashing):
+    own = lexicon(idiot=3.0)
+    rows = docs((1, None), (1, None), (None, "idiot"), (2, "x " * 50_000 + "idiot"))
+    out = toxicity.score(clashing(rows), own)
+    assert out.count() == 4 and set(out.columns) == set(clashing(rows).columns)
+    assert toxicity.score(rows.limit(0), own).count() == 0
+
+
+def test_query_on_held_out_labels(spark):
+    folder = "/root/testdata/sf0.1"
+    got = catalogue.op5_toxicity(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    seen = got.where("held_out").join(labels, "doc_id").select("predicted", "toxic").collect()
+    assert got.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
+    toxic = [r for r in seen if r.toxic]
+    clean = [r for r in seen if not r.toxic]
+    # About a twelfth of these toxic labels lie on documents without any word of abuse.
+    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic) and sum(r.predicted for r in clean) <= 0.01 * len(clean)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got.limit(500).collect())
