@@ -208,15 +208,16 @@ def mix(
         rows.append((names[pattern], sizes[first] if pattern else 0, goal[first] if pattern else 0.0, times, rest))
     plan = spark.createDataFrame(rows, "pattern string, source_size long, target double, times long, rest long")
 
+    # What is broadcast has one row for each pattern, so at most ``max_patterns``.
     rest = plan.where("rest > 0").select("pattern", "rest")
-    cells = narrow.groupBy("pattern", "slice").agg(F.sum("size").alias("words")).join(rest, "pattern")
-    border = _border(cells, "rest", "slice")
+    cells = narrow.groupBy("pattern", "slice").agg(F.sum("size").alias("words")).join(F.broadcast(rest), "pattern")
+    border = F.broadcast(_border(cells, "rest", "slice"))
     inner = narrow.join(border, ["pattern", "slice"]).groupBy("pattern", "slice", "rest", "part")
     border = write_once(_border(inner.agg(F.sum("size").alias("words")), "rest", "part"), "mixing-border")
 
     ends = border.select("pattern", F.struct("slice", "part").alias("end"), F.col("rest").alias("missing"))
     placed = docs.select(*own, *keep) if keep else narrow
-    placed = placed.join(plan.drop("rest"), "pattern").join(ends, "pattern", "left")
+    placed = placed.join(F.broadcast(plan.drop("rest").join(ends, "pattern", "left")), "pattern")
     here = F.struct("slice", "part")
     clear = placed.where(F.col("end").isNull() | (here != F.col("end"))).withColumn(
         "more", F.when(here < F.col("end"), F.col("size")).otherwise(0)
