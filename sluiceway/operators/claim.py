@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from sluiceway.functions.expressions import run_time
 from sluiceway.functions.predicates import eligible
 from sluiceway.operators.positions import with_positions
 from sluiceway.schemas import COMPLETE, FLAG, STATUS, UPDATED
+from sluiceway.session import write_once
 
-# Neither number decides which rows are claimed, only how.
-# Up to this limit a top-n keeps its rows per task and merges them in one.
+# Decides how rows are claimed, not which: up to this limit a top-n keeps its rows per
+# task and merges them in one; above it the last row within the limit is looked for.
 TOP_N = 2_000
-# Up to this limit a claim is written by itself, so that large tables can be cut
-# down to it: its ids stay well under Spark's default size for a broadcast.
-SMALL_CLAIM = 100_000
-
-
-def is_small(limit: int | None) -> bool:
-    return limit is not None and limit <= SMALL_CLAIM
+# Ages are counted by spans of 2 ** 30 microseconds, some 18 minutes.
+_SPAN_BITS = 30
 
 
 def fifo_order(*ties: str) -> list[Column]:
@@ -29,30 +26,71 @@ def fifo_order(*ties: str) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in (UPDATED, "id", *ties)]
 
 
-def take_first(df: DataFrame, order: list[Column], limit: int | None) -> DataFrame:
-    """The first ``limit`` rows in ``order``; all rows when there is no limit."""
+def last_within(df: DataFrame, bucket: Column, order: list[str], limit: int) -> Row | None:
+    """The row at place ``limit`` by (``bucket``, ``order``), ascending with nulls last.
+
+    None when there are no more rows than that. Buckets are counted, which combines per
+    task; only the rows of the bucket in which the limit falls are ranked, and of
+    them only the columns that order them.
+    """
+    keyed = df.select(bucket.alias("bucket"), *order)
+    upto = Window.orderBy(F.col("bucket").asc_nulls_last())
+    sizes = keyed.groupBy("bucket").count().withColumn("upto", F.sum("count").over(upto))
+    edge = sizes.filter(F.col("upto") >= limit).orderBy("upto").first()
+    if edge is None:
+        return None
+    inside = keyed.filter(F.col("bucket").eqNullSafe(F.lit(edge["bucket"])))
+    by = [F.col(c).asc_nulls_last() for c in order]
+    written = write_once(inside, "boundary")
+    place = limit - (edge["upto"] - edge["count"])
+    return with_positions(written, [], by, name="place").filter(F.col("place") == place).first()
+
+
+def _not_after(last: Row, order: list[str], types: Mapping[str, str]) -> Column:
+    """Rows up to ``last``; the leading column is also compared plainly, for scans to filter by."""
+    within = F.lit(True)
+    for name in reversed(order):
+        at, column = last[name], F.col(name)
+        if at is None:
+            # Only rows without this value share its place; all others come before.
+            within = column.isNotNull() | within
+        else:
+            value = F.lit(at).cast(types[name])
+            within = (column < value) | ((column == value) & within)
+    within = F.coalesce(within, F.lit(False))
+    if last[order[0]] is None:
+        return within
+    return (F.col(order[0]) <= F.lit(last[order[0]]).cast(types[order[0]])) & within
+
+
+def _up_to(df: DataFrame, bucket: Column, order: list[str], limit: int) -> DataFrame:
+    last = last_within(df, bucket, order, limit)
+    return df if last is None else df.filter(_not_after(last, order, dict(df.dtypes)))
+
+
+def take_first(df: DataFrame, order: list[str], limit: int | None) -> DataFrame:
+    """The first ``limit`` rows by ``order``, ascending with nulls last; all without a limit.
+
+    Beyond a top-n, rows that are equal in all of ``order`` are taken or left together.
+    """
     if limit is None:
         return df
     if limit <= TOP_N:
-        return df.orderBy(*order).limit(limit)
-    return with_positions(df, [], order, bounded=False, name="__rank").filter(
-        F.col("__rank") <= limit
-    ).drop("__rank")
+        return df.orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(limit)
+    return _up_to(df, F.col(order[0]), order, limit)
 
 
 def take_oldest(df: DataFrame, limit: int | None) -> DataFrame:
     """The first ``limit`` rows of an outbox table by age and id.
 
-    For a large limit only the ordering columns are ranked; the last row within
-    the limit is then a single value that the scan of the table filters by, so
-    the records themselves are neither sorted nor shuffled.
+    For a large limit the last row within it becomes values that the scan of the
+    table filters by, so the records themselves are neither sorted nor shuffled.
     """
+    order = [UPDATED, "id"]
     if limit is None or limit <= TOP_N:
-        return take_first(df, fifo_order(), limit)
-    age = F.struct(F.col(UPDATED).isNull(), F.col(UPDATED), F.col("id"))
-    ranked = with_positions(df.select(UPDATED, "id"), [], fifo_order(), bounded=False, name="rank")
-    last = ranked.filter(F.col("rank") == limit).select(age).scalar()
-    return df.filter(F.coalesce(age <= last, F.lit(True)))
+        return take_first(df, order, limit)
+    micros = F.unix_micros(F.col(UPDATED).cast("timestamp"))
+    return _up_to(df, F.shiftright(micros, _SPAN_BITS), order, limit)
 
 
 def claim_fifo(df: DataFrame, limit: int | None = None) -> DataFrame:
@@ -67,8 +105,7 @@ def claim_grouped(
 
     The limit counts joined rows, so a record that fans out counts repeatedly.
     """
-    order = [F.col(key).asc_nulls_last(), *fifo_order(*ties)]
-    return take_first(joined, order, limit)
+    return take_first(joined, [key, UPDATED, "id", *ties], limit)
 
 
 def state_changes(
@@ -78,18 +115,27 @@ def state_changes(
     run_id: str,
     run_ts: datetime | str,
     step: int,
+    seen: Column | None = None,
+    run_seq: int | None = None,
 ) -> DataFrame:
     """One change row per record, moving it to ``status`` at ``run_ts``.
 
-    The flag is cleared on completion only. ``step`` orders the changes of one run.
+    The flag is cleared on completion only. ``seen`` is the record's time of update that
+    the change was made from, by default the run's own, which its claim has set.
+    ``run_seq`` orders runs, by default by their time; ``step`` orders the changes of one.
     """
     status = F.lit(status) if isinstance(status, str) else status
+    at = run_time(run_ts)
+    seq = F.unix_micros(at) if run_seq is None else F.lit(run_seq)
     return records.select(
         F.lit(entity).alias("entity"),
         "id",
         (status != COMPLETE).alias(FLAG),
         status.alias(STATUS),
-        run_time(run_ts).alias(UPDATED),
+        at.alias(UPDATED),
         F.lit(run_id).alias("run_id"),
         F.lit(step).alias("step"),
+        (at if seen is None else seen.cast("timestamp")).alias("seen_at"),
+        seq.cast("bigint").alias("run_seq"),
+        at.cast("date").alias("day"),
     )

@@ -70,21 +70,23 @@ def where_ids(df: DataFrame, ids: DataFrame, on: str = "id", ids_on: str = "id")
     return df.join(pick(ids, wanted=ids_on), F.col(on) == F.col("wanted"), "left_semi")
 
 
-def narrow(
-    df: DataFrame, on: str, rows: DataFrame, rows_on: str, bounded: bool
-) -> DataFrame:
-    """Keep what a small claim can reach, before ``df`` is shuffled.
+def narrow(df: DataFrame, on: str, rows: DataFrame, rows_on: str) -> DataFrame:
+    """Keep what the claimed ``rows`` can reach, before ``df`` is aggregated or joined.
 
-    ``bounded`` says that ``rows`` holds a claim of limited size, written and
-    measured, which Spark then broadcasts against a large ``df``. For a whole
-    backlog nothing would be filtered out, so no join is added.
+    ``rows`` are written, so their size is known: Spark broadcasts a small claim's keys
+    against a large ``df``. A backlog's keys are shuffled, as is ``df``, by the key that
+    it is grouped or joined by next, which adds an exchange of the keys alone.
     """
-    return where_ids(df, rows, on, rows_on) if bounded else df
+    return where_ids(df, rows, on, rows_on)
 
 
-def exclude_in_flight(df: DataFrame, claims: DataFrame, entity: str) -> DataFrame:
-    """Drop records that another run holds an open claim on."""
+def exclude_in_flight(
+    df: DataFrame, claims: DataFrame, entity: str, run_id: str | None = None
+) -> DataFrame:
+    """Drop records that another run than ``run_id`` holds an open claim on."""
     held = claims.filter(F.col("open") & (F.col("entity") == entity))
+    if run_id is not None:
+        held = held.filter(~F.col("run_id").eqNullSafe(run_id))
     return df.join(pick(held, held_id="id"), F.col("id") == F.col("held_id"), "left_anti")
 
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.expressions import doc_id, to_json_keep_nulls
+from sluiceway.operators.joins import lookup
 from sluiceway.operators.positions import with_positions
+from sluiceway.session import write_once
 
 KEY = "unique_project_key"
 
@@ -14,6 +18,17 @@ KEY = "unique_project_key"
 SOURCE = "postgres"
 
 
+@dataclass(frozen=True)
+class Placed:
+    """Written items, and where each stands: both have its reference ``ref``."""
+
+    items: DataFrame  # ref, item
+    positions: DataFrame  # ref, entity, id, unique_project_key, pos, chunk, payload_id
+
+    def rows(self) -> DataFrame:
+        return lookup(self.positions, self.items, {"ref": "ref"})
+
+
 def place(
     enriched: DataFrame,
     *,
@@ -22,10 +37,9 @@ def place(
     order: list[str],
     run_id: str,
     max_items: int,
-    bounded: bool,
     packable: Column | None = None,
     key: str = "project_unique_id",
-) -> DataFrame:
+) -> Placed:
     """Give every row its item, its position in its group and its document.
 
     Positions follow the ``order`` columns, ascending with nulls last. A group is
@@ -33,6 +47,9 @@ def place(
     group's size there is one document per group. Rows that are not packable keep
     a position and a document, so they settle with their group, but have a null
     item.
+
+    The enriched rows are computed and written once; only the ordering columns and
+    a reference are ranked.
     """
     item = F.struct(*[c.alias(name) for name, c in fields.items()])
     if packable is not None:
@@ -44,17 +61,23 @@ def place(
         F.col(key).alias(KEY),
         item.alias("item"),
         *[F.col(name).alias(rank) for name, rank in zip(order, ranks)],
+        F.monotonically_increasing_id().alias("ref"),
     )
-    by = [F.col(rank).asc_nulls_last() for rank in ranks]
-    placed = with_positions(rows, [KEY], by, bounded).drop(*ranks)
+    written = write_once(rows, f"items-{entity}", run_id)
+    by = [F.col(rank).asc_nulls_last() for rank in (*ranks, "ref")]
+    narrow = written.select("entity", "id", KEY, "ref", *ranks)
+    placed = with_positions(narrow, [KEY], by, run=run_id).drop(*ranks)
     chunk = F.floor((F.col("pos") - 1) / F.lit(max_items)).cast("bigint")
-    return placed.withColumn("chunk", chunk).withColumn(
+    positions = placed.withColumn("chunk", chunk).withColumn(
         "payload_id", doc_id("entity", F.lit(run_id), KEY, "chunk")
     )
+    return Placed(
+        written.select("ref", "item"), write_once(positions, f"positions-{entity}", run_id)
+    )
 
 
 def documents(
-    placed: DataFrame, *, entity: str, job_type: str, items_field: str, run_id: str
+    placed: Placed, *, entity: str, job_type: str, items_field: str, run_id: str
 ) -> DataFrame:
     """One JSON document per group and chunk, items in position order.
 
@@ -63,7 +86,7 @@ def documents(
     still yields a document, with an empty list.
     """
     entry = F.when(F.col("item").isNotNull(), F.struct("pos", "item"))
-    grouped = placed.groupBy(KEY, "chunk").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    grouped = placed.rows().groupBy(KEY, "chunk").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     payload_id = doc_id(F.lit(entity), F.lit(run_id), KEY, "chunk")
     body = F.struct(
         F.lit(SOURCE).alias("source"),
@@ -84,5 +107,5 @@ def documents(
     )
 
 
-def members(placed: DataFrame) -> DataFrame:
-    return placed.select("entity", "id", KEY, "pos", "chunk", "payload_id")
+def members(placed: Placed) -> DataFrame:
+    return placed.positions.select("entity", "id", KEY, "pos", "chunk", "payload_id")

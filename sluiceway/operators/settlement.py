@@ -34,6 +34,7 @@ def settle(
     on_fail: str,
     run_id: str,
     run_ts: datetime | str,
+    run_seq: int | None = None,
 ) -> DataFrame:
     """State changes the receipts call for.
 
@@ -49,4 +50,4 @@ def settle(
         F.col("all_ok") & ~F.col("waiting"), F.lit(COMPLETE)
     )
     settled = per_record.withColumn("verdict", verdict).filter(F.col("verdict").isNotNull())
-    return state_changes(settled, entity, F.col("verdict"), run_id, run_ts, step=1)
+    return state_changes(settled, entity, F.col("verdict"), run_id, run_ts, step=1, run_seq=run_seq)

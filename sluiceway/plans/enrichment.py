@@ -1,8 +1,7 @@
 """Enrichment: one function per entity, from outbox rows to flat rows.
 
-``bounded`` says the rows are a small written claim; large tables are then
-reduced to what the claim reaches before they are shuffled. The rows that come
-out are the same either way.
+Large tables are reduced to what the rows reach before they are aggregated, so a
+claim from a long history costs what the claim reaches, whatever its size.
 
 Dimensions that hang off a farmer group are joined to each other first, at the
 size of the group table, so the large side is joined once on its group key.
@@ -55,14 +54,14 @@ WETMILL_GROUP_KEY = "coffee_global_sustainability"
 
 
 def _group_context(
-    t: Tables, rows: DataFrame, bounded: bool, location: bool = False
+    t: Tables, rows: DataFrame, location: bool = False
 ) -> DataFrame:
     """Farmer groups with project, staff role and, if asked for, location.
 
     Repeats a group for every role its responsible staff holds in its project.
     """
     groups = pick(
-        narrow(t["farmer_groups"], "id", rows, "farmer_group_id", bounded),
+        narrow(t["farmer_groups"], "id", rows, "farmer_group_id"),
         group_id="id",
         group_sf_id="sf_id",
         group_name="ffg_name",
@@ -81,7 +80,7 @@ def _group_context(
     )
 
 
-def join_staff_roles(t: Tables, roles: DataFrame, bounded: bool = False) -> DataFrame:
+def join_staff_roles(t: Tables, roles: DataFrame) -> DataFrame:
     """Roles with their project and staff member; unmatched roles drop out."""
     projects = pick(
         t["projects"],
@@ -90,7 +89,7 @@ def join_staff_roles(t: Tables, roles: DataFrame, bounded: bool = False) -> Data
         project_unique_id="project_unique_id",
     )
     staff = pick(
-        narrow(t["users"], "id", roles, "staff_id", bounded),
+        narrow(t["users"], "id", roles, "staff_id"),
         uid="id",
         staff_sf_id="sf_id",
         first_name="first_name",
@@ -112,9 +111,9 @@ def join_staff_roles(t: Tables, roles: DataFrame, bounded: bool = False) -> Data
     return lookup(lookup(kept, projects, {"project_id": "pid"}), staff, {"staff_id": "uid"})
 
 
-def add_group_modules(t: Tables, joined: DataFrame, bounded: bool = False) -> DataFrame:
+def add_group_modules(t: Tables, joined: DataFrame) -> DataFrame:
     """Current and previous module, by the project of each group's first row."""
-    modules = narrow(t["training_modules"], "project_id", joined, "project_id", bounded)
+    modules = narrow(t["training_modules"], "project_id", joined, "project_id")
     leads = group_first_row(joined, "project_unique_id", "project_id").withColumnRenamed(
         "project_id", "lead_project"
     )
@@ -126,11 +125,11 @@ def add_group_modules(t: Tables, joined: DataFrame, bounded: bool = False) -> Da
     )
 
 
-def enrich_staff_roles(t: Tables, roles: DataFrame, bounded: bool = False) -> DataFrame:
-    return add_group_modules(t, join_staff_roles(t, roles, bounded), bounded)
+def enrich_staff_roles(t: Tables, roles: DataFrame) -> DataFrame:
+    return add_group_modules(t, join_staff_roles(t, roles))
 
 
-def enrich_groups(t: Tables, groups: DataFrame, bounded: bool = False) -> DataFrame:
+def enrich_groups(t: Tables, groups: DataFrame) -> DataFrame:
     projects = pick(
         t["projects"],
         pid="id",
@@ -155,13 +154,11 @@ def enrich_groups(t: Tables, groups: DataFrame, bounded: bool = False) -> DataFr
     ).withColumnsRenamed(
         {"focal_farmer_id": "focal_key", "assistant_focal_farmer_id": "assistant_key"}
     )
-    households = narrow(t["households"], "farmer_group_id", groups, "id", bounded)
-    farmers = t["farmers"]
-    if bounded:
-        leaders = groups.select(
-            F.explode(F.array("focal_farmer_id", "assistant_focal_farmer_id")).alias("leader")
-        )
-        farmers = narrow(farmers, "id", leaders, "leader", bounded)
+    households = narrow(t["households"], "farmer_group_id", groups, "id")
+    leaders = groups.select(
+        F.explode(F.array("focal_farmer_id", "assistant_focal_farmer_id")).alias("leader")
+    )
+    farmers = narrow(t["farmers"], "id", leaders, "leader")
     counted = child_count(kept, households, "farmer_group_id", "household_count")
     placed = lookup(counted, projects, {"project_id": "pid"})
     placed = lookup(placed, places, {"location_id": "lid"}, "left")
@@ -178,17 +175,17 @@ def enrich_groups(t: Tables, groups: DataFrame, bounded: bool = False) -> DataFr
     )
 
 
-def enrich_sessions(t: Tables, sessions: DataFrame, bounded: bool = False) -> DataFrame:
+def enrich_sessions(t: Tables, sessions: DataFrame) -> DataFrame:
     """Sessions with module, group and responsible staff; unmatched ones drop out."""
     modules = pick(
-        narrow(t["training_modules"], "id", sessions, "module_id", bounded),
+        narrow(t["training_modules"], "id", sessions, "module_id"),
         mid="id",
         module_name="module_name",
         module_number="module_number",
     )
     staff = pick(t["users"], staff_id="id", staff_sf_id="sf_id")
     context = lookup(
-        _group_context(t, sessions, bounded, location=True),
+        _group_context(t, sessions, location=True),
         staff.withColumn("uid", F.col("staff_id")),
         {"responsible_staff_id": "uid"},
     )
@@ -209,9 +206,9 @@ def enrich_sessions(t: Tables, sessions: DataFrame, bounded: bool = False) -> Da
     return lookup(with_module, context, {"farmer_group_id": "group_id"})
 
 
-def enrich_households(t: Tables, households: DataFrame, bounded: bool = False) -> DataFrame:
+def enrich_households(t: Tables, households: DataFrame) -> DataFrame:
     """Households with member count, participants, group, staff and current module."""
-    farmers = narrow(t["farmers"], "household_id", households, "id", bounded)
+    farmers = narrow(t["farmers"], "household_id", households, "id")
     kept = households.select(
         "id",
         "sf_id",
@@ -226,7 +223,7 @@ def enrich_households(t: Tables, households: DataFrame, bounded: bool = False) -
     counted = child_count(kept, not_deleted(farmers), "household_id", "member_count", dtype="int")
     named = lookup(counted, participants(farmers), {"id": "household_id"}, "left")
     context = lookup(
-        _group_context(t, households, bounded),
+        _group_context(t, households),
         current_module(t["training_modules"]).withColumnRenamed("project_id", "mpid"),
         {"project_id": "mpid"},
         "left",
@@ -238,9 +235,9 @@ def enrich_households(t: Tables, households: DataFrame, bounded: bool = False) -
     )
 
 
-def enrich_farmers(t: Tables, farmers: DataFrame, bounded: bool = False) -> DataFrame:
+def enrich_farmers(t: Tables, farmers: DataFrame) -> DataFrame:
     homes = pick(
-        narrow(t["households"], "id", farmers, "household_id", bounded),
+        narrow(t["households"], "id", farmers, "household_id"),
         hid="id",
         household_sf_id="sf_id",
         household_name="household_name",
@@ -248,7 +245,7 @@ def enrich_farmers(t: Tables, farmers: DataFrame, bounded: bool = False) -> Data
         household_tns_id="tns_id",
         household_farm_size=F.col("farm_size").cast("string"),
     )
-    context = _group_context(t, farmers, bounded, location=True)
+    context = _group_context(t, farmers, location=True)
     kept = farmers.select(
         "id",
         "sf_id",
@@ -276,7 +273,6 @@ def enrich_farmers(t: Tables, farmers: DataFrame, bounded: bool = False) -> Data
 def enrich_wetmills(
     t: Tables,
     wetmills: DataFrame,
-    bounded: bool = False,
     group_key: str = WETMILL_GROUP_KEY,
 ) -> DataFrame:
     """Wetmills with staff role, project and latest survey dates and flags.
@@ -284,8 +280,8 @@ def enrich_wetmills(
     A survey counts as completed when its latest date is known.
     """
     live = not_deleted(wetmills)
-    visits = narrow(t["wetmill_visits"], "wetmill_id", wetmills, "id", bounded)
-    responses = narrow(t["wv_survey_responses"], "form_visit_id", visits, "id", bounded)
+    visits = narrow(t["wetmill_visits"], "wetmill_id", wetmills, "id")
+    responses = narrow(t["wv_survey_responses"], "form_visit_id", visits, "id")
     latest = latest_by_type(visits, responses, RESPONSE_DATED, VISIT_DATED)
     kept = live.select(
         "id",

@@ -27,7 +27,7 @@ from sluiceway.plans import enrichment
 from sluiceway.plans.enrichment import RESPONSE_DATED, Tables
 from sluiceway.schemas import FAILED, PENDING, UPDATED
 
-Enrich = Callable[[Tables, DataFrame, bool], DataFrame]
+Enrich = Callable[[Tables, DataFrame], DataFrame]
 
 # Documents are cut at this many items, so that a group of any size is spread
 # over many tasks. It is above every default claim limit.

@@ -15,15 +15,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.predicates import eligible, eligible_one
-from sluiceway.operators.claim import claim_grouped, is_small, state_changes, take_oldest
+from sluiceway.operators.claim import claim_grouped, state_changes, take_oldest
 from sluiceway.operators.joins import exclude_in_flight, stranded
 from sluiceway.operators.packaging import documents, members, place
 from sluiceway.operators.reporting import run_report, run_totals, union_all
 from sluiceway.operators.settlement import settle
 from sluiceway.plans.enrichment import Tables
 from sluiceway.plans.entities import ENTITIES, MAX_ITEMS, EntitySpec
-from sluiceway.schemas import PROCESSING
-from sluiceway.session import write_once
+from sluiceway.schemas import PROCESSING, UPDATED
+from sluiceway.session import release, write_once
 from sluiceway.sources.tables import current_state, read_receipts
 
 Deliver = Callable[[DataFrame], DataFrame]
@@ -39,13 +39,21 @@ class Dispatch:
     spec: EntitySpec
     run_id: str
     run_ts: datetime | str
-    claimed: DataFrame  # id, one row per claimed record
+    claimed: DataFrame  # id and time of update, one row per claimed record, written
     documents: DataFrame
     members: DataFrame
+    run_seq: int | None = None
 
     def claim_changes(self) -> DataFrame:
         return state_changes(
-            self.claimed, self.spec.entity, PROCESSING, self.run_id, self.run_ts, step=0
+            self.claimed,
+            self.spec.entity,
+            PROCESSING,
+            self.run_id,
+            self.run_ts,
+            step=0,
+            seen=F.col(UPDATED),
+            run_seq=self.run_seq,
         )
 
     def open_claims(self) -> DataFrame:
@@ -69,8 +77,13 @@ class Dispatch:
             on_fail=self.spec.on_fail,
             run_id=self.run_id,
             run_ts=self.run_ts,
+            run_seq=self.run_seq,
         )
 
+    def release(self) -> bool:
+        """Delete the run's own tables, once documents and changes are stored."""
+        return release(self.claimed.sparkSession, self.run_id)
+
     def report(self, receipts: DataFrame) -> DataFrame:
         return run_report(self.members, receipts, self.spec.entity)
 
@@ -95,7 +108,7 @@ class SyncRun:
 
     def new_state(self, state: DataFrame) -> DataFrame:
         """What the state this run was made from becomes."""
-        return current_state(state, self.changes, self.dispatch.spec.entity, newer_only=False)
+        return current_state(state, self.changes, self.dispatch.spec.entity, own=True)
 
 
 def spec_of(entity: EntitySpec | str) -> EntitySpec:
@@ -117,33 +130,32 @@ def dispatch(
     claims: DataFrame | None = None,
     record_id: str | None = None,
     state: DataFrame | None = None,
+    run_seq: int | None = None,
 ) -> Dispatch:
     """Claim records of one entity and build their documents.
 
-    A small claim is written once and the large tables are cut down to it; a
-    whole backlog is never gathered: it is written once when its rows are placed
-    in documents, and everything else is read from there.
+    The claim is written once, whatever its size, and everything else is made from
+    that table: documents, changes, open claims, what was stranded. So the outbox,
+    and the claims that other runs publish, may change meanwhile.
     """
     spec = spec_of(entity)
     state = tables[spec.entity] if state is None else state
     limit = spec.limit if limit == ENTITY_LIMIT else limit
     one = record_id is not None
-    bounded = one or is_small(limit)
     candidates = eligible_one(state, record_id) if one else eligible(state)
     if claims is not None:
-        candidates = exclude_in_flight(candidates, claims, spec.entity)
+        candidates = exclude_in_flight(candidates, claims, spec.entity, run_id)
 
     if spec.claim_after_joins:
         # A single record is sent once, even where joins repeat it.
-        joined = spec.enrich(tables, candidates, one)
+        joined = spec.enrich(tables, candidates)
         claimed = claim_grouped(joined, 1 if one else limit, ties=spec.ties)
     else:
         claimed = candidates if one else take_oldest(candidates, limit)
-    if bounded:
-        claimed = write_once(claimed, f"claim-{spec.entity}")
-    enriched = claimed if spec.claim_after_joins else spec.enrich(tables, claimed, bounded)
+    claimed = write_once(claimed, f"claim-{spec.entity}", run_id)
+    enriched = claimed if spec.claim_after_joins else spec.enrich(tables, claimed)
     if spec.finish is not None:
-        enriched = spec.finish(tables, enriched, bounded)
+        enriched = spec.finish(tables, enriched)
 
     placed = place(
         enriched,
@@ -152,13 +164,12 @@ def dispatch(
         order=spec.order(),
         run_id=run_id,
         max_items=max_items,
-        bounded=bounded,
         packable=spec.packable() if spec.packable else None,
     )
-    if bounded:
-        placed = write_once(placed, f"placed-{spec.entity}")
     rows = members(placed)
-    ids = rows.select("id").distinct() if spec.claim_after_joins else claimed.select("id")
+    # Joins repeat a record's rows before the claim; its time of update is the same.
+    ids = claimed.select("id", UPDATED)
+    ids = ids.distinct() if spec.claim_after_joins else ids
     docs = documents(
         placed,
         entity=spec.entity,
@@ -166,7 +177,7 @@ def dispatch(
         items_field=spec.items_field,
         run_id=run_id,
     )
-    return Dispatch(spec, run_id, run_ts, ids, docs, rows)
+    return Dispatch(spec, run_id, run_ts, ids, docs, rows, run_seq)
 
 
 def finish_run(sent: Dispatch, receipts: DataFrame) -> SyncRun:

@@ -89,10 +89,11 @@ RECEIPTS = ("payload_id string, status_code int")
 # Records another run holds.
 CLAIMS = ("entity string, id string, run_id string, open boolean")
 
-# One row per record whose outbox state changes; appended, never updated.
+# One row per record whose outbox state changes; appended, never updated. ``seen_at`` is
+# the time of update the record had when the change was made.
 CHANGES = (
     f"entity string, id string, {FLAG} boolean, {STATUS} string,"
-    f" {UPDATED} timestamp, run_id string, step int"
+    f" {UPDATED} timestamp, run_id string, step int, seen_at timestamp, run_seq long, day date"
 )
 
 # One row per document to deliver.

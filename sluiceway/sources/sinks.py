@@ -28,23 +28,30 @@ def write_payloads(
 def append_changes(changes: DataFrame, path: str) -> None:
     """Add state changes to the log at ``path``.
 
-    A run writes as much as it changed, not as much as the table holds. Writing
-    the same run and step again replaces them, so a repeated run is harmless.
+    A run writes as much as it changed, not as much as the table holds, below the
+    entity and day, so that readers can leave out what is folded. Writing the same
+    run and step again replaces them, so a repeated run is harmless.
     """
     (
         changes.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("entity", "run_id", "step")
+        .partitionBy("entity", "day", "run_id", "step")
         .parquet(path)
     )
 
 
-def write_state(state: DataFrame, path: str, version: str) -> None:
+def write_state(
+    state: DataFrame, path: str, version: str, folded: DataFrame | None = None
+) -> None:
     """Write a whole new version of a relation, to fold a long log into it.
 
-    A version is never overwritten, so the one being read stays as it is.
+    A version is never overwritten, so the one being read stays as it is. ``folded``
+    is the log that went into it; how far it went is written beside the version.
     """
     state.write.mode("errorifexists").parquet(f"{path}/version={version}")
+    if folded is not None:
+        mark = folded.agg(F.max("day").alias("day"), F.max("run_seq").alias("run_seq"))
+        mark.coalesce(1).write.mode("errorifexists").parquet(f"{path}/_folded/{version}")
 
 
 def merge_changes(changes: DataFrame, table: str) -> None:

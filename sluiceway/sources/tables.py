@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceway.schemas import CHANGES, FLAG, RELATIONS, STATUS, UPDATED
@@ -30,9 +30,22 @@ def read_receipts(df: DataFrame) -> DataFrame:
     return df.select("payload_id", F.col("status_code").cast("int"))
 
 
-def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """The log of state changes written by :func:`sinks.append_changes`."""
-    return spark.read.schema(CHANGES).parquet(path)
+def read_changes(spark: SparkSession, path: str, after: Row | None = None) -> DataFrame:
+    """The log of state changes written by :func:`sinks.append_changes`.
+
+    ``after``, a mark from :func:`read_folded`, leaves out the days and runs that a
+    version of the table already holds; earlier days are not listed.
+    """
+    log = spark.read.schema(CHANGES).parquet(path)
+    if after is not None:
+        # The last folded run may have been settled after it was folded.
+        log = log.filter((F.col("day") >= F.lit(after.day)) & (F.col("run_seq") >= after.run_seq))
+    return log
+
+
+def read_folded(spark: SparkSession, path: str, version: str) -> Row | None:
+    """How far the log was folded into a written version: ``day`` and ``run_seq``."""
+    return spark.read.schema("day date, run_seq long").parquet(f"{path}/_folded/{version}").first()
 
 
 def read_state(spark: SparkSession, path: str, version: str, name: str) -> DataFrame:
@@ -41,26 +54,35 @@ def read_state(spark: SparkSession, path: str, version: str, name: str) -> DataF
 
 
 def current_state(
-    state: DataFrame, changes: DataFrame, entity: str, newer_only: bool = True
+    state: DataFrame, changes: DataFrame, entity: str, own: bool = False
 ) -> DataFrame:
     """``state`` as the log of changes leaves it.
 
-    The log is reduced to the latest change per record before it meets the
-    table. A record that was updated after its latest change keeps its own
-    values, so flagging it again makes it eligible again. Without ``newer_only``
-    every change counts, as is right for the very state a run was made from.
+    The log is reduced to one row per record before it meets the table: the latest
+    change, by run and step, and the times of update that changes were made from. It
+    applies if one of them is the record's: then the log begins at the record as it is.
+    Otherwise the record was edited after the log's changes, or holds them already, and keeps
+    its own values, so flagging it again makes it eligible again. Clocks are not compared.
+    With ``own`` every change counts, as is right for the very state a run was made from.
     """
     updated_type = state.schema[UPDATED].dataType
     latest = (
         changes.filter(F.col("entity") == entity)
         .groupBy("id")
-        .agg(F.max_by(F.struct(FLAG, STATUS, UPDATED), F.struct(UPDATED, "step")).alias("change"))
-        .select(F.col("id").alias("changed_id"), "change")
+        .agg(
+            F.max_by(F.struct(FLAG, STATUS, UPDATED), F.struct("run_seq", "step")).alias("change"),
+            F.collect_set(F.col("seen_at").cast(updated_type)).alias("seen"),
+            F.max(F.col("seen_at").isNull()).alias("seen_null"),
+        )
+        .select(F.col("id").alias("changed_id"), "change", "seen", "seen_null")
     )
     changed_at = F.col(f"change.{UPDATED}").cast(updated_type)
     applied = F.col("changed_id").isNotNull()
-    if newer_only:
-        applied = applied & (F.col(UPDATED).isNull() | (changed_at >= F.col(UPDATED)))
+    if not own:
+        begins = F.when(F.col(UPDATED).isNull(), F.col("seen_null")).otherwise(
+            F.array_contains("seen", F.col(UPDATED))
+        )
+        applied = applied & F.coalesce(begins, F.lit(False))
     joined = state.join(latest, F.col("id") == F.col("changed_id"), "left")
     new = {
         FLAG: F.col(f"change.{FLAG}"),

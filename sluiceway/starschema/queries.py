@@ -221,7 +221,7 @@ def group_first_row(t):
 @query
 def _claim_fifo(t):
     claimed = claim_fifo(t["households"], 200).select("id", UPDATED)
-    return with_positions(claimed, [], fifo_order(), bounded=True).select("pos", "id", _when())
+    return with_positions(claimed, [], fifo_order()).select("pos", "id", _when())
 
 
 @query
@@ -235,7 +235,7 @@ def claim_by_group(t):
     joined = P.enrich_sessions(t, eligible(t["training_sessions"]))
     claimed = claim_grouped(joined, 300, ties=("worker_group",))
     key = F.col("project_unique_id").asc_nulls_last()
-    ordered = with_positions(claimed, [], [key, *fifo_order("worker_group")], bounded=True)
+    ordered = with_positions(claimed, [], [key, *fifo_order("worker_group")])
     return ordered.select("pos", "id", "project_unique_id", "worker_group")
 
 
@@ -423,10 +423,9 @@ def payload_excludes_empty(t):
         order=spec.order(),
         run_id=RUN_ID,
         max_items=MAX_ITEMS,
-        bounded=False,
         packable=spec.packable(),
     )
-    return placed.groupBy("unique_project_key").agg(
+    return placed.rows().groupBy("unique_project_key").agg(
         F.count("*").alias("n_rows"), F.count("item").alias("n_items")
     )
 

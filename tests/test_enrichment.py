@@ -32,8 +32,7 @@ def member(fid, home, name, primary=True, when=DAY[0], deleted=False):
     }
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_household_members_and_names(world, bounded):
+def test_household_members_and_names(world):
     homes = [{"id": h, "farmer_group_id": "g", **flagged(DAY[0])} for h in "abcdefg"]
     t = world(
         projects=[{"id": "p", "project_unique_id": "P"}],
@@ -55,7 +54,7 @@ def test_household_members_and_names(world, bounded):
         ],
     )
     got = by_id(
-        P.enrich_households(t, t["households"], bounded), "member_count", "household_participants"
+        P.enrich_households(t, t["households"]), "member_count", "household_participants"
     )
     assert got == {
         "a": (0, None),
@@ -68,8 +67,7 @@ def test_household_members_and_names(world, bounded):
     }
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_duplicate_roles_repeat_a_record_and_missing_ones_do_not_drop_it(world, bounded):
+def test_duplicate_roles_repeat_a_record_and_missing_ones_do_not_drop_it(world):
     t = world(
         projects=[{"id": "p", "project_unique_id": "P"}],
         farmer_groups=[group(), group("h", staff=None), group("i", staff="nobody")],
@@ -81,15 +79,14 @@ def test_duplicate_roles_repeat_a_record_and_missing_ones_do_not_drop_it(world,
         ],
         households=[{"id": g + "1", "farmer_group_id": g} for g in "ghi"],
     )
-    rows = P.enrich_households(t, t["households"], bounded).collect()
+    rows = P.enrich_households(t, t["households"]).collect()
     assert sorted((r.id, r.worker_group) for r in rows if r.worker_group) == [
         ("g1", "w1"), ("g1", "w2"),
     ]
     assert sorted(r.id for r in rows if not r.worker_group) == ["h1", "i1"]
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_records_without_their_parents_are_stranded(world, bounded):
+def test_records_without_their_parents_are_stranded(world):
     t = world(
         projects=[{"id": "p", "project_unique_id": "P"}],
         farmer_groups=[group(), group("lost", project="none")],
@@ -101,13 +98,12 @@ def test_records_without_their_parents_are_stranded(world, bounded):
             {"id": "4", "household_id": "h", "farmer_group_id": None},
         ],
     )
-    kept = P.enrich_farmers(t, t["farmers"], bounded)
+    kept = P.enrich_farmers(t, t["farmers"])
     assert by_id(kept, "household_tns_id", "location_name") == {"1": ("HT", None)}
     assert {r.id for r in stranded(t["farmers"], kept).collect()} == {"2", "3", "4"}
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_groups_count_all_households_and_find_both_leaders(world, bounded):
+def test_groups_count_all_households_and_find_both_leaders(world):
     t = world(
         projects=[{"id": "p", "sf_id": "PS", "project_unique_id": "P"}],
         locations=[{"id": "l", "location_name": "Place"}],
@@ -123,7 +119,7 @@ def test_groups_count_all_households_and_find_both_leaders(world, bounded):
         farmers=[{"id": "f1", "commcare_case_id": "c1"}, {"id": "f2"}],
     )
     got = by_id(
-        P.enrich_groups(t, t["farmer_groups"], bounded),
+        P.enrich_groups(t, t["farmer_groups"]),
         "household_count", "location_name", "focal_id", "focal_case_id", "assistant_id",
     )
     assert got == {
@@ -132,8 +128,7 @@ def test_groups_count_all_households_and_find_both_leaders(world, bounded):
     }
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_sessions_need_module_group_and_staff(world, bounded):
+def test_sessions_need_module_group_and_staff(world):
     t = world(
         projects=[{"id": "p", "project_unique_id": "P"}],
         users=[{"id": "s", "sf_id": "US"}],
@@ -147,7 +142,7 @@ def test_sessions_need_module_group_and_staff(world, bounded):
         ],
     )
     got = by_id(
-        P.enrich_sessions(t, t["training_sessions"], bounded),
+        P.enrich_sessions(t, t["training_sessions"]),
         "module_name", "date_session_1", "date_session_2", "staff_id", "staff_sf_id",
     )
     assert got == {"1": ("M", "2024-03-01", None, "s", "US")}
@@ -177,7 +172,7 @@ def test_staff_roles_take_modules_of_the_group_first_row(world):
     )
     for bounded in (True, False):
         got = by_id(
-            P.enrich_staff_roles(t, t["project_staff_roles"], bounded),
+            P.enrich_staff_roles(t, t["project_staff_roles"]),
             "current_name", "current_number", "previous_name",
         )
         assert got == {
@@ -240,8 +235,7 @@ def test_survey_dates(world):
     }
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_wetmills_match_programme_in_one_project_key(world, bounded):
+def test_wetmills_match_programme_in_one_project_key(world):
     mill = lambda mid, programme, deleted=False: {
         "id": mid, "user_id": "u", "programme": programme, "is_deleted": deleted,
     }
@@ -266,7 +260,7 @@ def test_wetmills_match_programme_in_one_project_key(world, bounded):
             {"form_visit_id": "v", "survey_type": "kpis", "completed_date": dt.date(2024, 1, 2)},
         ],
     )
-    rows = P.enrich_wetmills(t, t["wetmills"], bounded).collect()
+    rows = P.enrich_wetmills(t, t["wetmills"]).collect()
     assert sorted((r.id, r.staff_role_id) for r in rows) == [
         ("1", "r1"), ("2", "r1"), ("7", "r1"), ("7", "r3"),
     ]

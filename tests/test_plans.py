@@ -12,6 +12,7 @@ from sluiceway.operators.ranking import current_module, module_info, participant
 from sluiceway.operators.rollups import child_count, latest_by_type
 from sluiceway.plans import enrichment as P
 from sluiceway.plans.entities import ENTITIES
+from sluiceway.plans.runs import dispatch
 from sluiceway.sources.tables import load, load_all
 from tests.conftest import flagged
 
@@ -92,9 +93,9 @@ def test_survey_dates_scan_each_fact_table_once(t, large_tables):
 
 def test_no_enrichment_pairs_everything_or_hints_a_broadcast(t, large_tables):
     for name, spec in ENTITIES.items():
-        rows = spec.enrich(t, eligible(t[name]), False)
+        rows = spec.enrich(t, eligible(t[name]))
         if spec.finish:
-            rows = spec.finish(t, rows, False)
+            rows = spec.finish(t, rows)
         text = plan(rows)
         for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BroadcastHashJoin", "SinglePartition"):
             assert operator not in text, (name, operator)
@@ -102,9 +103,10 @@ def test_no_enrichment_pairs_everything_or_hints_a_broadcast(t, large_tables):
 
 def test_backlog_side_is_joined_once_to_its_group_dimensions(t, large_tables):
     text = plan(P.enrich_households(t, eligible(t["households"])))
-    # once by id for count and names, once by group
-    assert len(re.findall(r"Exchange hashpartitioning\(id,", text)) == 1
-    assert len(re.findall(r"Exchange hashpartitioning\(farmer_group_id,", text)) == 1
+    # Rows once by id for count and names, once by group; and once the ids alone, which the
+    # farmers are cut down to. The group keys are few enough here to be planned otherwise.
+    assert len(re.findall(r"Exchange hashpartitioning\(id,", text)) == 2
+    assert len(re.findall(r"Exchange hashpartitioning\(farmer_group_id,", text)) <= 2
 
 
 def test_farmers_are_exchanged_once_for_both_leaders(t, large_tables):
@@ -115,11 +117,29 @@ def test_farmers_are_exchanged_once_for_both_leaders(t, large_tables):
     assert "ReusedExchange" in text
 
 
-def test_small_claims_are_broadcast_against_large_tables(t, spark):
-    claimed = claim_fifo(t["households"], 200)
-    rows = P.enrich_households(t, claimed, True)
-    assert "LeftSemi" in plan(rows)
-    assert "LeftSemi" not in plan(P.enrich_households(t, claimed, False))
+def test_children_are_cut_down_to_the_claim_whatever_its_size(t, large_tables):
+    """The claim's ids share the exchange of the key the child is grouped by next."""
+    for claimed in (eligible(t["households"]), claim_fifo(t["households"], 200)):
+        text = plan(P.enrich_households(t, claimed))
+        assert text.count("LeftSemi") >= 2
+        # Counts and names: each exchanges the farmers once, and never again by the same key.
+        assert len(re.findall(r"Exchange hashpartitioning\(household_id,", text)) == 2
+
+
+def test_written_claim_keeps_its_rows_and_cuts_down_children(t, spark):
+    sent = dispatch(t, "households", run_id="r", run_ts="2024-06-01", limit=None)
+    assert sent.claimed.inputFiles() and "claim-households" in sent.claimed.inputFiles()[0]
+    assert not any("/households/" in f for f in sent.claim_changes().inputFiles())
+
+
+def test_large_limit_becomes_a_predicate_of_the_scan(spark, table, tmp_path, monkeypatch):
+    monkeypatch.setattr("sluiceway.operators.claim.TOP_N", 0)
+    day = [dt.datetime(2024, 1, d) for d in range(1, 9)]
+    table("households", *[{"id": str(i), **flagged(day[i])} for i in range(8)]).write.parquet(f"{tmp_path}/households")
+    homes = load(spark, str(tmp_path), "households")
+    claimed = claim_fifo(homes, 3)
+    assert {r.id for r in claimed.collect()} == {"0", "1", "2"}
+    assert re.search(r"PushedFilters: .*LessThanOrEqual\(updated_at,2024-01-03", plan(claimed)), plan(claimed)
 
 
 def test_hot_group_is_split_by_adaptive_execution(spark, world, tmp_path, large_tables):

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from sluiceway.operators.claim import (
     claim_fifo,
     claim_grouped,
-    fifo_order,
     take_first,
     take_oldest,
 )
@@ -38,12 +37,12 @@ def order():
     return [F.col("age").asc_nulls_last(), F.col("i").asc_nulls_last()]
 
 
-def test_positions_agree_with_brute_force_bounded_or_not(spark):
+def test_positions_agree_with_brute_force_in_one_range_or_many(spark):
     rows = hot_rows()
     df = spark.createDataFrame(rows, "key string, age int, i int").repartition(7)
     want = brute_positions(rows)
-    for bounded in (True, False):
-        placed = with_positions(df, ["key"], order(), bounded)
+    for rows_per_range in (10_000, 500):
+        placed = with_positions(df, ["key"], order(), rows_per_range=rows_per_range)
         assert sorted(placed.columns) == ["age", "i", "key", "pos"]
         assert {r.i: r.pos for r in placed.collect()} == want
 
@@ -52,7 +51,7 @@ def test_hot_key_is_spread_over_partitions(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.createDataFrame(hot_rows(), "key string, age int, i int").repartition(4)
-        ranges = numbered_ranges(df, [F.col("key").asc_nulls_first(), *order()])
+        ranges = numbered_ranges(df, [F.col("key").asc_nulls_first(), *order()], 4)
         sizes = {r["__part"]: r["count"] for r in ranges.groupBy("__part").count().collect()}
         hot = ranges.filter(F.col("key") == "hot").select("__part").distinct().count()
         assert hot > 1 and max(sizes.values()) < 0.5 * sum(sizes.values())
@@ -63,7 +62,7 @@ def test_hot_key_is_spread_over_partitions(spark):
 def test_global_positions_number_every_row_once(spark):
     rows = hot_rows(500)
     df = spark.createDataFrame(rows, "key string, age int, i int")
-    got = with_positions(df, [], order(), bounded=False).collect()
+    got = with_positions(df, [], order(), rows_per_range=100).collect()
     want = sorted(rows, key=lambda r: (r[1] is None, r[1] or 0, r[2]))
     assert [r.i for r in sorted(got, key=lambda r: r.pos)] == [r[2] for r in want]
     assert sorted(r.pos for r in got) == list(range(1, 501))
@@ -71,7 +70,7 @@ def test_global_positions_number_every_row_once(spark):
 
 def test_empty_input_has_no_positions(spark):
     df = spark.createDataFrame([], "key string, age int, i int")
-    assert with_positions(df, ["key"], order(), bounded=False).count() == 0
+    assert with_positions(df, ["key"], order(), rows_per_range=1).count() == 0
 
 
 @pytest.mark.parametrize("limit", [1, 123, 360, 399, 400, 900])
@@ -80,10 +79,12 @@ def test_large_limit_takes_the_same_rows_as_a_small_one(spark, monkeypatch, limi
         [(None if i % 9 == 0 else 50 - i % 50, str(i)) for i in range(400)],
         "updated_at int, id string",
     )
-    want = {r.id for r in take_first(df, fifo_order(), limit).collect()}
+    order = ["updated_at", "id"]
+    want = {r.id for r in take_first(df, order, limit).collect()}
     assert len(want) == min(limit, 400)
     monkeypatch.setattr("sluiceway.operators.claim.TOP_N", 0)
-    for large in (take_first(df, fifo_order(), limit), take_oldest(df, limit)):
+    timed = df.withColumn("updated_at", F.timestamp_seconds(F.col("updated_at") * 600))
+    for large in (take_first(df, order, limit), take_oldest(timed, limit)):
         assert sorted(r.id for r in large.collect()) == sorted(want)
 
 

@@ -320,7 +320,7 @@ def test_state_invariants_on_a_mixed_backlog(spark, world):
 
 @pytest.mark.parametrize("entity", ["households", "project_staff_roles"])
 def test_size_of_claim_does_not_change_what_is_sent(spark, world, monkeypatch, entity):
-    """A top-n, a ranked claim and a ranked claim too large to write agree."""
+    """A top-n, a ranked claim and a claim ranked in several ranges agree."""
     homes = [(f"h{i:02}", f"p{i % 3}") for i in range(30)]
     t = homes_world(world, homes, roles=("w1", "w2"))
     t["users"] = world(users=[{"id": "s", "first_name": "S"}])["users"]
@@ -328,10 +328,73 @@ def test_size_of_claim_does_not_change_what_is_sent(spark, world, monkeypatch, e
         {FLAG: F.lit(True), STATUS: F.lit("Pending")}
     ).withColumn("id", F.concat("project_id", "id"))
     sent = []
-    for top_n, small in ((100, 100), (0, 100), (0, 0)):
+    for top_n, rows_per_range in ((100, 100), (0, 100), (0, 2)):
         monkeypatch.setattr("sluiceway.operators.claim.TOP_N", top_n)
-        monkeypatch.setattr("sluiceway.operators.claim.SMALL_CLAIM", small)
+        monkeypatch.setattr("sluiceway.operators.positions.ROWS_PER_RANGE", rows_per_range)
         run = dispatch(t, entity, limit=4, **NOW)
         sent.append(sorted((d.payload_id, d.body) for d in run.documents.collect()))
         assert run.claimed.count() == 4
     assert sent[0] == sent[1] == sent[2] and sent[0]
+
+
+CLAIM_FIRST = ("farmer_groups", "households", "farmers", "wetmills")
+
+
+def outbox_world(world, n=5):
+    """Records of the four entities that are claimed before they are joined."""
+    return world(
+        projects=[{"id": "p", "project_unique_id": "coffee_global_sustainability", "project_name": "x"}],
+        project_staff_roles=[{"id": "r", "project_id": "p", "staff_id": "u"}],
+        farmer_groups=[
+            {"id": f"g{i}", "project_id": "p", **flagged(DAY[i])} for i in range(n)
+        ],
+        households=[{"id": f"h{i}", "farmer_group_id": "g0", **flagged(DAY[i])} for i in range(n)],
+        farmers=[
+            {"id": f"f{i}", "household_id": "h0", "farmer_group_id": "g0", "is_deleted": False, **flagged(DAY[i])}
+            for i in range(n)
+        ],
+        wetmills=[
+            {"id": f"w{i}", "user_id": "u", "programme": "x", "is_deleted": False, **flagged(DAY[i])}
+            for i in range(n)
+        ],
+    )
+
+
+@pytest.mark.parametrize("limit", [None, 3, 200_000])
+@pytest.mark.parametrize("entity", CLAIM_FIRST)
+def test_a_claim_stays_as_it_was_taken(spark, world, table, tmp_path, entity, limit):
+    """Publishing the own claims, or new eligible rows, change nothing of a dispatch."""
+    t = outbox_world(world)
+    outbox, claims = f"{tmp_path}/outbox", f"{tmp_path}/claims"
+    t[entity].filter("id not like '%4'").write.parquet(outbox)
+    table("claims", {"entity": entity, "id": "none", "open": True}).write.parquet(claims)
+    live = {**t, entity: spark.read.parquet(outbox)}
+    sent = dispatch(live, entity, limit=limit, claims=spark.read.parquet(claims), **NOW)
+    before = sorted(r.id for r in sent.claimed.collect())
+    assert len(before) == (3 if limit == 3 else 4)
+    sent.open_claims().write.mode("append").parquet(claims)
+    t[entity].filter("id like '%4'").write.mode("append").parquet(outbox)
+    for rows in (sent.claimed, sent.claim_changes(), sent.open_claims(), sent.members):
+        assert sorted(r.id for r in rows.collect()) == before
+    assert sum(d.n_items for d in sent.documents.collect()) <= len(before)
+    # Another run finds only what is left; the same run finds its own claims again.
+    fresh = {**t, entity: spark.read.parquet(outbox)}
+    others = dispatch(fresh, entity, claims=spark.read.parquet(claims), run_id="r2", run_ts="2024-06-02")
+    assert {r.id for r in others.claimed.collect()}.isdisjoint(before)
+    again = dispatch(fresh, entity, claims=spark.read.parquet(claims), **NOW)
+    assert set(before) <= {r.id for r in again.claimed.collect()}
+
+
+def test_released_runs_leave_nothing(spark, world):
+    import os
+
+    from sluiceway.session import release, scratch_folder
+
+    t = homes_world(world, [("a", "p"), ("b", "q")])
+    sent = dispatch(t, "households", limit=None, run_id="run/1", run_ts="2024-06-01")
+    folder = scratch_folder(spark, "run/1")
+    assert sent.documents.count() == 2 and os.listdir(folder)
+    assert sent.release() and not os.path.exists(folder)
+    assert not sent.release()
+    with pytest.raises(ValueError):
+        release(spark, "")

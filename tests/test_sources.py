@@ -87,7 +87,44 @@ def test_run_applies_to_its_own_state_whatever_the_clock_says(spark, world):
     run = sync_batch(t, "households", deliver, run_id="r", run_ts="2000-01-01")
     assert states(run.new_state(t["households"])) == {"a": ("Complete", False)}
     by_log = tables.current_state(t["households"], run.changes, "households")
-    assert states(by_log) == {"a": ("Pending", True)}
+    assert states(by_log) == {"a": ("Complete", False)}
+
+
+def test_log_by_runs_not_by_clocks(spark, world, tmp_path):
+    """Ties between runs, a record touched before it was claimed, and later edits."""
+    t = homes_world(world, [("a", "p"), ("b", "p"), ("c", "p")])
+    path = f"{tmp_path}/log"
+    # Two runs with one time: the first returns its records, the second claims again.
+    first = dispatch(t, "households", run_id="z", run_ts="2000-01-01", run_seq=1)
+    sinks.append_changes(first.claim_changes(), path)
+    back = first.claim_changes().withColumn("send_to_commcare_status", F.lit("Pending")).withColumns(
+        {"step": F.lit(1), "seen_at": F.col("updated_at")}
+    )
+    sinks.append_changes(back, path)
+    now = tables.current_state(t["households"], tables.read_changes(spark, path), "households")
+    assert set(states(now).values()) == {("Pending", True)}
+    second = dispatch({**t, "households": now}, "households", run_id="a", run_ts="2000-01-01", run_seq=2)
+    sinks.append_changes(second.claim_changes(), path)
+    log = tables.read_changes(spark, path)
+    assert set(states(tables.current_state(t["households"], log, "households")).values()) == {("Processing", True)}
+    # One record is edited meanwhile, and keeps its own values whatever the run's time is.
+    edited = t["households"].withColumn(
+        "updated_at", F.when(F.col("id") == "b", F.lit("1999-01-01").cast("timestamp")).otherwise(F.col("updated_at"))
+    )
+    assert states(tables.current_state(edited, log, "households")) == {
+        "a": ("Processing", True), "b": ("Pending", True), "c": ("Processing", True),
+    }
+    # Folded, the log makes no further difference until a new run, whose changes alone are read.
+    state = tables.current_state(edited, log, "households")
+    sinks.write_state(state, f"{tmp_path}/state", "1", log)
+    mark = tables.read_folded(spark, f"{tmp_path}/state", "1")
+    folded = tables.read_state(spark, f"{tmp_path}/state", "1", "households")
+    assert states(tables.current_state(folded, log, "households")) == states(state)
+    third = dispatch({**t, "households": folded}, "households", run_id="n", run_ts="2000-01-02", run_seq=3)
+    sinks.append_changes(third.claim_changes(), path)
+    newer = tables.read_changes(spark, path, mark)
+    assert {r.run_id for r in newer.collect()} == {"a", "n"}
+    assert states(tables.current_state(folded, newer, "households"))["b"] == ("Processing", True)
 
 
 def test_state_versions_are_never_overwritten(spark, table, tmp_path):
