@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, flatgraph, lm, mixing, packing, pii, simhash, toxicity
+from . import ann, chat, flatgraph, langid, lm, mixing, packing, pii, simhash, toxicity
 from .common import remainder, table
 
 HELD_OUT = 2  # remainder of the labels that only measure
@@ -42,6 +42,13 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page and every document; the documents' language is only what the text model learns from."""
+    docs = table(spark, folder, "documents")
+    rows = langid.pages(table(spark, folder, "pages")).unionByName(langid.plain_texts(docs), allowMissingColumns=True)
+    return langid.identify(rows, langid.fit(docs), ("doc_id", "page_id"))
+
+
 def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
@@ -65,7 +72,7 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
-        op1_mixing, op2_pii, op3_ann, op4_packing, op5_toxicity, op7_chat, op8_simhash, op9_lm, op10_embedding_dedup,
+        op1_mixing, op2_pii, op3_ann, op4_packing, op5_toxicity, op6_language, op7_chat, op8_simhash, op9_lm, op10_embedding_dedup,
     )
     return {query.__name__: query for query in own}
 
