@@ -211,11 +211,12 @@ def _wetmill_fields() -> dict[str, Column]:
         "status": F.col("status"),
     }
     for survey, field in SURVEY_FIELDS.items():
+        if survey == "gender_equitable_business_practices":  # after the visits, by the contract
+            fields["wetMillTrainingDate"] = iso_date("wet_mill_training_date")
+            fields["routineVisitDate"] = iso_date("routine_visit_date")
         fields[f"{field}Completed"] = true_false(f"{survey}_completed")
         fields[f"{field}Date"] = iso_date(f"{survey}_date")
     return fields | {
-        "wetMillTrainingDate": iso_date("wet_mill_training_date"),
-        "routineVisitDate": iso_date("routine_visit_date"),
         "ccMobileWorkerGroupId": F.col("worker_group"),
         "staffId": prefer_id("staff_case_id", "staff_role_id"),
         "millExternalId": empty_to_null("mill_external_id"),

@@ -8,9 +8,7 @@ from __future__ import annotations
 
 import re
 
-from sluiceway.plans.enrichment import RESPONSE_DATED, VISIT_DATED
-from sluiceway.plans.entities import MAX_ITEMS, SURVEY_FIELDS
-from sluiceway.starschema.queries import HOUSEHOLDS_PER_DOCUMENT, RUN_ID, RUN_TS
+from sluiceway.starschema.queries import EDITED, HOUSEHOLDS_PER_DOCUMENT, RUN_ID, RUN_TS
 from sluiceway.starschema.relations import (
     CUSTOMERS_PER_STAFF,
     ROLES,
@@ -20,6 +18,30 @@ from sluiceway.starschema.relations import (
 )
 
 
+# Fixed values of the contract, written out here again so that a wrong one on either side shows.
+RESPONSE_DATED = (
+    "cpqi",
+    "kpis",
+    "manager_needs_assessment",
+    "infrastructure",
+    "waste_water_management",
+    "financials",
+    "employees",
+    "water_and_energy_use",
+    "gender_equitable_business_practices",
+)
+VISIT_DATED = ("wet_mill_training", "routine_visit")
+MAX_ITEMS = 10_000
+LIMITS = {
+    "project_staff_roles": 500,
+    "farmer_groups": 500,
+    "training_sessions": 300,
+    "households": 200,
+    "farmers": 500,
+    "wetmills": 500,
+}
+
+
 def _words(words: tuple[str, ...]) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
@@ -77,7 +99,7 @@ VIEWS = {
         SELECT CAST(c_custkey AS VARCHAR) AS id,
             {_sf_id("R", "c_custkey", "c_mktsegment", "BUILDING", "MACHINERY")} AS sf_id,
             CAST(c_nationkey AS VARCHAR) AS project_id,
-            {_STAFF} AS staff_id,
+            CASE WHEN c_mktsegment <> 'FURNITURE' THEN {_STAFF} END AS staff_id,
             c_name AS tns_id,
             ({_words(ROLES)})[c_nationkey % 2 + 1] AS role,
             CASE WHEN c_acctbal > 0 THEN 'W' || c_custkey END AS commcare_location_id,
@@ -86,7 +108,7 @@ VIEWS = {
             CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'Complete' WHEN 'BUILDING' THEN 'Failed'
                  ELSE 'Pending' END AS send_to_commcare_status,
             {_CUSTOMER_TIME} AS updated_at
-        FROM customer WHERE c_mktsegment <> 'FURNITURE'""",
+        FROM customer""",
     "training_modules": """
         SELECT CAST(p_partkey AS VARCHAR) AS id,
             CAST(p_partkey % 25 AS VARCHAR) AS project_id,
@@ -231,8 +253,29 @@ def _survey_dates() -> str:
     return ",\n".join(parts)
 
 
-def _enriched(entity: str, where: str = "true") -> str:
-    """Flat rows of the outbox rows that satisfy ``where``."""
+_AGE = "updated_at ASC NULLS LAST, id ASC NULLS LAST"
+
+
+def _first(entity: str, limit: int) -> str:
+    """The oldest eligible records of an entity that is claimed before its joins."""
+    return f"id IN (SELECT id FROM {entity} WHERE {_ELIGIBLE} ORDER BY {_AGE} LIMIT {limit})"
+
+
+def _enriched(entity: str, where: str = "true", limit: int | None = None) -> str:
+    """Flat rows of the outbox rows that satisfy ``where``, up to a claim's ``limit``.
+
+    Two entities are claimed by group and age after their joins, the others before.
+    """
+    by_group = ""
+    if limit is not None and entity == "project_staff_roles":
+        by_group = f"ORDER BY project_unique_id ASC NULLS LAST, {_AGE} LIMIT {limit}"
+    elif limit is not None and entity == "training_sessions":
+        return (
+            f"SELECT * FROM ({_enriched(entity, where)}) ORDER BY project_unique_id ASC NULLS LAST,"
+            f" {_AGE}, worker_group ASC NULLS LAST LIMIT {limit}"
+        )
+    elif limit is not None:
+        where = _first(entity, limit)
     return {
         "project_staff_roles": f"""
             WITH joined AS (
@@ -242,7 +285,7 @@ def _enriched(entity: str, where: str = "true") -> str:
                     u.first_name, u.middle_name, u.last_name, u.status AS staff_status
                 FROM (SELECT * FROM project_staff_roles WHERE {where}) o
                 JOIN projects p ON p.id = o.project_id
-                JOIN users u ON u.id = o.staff_id
+                JOIN users u ON u.id = o.staff_id {by_group.replace("updated_at", "o.updated_at").replace(", id ", ", o.id ")}
             ), leads AS (
                 SELECT DISTINCT project_unique_id, first_value(project_id) OVER (
                     PARTITION BY project_unique_id
@@ -387,34 +430,11 @@ def _date(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%d')"
 
 
-def _wetmill_fields() -> dict[str, str]:
-    fields = {
-        "commCareCaseId": "commcare_case_id",
-        "tnsId": "wet_mill_unique_id",
-        "comments": "comments",
-        "country": "country",
-        "dateBASignature": _date("registration_date"),
-        "exportingStatus": "exporting_status",
-        "managerName": "manager_name",
-        "managerRole": "manager_role",
-        "programme": "programme",
-        "registrationDate": _date("registration_date"),
-        "wetmillName": "name",
-        "millStatus": "mill_status",
-        "status": "status",
-    }
-    for survey, field in SURVEY_FIELDS.items():
-        fields[f"{field}Completed"] = f"CASE WHEN {survey}_completed THEN 'TRUE' ELSE 'FALSE' END"
-        fields[f"{field}Date"] = _date(f"{survey}_date")
-    return fields | {
-        "wetMillTrainingDate": _date("wet_mill_training_date"),
-        "routineVisitDate": _date("routine_visit_date"),
-        "ccMobileWorkerGroupId": "worker_group",
-        "staffId": _prefer("staff_case_id", "staff_role_id"),
-        "millExternalId": "nullif(mill_external_id, '')",
-    }
+def _flag(survey: str) -> str:
+    return f"CASE WHEN {survey}_completed THEN 'TRUE' ELSE 'FALSE' END"
 
 
+# The payload contract, in its order.
 _FIELDS: dict[str, tuple[str, str, dict[str, str]]] = {
     "project_staff_roles": (
         "Project Role",
@@ -534,7 +554,48 @@ _FIELDS: dict[str, tuple[str, str, dict[str, str]]] = {
             "commCareCaseStatus": "status",
         },
     ),
-    "wetmills": ("Wetmill", "wetmills", _wetmill_fields()),
+    "wetmills": (
+        "Wetmill",
+        "wetmills",
+        {
+            "commCareCaseId": "commcare_case_id",
+            "tnsId": "wet_mill_unique_id",
+            "comments": "comments",
+            "country": "country",
+            "dateBASignature": _date("registration_date"),
+            "exportingStatus": "exporting_status",
+            "managerName": "manager_name",
+            "managerRole": "manager_role",
+            "programme": "programme",
+            "registrationDate": _date("registration_date"),
+            "wetmillName": "name",
+            "millStatus": "mill_status",
+            "status": "status",
+            "managerNeedsAssessmentCompleted": _flag("manager_needs_assessment"),
+            "managerNeedsAssessmentDate": _date("manager_needs_assessment_date"),
+            "infrastructureCompleted": _flag("infrastructure"),
+            "infrastructureDate": _date("infrastructure_date"),
+            "wasteWaterManagementCompleted": _flag("waste_water_management"),
+            "wasteWaterManagementDate": _date("waste_water_management_date"),
+            "kpisCompleted": _flag("kpis"),
+            "kpisDate": _date("kpis_date"),
+            "financialsCompleted": _flag("financials"),
+            "financialsDate": _date("financials_date"),
+            "employeesCompleted": _flag("employees"),
+            "employeesDate": _date("employees_date"),
+            "cpqiCompleted": _flag("cpqi"),
+            "cpqiDate": _date("cpqi_date"),
+            "waterAndEnergyUseCompleted": _flag("water_and_energy_use"),
+            "waterAndEnergyUseDate": _date("water_and_energy_use_date"),
+            "wetMillTrainingDate": _date("wet_mill_training_date"),
+            "routineVisitDate": _date("routine_visit_date"),
+            "genderEquitableBusinessPracticesCompleted": _flag("gender_equitable_business_practices"),
+            "genderEquitableBusinessPracticesDate": _date("gender_equitable_business_practices_date"),
+            "ccMobileWorkerGroupId": "worker_group",
+            "staffId": _prefer("staff_case_id", "staff_role_id"),
+            "millExternalId": "nullif(mill_external_id, '')",
+        },
+    ),
 }
 
 _ITEM_ORDER = {
@@ -555,7 +616,8 @@ def _doc_id(entity: str, run_id: str) -> str:
 
 
 def _placed(
-    entity: str, where: str = _ELIGIBLE, run_id: str = RUN_ID, max_items: int | None = None
+    entity: str, where: str = _ELIGIBLE, run_id: str = RUN_ID, max_items: int | None = None,
+    limit: int | None = None,
 ) -> str:
     """Eligible rows with position, chunk, document id and item."""
     if max_items is None:
@@ -569,11 +631,12 @@ def _placed(
                         {packable} AS packable, {{{fields}}} AS item,
                         row_number() OVER (PARTITION BY project_unique_id
                                            ORDER BY {_ITEM_ORDER[entity]}) AS pos
-                    FROM ({_enriched(entity, where)})))"""
+                    FROM ({_enriched(entity, where, limit)})))"""
 
 
 def _documents(
-    entity: str, where: str = _ELIGIBLE, run_id: str = RUN_ID, max_items: int | None = None
+    entity: str, where: str = _ELIGIBLE, run_id: str = RUN_ID, max_items: int | None = None,
+    limit: int | None = None,
 ) -> str:
     job_type, items_field, _ = _FIELDS[entity]
     return f"""
@@ -584,23 +647,23 @@ def _documents(
                 'entity': '{entity}', 'id': payload_id}}) AS VARCHAR) AS body
         FROM (SELECT payload_id, unique_project_key, chunk,
                   coalesce(list(item ORDER BY pos) FILTER (WHERE packable), []) AS items
-              FROM ({_placed(entity, where, run_id, max_items)}) placed
+              FROM ({_placed(entity, where, run_id, max_items, limit)}) placed
               GROUP BY payload_id, unique_project_key, chunk)"""
 
 
-def _judged(entity: str) -> str:
+def _judged(entity: str, limit: int | None = None) -> str:
     """Placed rows with the status code of their document's receipt, if any."""
     key = "upper(unique_project_key)" if entity == "wetmills" else "unique_project_key"
     return f"""
-        SELECT placed.*, status_code FROM ({_placed(entity)}) placed
+        SELECT placed.*, status_code FROM ({_placed(entity, limit=limit)}) placed
         LEFT JOIN receipt_codes ON group_key = {key}"""
 
 
-def _settled(entity: str) -> str:
+def _settled(entity: str, limit: int | None = None) -> str:
     on_fail = "Pending" if entity == "project_staff_roles" else "Failed"
     return f"""
         SELECT id, CASE WHEN max(status_code) = 200 THEN 'Complete' ELSE '{on_fail}' END AS verdict
-        FROM ({_judged(entity)}) WHERE status_code IS NOT NULL GROUP BY id"""
+        FROM ({_judged(entity, limit)}) WHERE status_code IS NOT NULL GROUP BY id"""
 
 
 _WHEN = "strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at"
@@ -608,14 +671,14 @@ _RUN_WHEN = f"'{RUN_TS}.000000'"
 _STATE = f"id, send_to_commcare, send_to_commcare_status, {_WHEN}"
 
 
-def _new_state(entity: str) -> str:
-    """Every record of an outbox after a run over its whole backlog.
+def _new_state(entity: str, limit: int | None = None) -> str:
+    """Every record of an outbox after a run over its whole backlog, or up to a limit.
 
     Entities joined before the claim take only records that have a row.
     """
-    taken = f"SELECT id FROM {entity} WHERE {_ELIGIBLE}"
+    taken = f"SELECT id FROM {entity} WHERE {_ELIGIBLE if limit is None else _first(entity, limit)}"
     if entity in ("project_staff_roles", "training_sessions"):
-        taken = f"SELECT DISTINCT id FROM ({_placed(entity)})"
+        taken = f"SELECT DISTINCT id FROM ({_placed(entity, limit=limit)})"
     return f"""
         SELECT o.id,
             CASE WHEN verdict = 'Complete' THEN false ELSE send_to_commcare END
@@ -626,7 +689,7 @@ def _new_state(entity: str) -> str:
                  ELSE {_RUN_WHEN} END AS updated_at
         FROM {entity} o
         LEFT JOIN ({taken}) taken ON taken.id = o.id
-        LEFT JOIN ({_settled(entity)}) settled ON settled.id = o.id"""
+        LEFT JOIN ({_settled(entity, limit)}) settled ON settled.id = o.id"""
 
 
 def _report(entity: str) -> str:
@@ -638,6 +701,41 @@ def _report(entity: str) -> str:
         FROM ({_judged(entity)})"""
 
 
+def _one(entity: str) -> str:
+    """The document of the record with the least id that has a row."""
+    where = f"id = (SELECT min(id) FROM ({_enriched(entity, _ELIGIBLE)}))"
+    limit = 1 if entity in ("project_staff_roles", "training_sessions") else None
+    return _documents(entity, where, max_items=MAX_ITEMS, limit=limit)
+
+
+def _two_runs() -> str:
+    """Staff roles after a run, an edit of every tenth and another run with the same time."""
+
+    def run(state: str) -> str:
+        taken = "send_to_commcare AND send_to_commcare_status = 'Pending' AND j.id IS NOT NULL"
+        return f"""
+            SELECT s.id,
+                CASE WHEN {taken} AND code = 200 THEN false ELSE send_to_commcare END
+                    AS send_to_commcare,
+                CASE WHEN NOT coalesce({taken}, false) THEN send_to_commcare_status
+                     WHEN code = 200 THEN 'Complete' WHEN code = 500 THEN 'Pending'
+                     ELSE 'Processing' END AS send_to_commcare_status,
+                CASE WHEN {taken} THEN TIMESTAMP '{RUN_TS}' ELSE updated_at END AS updated_at
+            FROM ({state}) s LEFT JOIN (
+                SELECT o.id, c.status_code AS code FROM project_staff_roles o
+                JOIN projects p ON p.id = o.project_id JOIN users u ON u.id = o.staff_id
+                LEFT JOIN receipt_codes c ON c.group_key = p.project_unique_id) j ON j.id = s.id"""
+
+    columns = "id, send_to_commcare, send_to_commcare_status, updated_at"
+    edited = f"""
+        SELECT id, CASE WHEN e THEN true ELSE send_to_commcare END AS send_to_commcare,
+            CASE WHEN e THEN 'Pending' ELSE send_to_commcare_status END AS send_to_commcare_status,
+            CASE WHEN e THEN TIMESTAMP '{EDITED}' ELSE updated_at END AS updated_at
+        FROM (SELECT *, CAST(id AS BIGINT) % 10 = 0 AS e
+              FROM ({run(f"SELECT {columns} FROM project_staff_roles")}))"""
+    return f"SELECT {_STATE} FROM ({run(edited)})"
+
+
 def _latest_by_type() -> str:
     ctes, joins, columns = [], [], []
     for survey in RESPONSE_DATED + VISIT_DATED:
@@ -678,14 +776,15 @@ def _enrich_query(entity: str, dates: tuple[str, ...] = ()) -> str:
     return f"SELECT * EXCLUDE ({dropped}){replaced} FROM ({_enriched(entity)})"
 
 
-_OUTBOXES = (
-    "project_staff_roles",
-    "farmer_groups",
-    "training_sessions",
-    "households",
-    "farmers",
-    "wetmills",
-)
+SHORT = {
+    "project_staff_roles": "staff_roles",
+    "farmer_groups": "groups",
+    "training_sessions": "sessions",
+    "households": "households",
+    "farmers": "farmers",
+    "wetmills": "wetmills",
+}
+_OUTBOXES = tuple(SHORT)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -778,6 +877,13 @@ def oracle_sql() -> dict[str, str]:
                      ELSE strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') END AS updated_at
             FROM (SELECT *, id IN (SELECT id FROM households WHERE {_ELIGIBLE}
                                    ORDER BY {fifo} LIMIT 200) AS taken FROM households)""",
+        "claim_state_backlog": f"""
+            SELECT id, send_to_commcare,
+                CASE WHEN coalesce({_ELIGIBLE}, false) THEN 'Processing'
+                     ELSE send_to_commcare_status END AS send_to_commcare_status,
+                CASE WHEN coalesce({_ELIGIBLE}, false) THEN {_RUN_WHEN}
+                     ELSE strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f') END AS updated_at
+            FROM households""",
         "claim_by_group": f"""
             SELECT row_number() OVER (ORDER BY project_unique_id ASC NULLS LAST, {fifo},
                 worker_group ASC NULLS LAST) AS pos, id, project_unique_id, worker_group
@@ -838,6 +944,8 @@ def oracle_sql() -> dict[str, str]:
         " CAST(sum(sent) AS BIGINT) AS sent FROM ("
         + " UNION ALL ".join(f"({_report(name)})" for name in _OUTBOXES)
         + ")",
+        "run_report_all": " UNION ALL ".join(f"({_report(name)})" for name in _OUTBOXES),
+        "log_two_runs": _two_runs(),
         "sync_batch_staff_roles": _new_state("project_staff_roles"),
         "sync_batch_groups": _new_state("farmer_groups"),
         "sync_batch_sessions": _new_state("training_sessions"),
@@ -848,4 +956,9 @@ def oracle_sql() -> dict[str, str]:
         "sync_one_record": _documents("households", first_id, max_items=MAX_ITEMS),
         "drain_available_now": _documents("households", run_id="drain-0"),
     }
+    for entity, name in SHORT.items():
+        sql[f"payload_docs_limited_{name}"] = _documents(entity, limit=LIMITS[entity])
+        sql[f"sync_limited_{name}"] = _new_state(entity, LIMITS[entity])
+        if entity != "households":
+            sql[f"sync_one_{name}"] = _one(entity)
     return {name: _with_views(text) for name, text in sql.items()}

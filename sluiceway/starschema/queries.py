@@ -26,6 +26,7 @@ from sluiceway.plans.runs import (
     Dispatch,
     SyncRun,
     dispatch,
+    finish_run,
     sync_all,
     sync_batch,
     sync_one,
@@ -41,6 +42,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_ID = "run-1"
 RUN_TS = "2030-01-01 00:00:00"
+# When records are edited between two runs.
+EDITED = "2029-06-01 00:00:00"
 # Small enough for groups to be cut into several documents.
 HOUSEHOLDS_PER_DOCUMENT = 100
 
@@ -246,6 +249,13 @@ def claim_state(t):
     return _state(current_state(t["households"], sent.claim_changes(), "households"))
 
 
+@query
+def claim_state_backlog(t):
+    """All households after a claim of the whole backlog."""
+    sent = dispatch(t, "households", run_id=RUN_ID, run_ts=RUN_TS, limit=None)
+    return _state(current_state(t["households"], sent.claim_changes(), "households"))
+
+
 # Scalar expressions
 
 
@@ -470,6 +480,13 @@ def run_totals(t):
     ).totals
 
 
+@query
+def run_report_all(t):
+    """The report of a run over all entities, one row for each."""
+    led = star_schema(t.spark, t.root, leaders=True)
+    return sync_all(led, t.receipts, SPECS, run_id=RUN_ID, run_ts=RUN_TS, limit=None).report
+
+
 def _synced_state(entity: str) -> Query:
     def run(spark: SparkSession, root: str) -> DataFrame:
         t = star_schema(spark, root)
@@ -478,6 +495,51 @@ def _synced_state(entity: str) -> Query:
     return run
 
 
+# At the entities' own limits, as a run takes them by default.
+
+
+def _limited(t: StarSchema, entity: str) -> Dispatch:
+    spec = SPECS[entity]
+    return dispatch(
+        _tables(t, entity), spec, run_id=RUN_ID, run_ts=RUN_TS, max_items=_max_items(spec)
+    )
+
+
+def _limited_documents(entity: str) -> Query:
+    return lambda spark, root: _limited(star_schema(spark, root), entity).documents
+
+
+def _limited_state(entity: str) -> Query:
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        t = star_schema(spark, root)
+        sent = _limited(t, entity)
+        return _state(finish_run(sent, t.receipts(sent.documents)).new_state(t[entity]))
+
+    return run
+
+
+def _one_document(entity: str) -> Query:
+    """The document of the eligible record with the least id that has a row."""
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        t = star_schema(spark, root)
+        tables, spec = _tables(t, entity), SPECS[entity]
+        record_id = spec.enrich(tables, eligible(tables[entity])).agg(F.min("id")).first()[0]
+        run = sync_one(tables, spec, record_id, t.receipts, run_id=RUN_ID, run_ts=RUN_TS)
+        return run.dispatch.documents
+
+    return run
+
+
+_SHORT = {"project_staff_roles": "staff_roles", "farmer_groups": "groups", "training_sessions": "sessions"}
+for _entity in OUTBOXES:
+    _name = _SHORT.get(_entity, _entity)
+    _QUERIES[f"payload_docs_limited_{_name}"] = _limited_documents(_entity)
+    _QUERIES[f"sync_limited_{_name}"] = _limited_state(_entity)
+    if _entity != "households":
+        _QUERIES[f"sync_one_{_name}"] = _one_document(_entity)
+
+
 _QUERIES |= {
     "sync_batch_staff_roles": _synced_state("project_staff_roles"),
     "sync_batch_groups": _synced_state("farmer_groups"),
@@ -498,6 +560,35 @@ def sync_one_record(t):
     return run.dispatch.documents
 
 
+@query
+def log_two_runs(t):
+    """Staff roles through the log: claim, settle, an edit of every tenth, claim and settle again.
+
+    Both runs have the same time, refused roles are taken again, edited ones keep their own
+    values until the second run takes them.
+    """
+    name, path = "project_staff_roles", scratch_path(t.spark, "log")
+    tenth = F.col("id").cast("bigint") % 10 == 0
+    edited = t[name].withColumns(
+        {
+            FLAG: F.when(tenth, F.lit(True)).otherwise(F.col(FLAG)),
+            STATUS: F.when(tenth, F.lit("Pending")).otherwise(F.col(STATUS)),
+            UPDATED: F.when(tenth, F.lit(EDITED).cast(t[name].schema[UPDATED].dataType)).otherwise(
+                F.col(UPDATED)
+            ),
+        }
+    )
+    now = t[name]
+    for seq in (1, 2):
+        sent = dispatch(
+            dict(t) | {name: now}, SPECS[name], run_id=f"run-{seq}", run_ts=RUN_TS, run_seq=seq, limit=None
+        )
+        append_changes(sent.claim_changes(), path)
+        append_changes(sent.settle(t.receipts(sent.documents)), path)
+        now = current_state(edited, read_changes(t.spark, path), name)
+    return _state(now)
+
+
 @query
 def written_state(t):
     """Household state by way of the change log and a new version of the table."""

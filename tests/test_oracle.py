@@ -37,7 +37,8 @@ def test_every_query_has_sql():
 
 # Whole runs take longest; test_runs.py covers them on small tables, and
 # tools/check.py compares all of them. ALL_QUERIES=1 runs them here too.
-WHOLE_RUNS = ("run_", "sync_", "settle_", "drain_", "payload_positions", "payload_sink", "written_state")
+WHOLE_RUNS = ("run_", "sync_", "settle_", "drain_", "payload_positions", "payload_sink", "written_state",
+              "payload_docs_limited_", "log_")
 NAMES = [
     name
     for name in sorted(catalogue.queries())
