@@ -14,6 +14,8 @@ from sluiceway.llm.common import table
 from sluiceway.session import name_shared_dir, write_once
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Ids that are broadcast at most, some 50 MB; more are joined by a shuffle.
+FEW_IDS = 2_000_000
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -33,10 +35,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of rows that repeat the id one stays; rows without an id have nothing to be told apart by
     and all stay.
     """
+    docs = docs.select(*COLUMNS)
     found = simhash.near_duplicates(docs, shingle=3, radius=2)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.select(*COLUMNS).join(kept, "doc_id").dropDuplicates(["doc_id"])
-    return named.select(*COLUMNS).unionByName(docs.select(*COLUMNS).where("doc_id IS NULL"))
+    rows = found.where("doc_id IS NOT NULL").groupBy("doc_id", "component_id").agg(F.count("*").alias("rows"))
+    rows = write_once(rows.where("doc_id != component_id OR rows > 1"), "pipeline-repeats")
+    # Ids to leave out: broadcast if they are few, so that no text is shuffled.
+    known = F.broadcast(rows) if rows.count() <= FEW_IDS else rows
+    kept = docs.join(known, "doc_id", "left_anti")
+    repeated = rows.where("doc_id = component_id").select("doc_id")
+    if not repeated.isEmpty():
+        # Only these have to be compared with all their columns.
+        kept = kept.unionByName(docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return kept
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -173,7 +173,7 @@ def _counted(batches: Iterator[pa.RecordBatch], of) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("folded").to_pylist()):
             counts[toxic].update(of(text))
-        if sum(map(len, counts)) > 400_000:
+        if sum(map(len, counts)) > 100_000:
             yield _as_rows(counts)
             counts = (Counter(), Counter())
     yield _as_rows(counts)
