@@ -48,7 +48,7 @@ NONE = ""  # a missing declaration, suffix or host
 #: Elements whose text is no prose of the page.
 NO_PROSE = frozenset(("script", "style", "nav", "footer", "noscript", "template", "svg", "select"))
 _TAG = re.compile(r"(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>?")
-_LANG = re.compile(r"""\blang\s*=\s*["']?([A-Za-z]{2,3})""")
+_LANG = re.compile(r"""\blang\s*=\s*["']?([A-Za-z]{2,3})""", re.I)
 _META = re.compile(r"""http-equiv\s*=\s*["']?content-language\b.*?content\s*=\s*["']?([A-Za-z]{2,3})""", re.I)
 
 
