@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_once
-from .vectors import MOST_LISTS, centroids, chunks, matrix, nearest, sample_of, usable, with_class
+from .vectors import MOST_LISTS, centroids, chunks, least_hashed, matrix, nearest, sample_of, usable, with_class
 
 LIST = 4096  # rows of a list, on average
 BLOCK = 2048  # rows of a block, about
@@ -282,10 +282,10 @@ def _searched(probes: DataFrame, index: DataFrame, space: Space, k: int) -> Data
     return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(run, _FOUND)
 
 
-def probes_needed(index: DataFrame, queries: DataFrame, space: Space, centres: np.ndarray, k: int,
+def probes_needed(index: DataFrame, queries: DataFrame, asking: int, space: Space, centres: np.ndarray, k: int,
                   recall: float = RECALL, many: int = CALIBRATE) -> int:
     """Lists to probe so that at least ``recall`` of the true answers of a few queries lie in them."""
-    few = queries.select(F.xxhash64("rep").alias("h"), "rep", "vector").orderBy("h", "rep").limit(many).toArrow()
+    few = least_hashed(queries, many, asking)
     if not few.num_rows:
         return 1
     ids, q = few["rep"].to_numpy(), matrix(few["vector"])
@@ -321,15 +321,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
         ),
         "ann-classes",
     )
-    n, longest, width = classes.agg(F.count("*"), F.max("norm"), F.max(F.size("vector"))).first()
+    n, longest, width, asks = classes.agg(
+        F.count("*"), F.max("norm"), F.max(F.size("vector")), F.count_if("asks")
+    ).first()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     space = Space(width, longest)
     lists = max(1, min(MOST_LISTS, round(n / list_rows)))
-    centres = centroids(space.points(sample_of(classes)), lists)
+    centres = centroids(space.points(sample_of(classes, n)), lists)
     index = _blocks(classes, space, centres)
     asking = classes.where("asks")
-    depth = probes_needed(index, asking, space, centres, k)
+    depth = probes_needed(index, asking, asks, space, centres, k)
     probes = write_once(_probes(asking, space, centres, depth), "ann-probes")
     first_list = probes.where("nth = 0").withColumn("floor", F.lit(float("-inf")))
     found = write_once(_top(_searched(first_list, index, space, k + 1), k + 1), "ann-first")

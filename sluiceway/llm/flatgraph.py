@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import write_once
 from .components import connected_components
-from .vectors import MOST_LISTS, centroids, chunks, matrix, nearest, sample_of, usable, with_class
+from .vectors import MOST_LISTS, centroids, chunks, least_hashed, matrix, nearest, sample_of, usable, with_class
 
 SHARD = 512  # vectors of a shard before overlap, on average
 NODES = 3072  # vectors of a graph, about
@@ -247,9 +247,9 @@ def _search(each: DataFrame, near: DataFrame, least: float) -> DataFrame:
     return graphs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "rep long, links long, root long")
 
 
-def _audited(nodes: DataFrame, found: DataFrame, least: float, many: int = AUDIT) -> float:
+def _audited(nodes: DataFrame, total: int, found: DataFrame, least: float, many: int = AUDIT) -> float:
     """The share of the true links of a few vectors that was found."""
-    few = nodes.select(F.xxhash64("rep").alias("h"), "rep", "vector").orderBy("h", "rep").limit(many).toArrow()
+    few = least_hashed(nodes, many, total)
     ids, q = few["rep"].to_numpy(), unit(matrix(few["vector"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,12 +295,12 @@ def near_duplicates(
     alone = fit.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), "usable")
     if total:
         shards = max(1, min(MOST_LISTS, round(total / shard_rows)))
-        centres = centroids(unit(sample_of(nodes)), shards)
+        centres = centroids(unit(sample_of(nodes, total)), shards)
         while True:
             each = write_once(_split(_membership(nodes, centres, overlap)), "flatgraph-shards")
             near = write_once(adjacency(each), "flatgraph-adjacency")
             found = write_once(_search(each, near, threshold), "flatgraph-links")
-            recall = _audited(nodes, found, threshold)
+            recall = _audited(nodes, total, found, threshold)
             if audit is not None:
                 audit |= {"recall": recall, "overlap": min(overlap, shards)}
             if recall >= RECALL or overlap >= shards:

@@ -34,28 +34,31 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_once
-from .common import lower_ascii, texts
+from .common import texts
 from .vectors import chunks
 
-HEAD, WIDTH = 512, 32
+HEAD, WIDTH = 480, 32  # with the rest 16 classes, so that a row of weights is 64 bytes
 CLASSES = HEAD // WIDTH
 SLOTS = 4096  # hashed values of one template of features
 TEMPLATES = 4
 WORD_WEIGHTS = 1 << 18
 SMOOTH = 0.1
 RATE = 0.25
-BATCH = 1 << 14  # tokens of a gradient step
-BLOCK_CHARS = 12_000_000
+BATCH = 1 << 15  # tokens of a gradient step
+BLOCK_CHARS = 14_000_000
+#: Tokens of a block that are looked at together, about: whole texts.
+SPAN_TOKENS = 250_000
 #: Training tokens of a task, about: its weights are mixed with those of the other tasks.
 TASK_TOKENS = 8_000_000
-MIXED = 16  # models mixed in one task
-PART = 1 << 16  # weights in a row of a model
+MIXED = 8  # models mixed in one task
+PART = 1 << 14  # weights in a row of a model
 #: Fixed value: what the end of a text is hashed as; a word has no blank.
 END = b" end"
 
@@ -65,40 +68,32 @@ _BLOCK = (
 )
 
 
-def _hash(token: bytes) -> int:
-    return xxhash.xxh64_intdigest(token)
-
-
 class _Block:
     """Texts of a task, until they are a block's worth."""
 
     def __init__(self):
-        self.ids, self.held, self.lengths, self.codes = [], [], [], []
-        self.known: dict[bytes, int] = {END: 0}
+        self.ids, self.held, self.texts = [], [], []
         self.chars = 0
 
     def add(self, doc: int | None, text: str, held: bool) -> None:
-        words = lower_ascii(text).split()
-        known = self.known
-        codes = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
-        self.codes.append(np.append(codes, np.int32(0)))
         self.ids.append(doc)
         self.held.append(held)
-        self.lengths.append(len(words) + 1)
+        self.texts.append(text)
         self.chars += len(text) + 1
 
     def row(self, number: int) -> pa.RecordBatch:
-        codes = np.concatenate(self.codes)
-        train = ~np.repeat(np.array(self.held, dtype=bool), self.lengths)
-        counts = np.bincount(codes[train], minlength=len(self.known))
-        hashes = np.fromiter(map(_hash, self.known), np.uint64, len(self.known)).view(np.int64)
+        texts_, self.texts = pa.array(self.texts, pa.large_string()), []
+        tokens, codes, lengths = encoded_tokens(texts_)
+        train = ~np.repeat(np.array(self.held, dtype=bool), lengths)
+        counts = np.bincount(codes[train], minlength=len(tokens))
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens)).view(np.int64)
         lists = pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
                 pa.array([self.ids], lists),
                 pa.array([self.held], pa.list_(pa.bool_())),
-                pa.array([self.lengths], pa.list_(pa.int32())),
+                pa.array([lengths.astype(np.int32)], pa.list_(pa.int32())),
                 pa.array([codes.astype("<i4").tobytes()], pa.binary()),
                 pa.array([hashes], lists),
                 pa.array([counts], lists),
@@ -108,6 +103,33 @@ class _Block:
         )
 
 
+def encoded_tokens(block: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """A block's distinct tokens, the codes of all its tokens into them, and the tokens of each text.
+
+    Lower-casing, splitting and encoding run in Arrow; the more frequent a token the
+    smaller its code, which the written codes compress by.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(block))
+    del block
+    words = lists.flatten()
+    full = pc.not_equal(pc.binary_length(words), 0).to_numpy(zero_copy_only=False)
+    # Words up to the end of each text, without the empty ones beside blanks at its ends.
+    offsets = lists.offsets.to_numpy()
+    upto = np.concatenate([[0], np.cumsum(full)])[offsets - offsets[0]]
+    lengths = np.diff(upto)
+    del lists
+    if not full.all():
+        words = words.filter(pa.array(full))
+    known = words.dictionary_encode()
+    del words
+    tokens = [END, *(t.encode("utf-8", "surrogatepass") for t in known.dictionary.to_pylist())]
+    codes = np.insert(known.indices.to_numpy() + 1, upto[1:], 0)
+    order = np.argsort(-np.bincount(codes, minlength=len(tokens)), kind="stable")
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    return [tokens[k] for k in order], place[codes], lengths + 1
+
+
 def blocks(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encoded blocks of documents; write them before reading, as their numbers are a task's."""
 
@@ -167,11 +189,11 @@ class Counts:
         padded = np.zeros(HEAD)
         padded[: len(self.head)] = self.head_counts
         sums = np.append(padded.reshape(CLASSES, WIDTH).sum(axis=1), self.rest + SMOOTH)
-        return np.where(sums > 0, np.log(np.maximum(sums, 1e-30)), -1e9).astype(np.float32)
+        return np.where(sums > 0, np.log(np.maximum(sums, 1e-30) / sums.sum()), -1e9).astype(np.float32)
 
     def word_bias(self) -> np.ndarray:
         padded = np.full(HEAD, -1e9)
-        padded[: len(self.head)] = np.log(self.head_counts)
+        padded[: len(self.head)] = np.log(self.head_counts / max(1, self.tokens))
         return padded.astype(np.float32)
 
     def log_unigram(self, totals: np.ndarray) -> np.ndarray:
@@ -215,27 +237,42 @@ class Weights:
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+    """Rows of probabilities; logits are near log probabilities, so a clip keeps them finite."""
+    np.clip(logits, -80, 80, out=logits)
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
+    logits /= (logits @ np.ones(logits.shape[1], np.float32))[:, None]
     return logits
 
 
+def slots_of(head: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """A slot for each head token; others share the remaining ones; 0 is before a text."""
+    spread = (hashes.view(np.uint64) % np.uint64(SLOTS - 1 - HEAD)).astype(np.int64)
+    return np.where(head >= 0, 1 + head, 1 + HEAD + spread)
+
+
+def spans(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
+    """Texts of a block in runs of about ``SPAN_TOKENS`` tokens: their places, and their tokens'."""
+    ends = np.cumsum(lengths)
+    first = 0
+    while first < len(lengths):
+        begun = ends[first] - lengths[first]
+        last = max(first + 1, int(np.searchsorted(ends, begun + SPAN_TOKENS, side="right")))
+        yield slice(first, last), slice(int(begun), int(ends[last - 1]))
+        first = last
+
+
 class Positions:
-    """The positions of a block: each token's place in the head, and its context's features."""
+    """The positions of some texts: each token's place in the head, and its context's features."""
 
-    def __init__(self, counts: Counts, hashes: np.ndarray, codes: np.ndarray, lengths: np.ndarray):
-        head = counts.places(hashes)
+    def __init__(self, head: np.ndarray, slots: np.ndarray, codes: np.ndarray, lengths: np.ndarray):
         self.target = head[codes]
-        # A slot for each head token; others share the remaining ones; 0 is before a text.
-        spread = (hashes.view(np.uint64) % np.uint64(SLOTS - 1 - HEAD)).astype(np.int64)
-        slot = np.where(head >= 0, 1 + head, 1 + HEAD + spread)[codes]
+        slot = slots[codes]
         starts = np.cumsum(lengths) - lengths
         into = np.arange(len(codes)) - np.repeat(starts, lengths)
 
         def back(k: int) -> np.ndarray:
             moved = np.zeros(len(slot), np.int64)
-            moved[k:] = slot[:-k] if k else slot
+            moved[k:] = slot[:-k]
             moved[into < k] = 0
             return moved
 
@@ -260,9 +297,10 @@ class Model:
 
     def classes(self, features: np.ndarray) -> np.ndarray:
         """P(class | context), one row per position."""
-        logits = self.class_bias + self.weights.classes[features[0]]
+        logits = np.take(self.weights.classes, features[0], axis=0)
+        logits += self.class_bias
         for k in range(1, TEMPLATES):
-            logits += self.weights.classes[features[k]]
+            logits += np.take(self.weights.classes, features[k], axis=0)
         return _softmax(logits)
 
     def words(self, features: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -303,28 +341,27 @@ class Trainer(Model):
         in_head = target >= 0
         slope = self.classes(features)
         slope[np.arange(n), np.where(in_head, target // WIDTH, CLASSES)] -= 1
-        flat = features.reshape(-1)
-        order = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.r_[True, np.diff(flat[order]) != 0])
-        rows = flat[order[first]]
-        sums = np.add.reduceat(slope[order % n], first, axis=0)
-        self.class_squares[rows] += sums**2
-        w.classes[rows] -= RATE * sums / np.sqrt(self.class_squares[rows])
-        w.class_seen[rows] += np.diff(np.append(first, len(order)))
+        by_class = slope.T.astype(np.float64)
+        for k in range(TEMPLATES):
+            rows = slice(k * SLOTS, (k + 1) * SLOTS)
+            at = features[k].astype(np.intp) - rows.start
+            sums = np.stack([np.bincount(at, s, SLOTS) for s in by_class], axis=1).astype(np.float32)
+            self.class_squares[rows] += sums**2
+            w.classes[rows] -= RATE * sums / np.sqrt(self.class_squares[rows])
+            w.class_seen[rows] += np.bincount(at, minlength=SLOTS)
         if in_head.any():
             own = target[in_head]
             slope, places = self.words(features[:, in_head], own)
             slope[np.arange(len(own)), own % WIDTH] -= 1
-            both = np.concatenate([slope.reshape(-1)] * 2)
-            sums = np.bincount(places.reshape(-1), both, WORD_WEIGHTS).astype(np.float32)
+            flat = slope.reshape(-1).astype(np.float64)
+            sums = sum(np.bincount(p.reshape(-1), flat, WORD_WEIGHTS) for p in places).astype(np.float32)
             self.word_squares += sums**2
             w.words -= RATE * sums / np.sqrt(self.word_squares)
             w.word_seen += sums != 0
 
 
-def _opened(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _opened(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Held-out flags, lengths, codes and hashes of a block's row in a batch."""
-    batch, at = row
     held = np.array(batch["held"][at].as_py(), dtype=bool)
     lengths = batch["lengths"][at].values.to_numpy().astype(np.int64)
     codes = np.frombuffer(batch["codes"][at].as_py(), "<i4")
@@ -341,12 +378,15 @@ def train(encoded: DataFrame, counts: Counts) -> Weights:
         own = Trainer(counts)
         for batch in batches:
             for at in range(batch.num_rows):
-                held, lengths, codes, hashes = _opened((batch, at))
-                positions = Positions(counts, hashes, codes, lengths)
-                trained = np.flatnonzero(~np.repeat(held, lengths))
-                for some in chunks(len(trained), BATCH):
-                    rows = trained[some]
-                    own.step(positions.features[:, rows], positions.target[rows])
+                held, lengths, codes, hashes = _opened(batch, at)
+                head = counts.places(hashes)
+                slots = slots_of(head, hashes)
+                for docs, tokens in spans(lengths):
+                    positions = Positions(head, slots, codes[tokens], lengths[docs])
+                    trained = np.flatnonzero(~np.repeat(held[docs], lengths[docs]))
+                    for some in chunks(len(trained), BATCH):
+                        rows = trained[some]
+                        own.step(positions.features[:, rows], positions.target[rows])
         weighted, seen = own.weights.flat()
         task = TaskContext.get().partitionId()
         for k, part in enumerate(chunks(len(seen), PART)):
@@ -414,28 +454,32 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     counts = count_summary(rows)
     weights = spark.sparkContext.broadcast(train(encoded, counts))
     joined = encoded.drop("counts", "tokens").join(_totals(rows), "block")
-    lists = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(counts, weights.value)
         for batch in batches:
             for at in range(batch.num_rows):
-                held, lengths, codes, hashes = _opened((batch, at))
+                held, lengths, codes, hashes = _opened(batch, at)
                 totals = np.frombuffer(batch["totals"][at].as_py(), np.int64)
-                starts = np.cumsum(lengths) - lengths
-                positions = Positions(counts, hashes, codes, lengths)
-                log_p = model.log_probability(positions, counts.log_rest(totals)[codes])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["ids"][at].values,
-                        pa.array(held),
-                        pa.array(lengths),
-                        pa.array(np.add.reduceat((totals > 0)[codes].astype(np.int64), starts)),
-                        pa.array(np.full(len(held), counts.tokens, np.int64)),
-                        pa.array(np.add.reduceat(counts.log_unigram(totals)[codes], starts)),
-                        pa.array(np.add.reduceat(log_p, starts)),
-                    ],
-                    names=list(lists),
-                )
+                head, ids = counts.places(hashes), batch["ids"][at].values
+                slots, known = slots_of(head, hashes), (totals > 0).astype(np.int64)
+                unigram, rest = counts.log_unigram(totals), counts.log_rest(totals)
+                for docs, tokens in spans(lengths):
+                    own, n = codes[tokens], lengths[docs]
+                    starts = np.cumsum(n) - n
+                    log_p = model.log_probability(Positions(head, slots, own, n), rest[own])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            ids.slice(docs.start, docs.stop - docs.start),
+                            pa.array(held[docs]),
+                            pa.array(n),
+                            pa.array(np.add.reduceat(known[own], starts)),
+                            pa.array(np.full(len(n), counts.tokens, np.int64)),
+                            pa.array(np.add.reduceat(unigram[own], starts)),
+                            pa.array(np.add.reduceat(log_p, starts)),
+                        ],
+                        names=list(names),
+                    )
 
     return joined.mapInArrow(run, SCORES)

@@ -36,10 +36,19 @@ def with_class(rows: DataFrame) -> DataFrame:
     return rows.withColumn("class", F.struct(F.xxhash64("vector").alias("a"), F.xxhash64(F.lit(1), "vector").alias("b")))
 
 
-def sample_of(vectors: DataFrame, rows: int = SAMPLE, id_col: str = "rep") -> np.ndarray:
-    """At most ``rows`` vectors, those with the least hashes of their id."""
-    taken = vectors.select(F.xxhash64(id_col).alias("h"), id_col, "vector").orderBy("h", id_col).limit(rows)
-    return matrix(taken.toArrow()["vector"])
+def least_hashed(vectors: DataFrame, rows: int, total: int) -> pa.Table:
+    """``rep`` and ``vector`` of at most ``rows`` of ``total`` vectors, those with the least hashes of their id.
+
+    Tasks send about twice as many in all, however many there are, to the one that takes the least.
+    """
+    grid = 1 << 40
+    within = F.shiftrightunsigned("h", 24) <= int(min(1.0, (2 * rows + 64) / max(total, 1)) * grid)
+    marked = vectors.select(F.xxhash64("rep").alias("h"), "rep", "vector").where(within)
+    return marked.orderBy(F.shiftrightunsigned("h", 24), "rep").limit(rows).toArrow()
+
+
+def sample_of(vectors: DataFrame, total: int, rows: int = SAMPLE) -> np.ndarray:
+    return matrix(least_hashed(vectors, rows, total)["vector"])
 
 
 def matrix(column) -> np.ndarray:
