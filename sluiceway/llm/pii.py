@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -169,6 +170,17 @@ def context_score(text: str, kind: str, start: int, end: int) -> float:
     return round(min(1.0, max(0.0, score)), 3)
 
 
+def _merged(intervals) -> list[tuple[int, int]]:
+    """Disjoint intervals over the same places, in order."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(intervals):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((start, end))
+    return out
+
+
 def find_spans(text: str | None) -> list[Span]:
     """All spans of a text, by kind as listed, then start."""
     if not text:
@@ -176,10 +188,12 @@ def find_spans(text: str | None) -> list[Span]:
     spans = [Span(k, s, e, context_score(text, k, s, e)) for k, s, e in base_spans(text)]
     if not _DIGIT.search(text):
         return spans
-    taken = sorted((s.start, s.end) for s in spans)
+    taken = _merged((s.start, s.end) for s in spans)
+    ends = [e for _, e in taken]
     more = []
     for kind, start, end in _proposed(text):
-        if any(start < e and s < end for s, e in taken):
+        at = bisect_right(ends, start)
+        if at < len(taken) and taken[at][0] < end:
             continue
         score = context_score(text, kind, start, end)
         if score >= THRESHOLD:
