@@ -2,7 +2,7 @@
 
 With M the largest norm, x' = (x, sqrt(M^2 - |x|^2)) and q' = (q, 0) turn the largest inner
 product into the least distance, whatever the norms. A random rotation spreads the distance
-evenly over the dimensions. Vectors are put into lists by their nearest centroid and each list
+evenly over the dimensions. Vectors are put into lists, the cells of two codebooks, and each list
 into blocks of about ``BLOCK`` rows, stored as columns of ``COLUMNS`` dimensions each.
 
 A query probes its nearest lists. From the partial distance over the first d of D dimensions the
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import write_once
-from .vectors import MOST_LISTS, centroids, chunks, least_hashed, matrix, nearest, sample_of, usable, with_class
+from .vectors import Cells, chunks, least_hashed, matrix, sample_of, usable, with_class
 
 LIST = 4096  # rows of a list, on average
 BLOCK = 2048  # rows of a block, about
@@ -134,14 +134,14 @@ def _number(classes: DataFrame) -> tuple[str, pa.DataType]:
     return ("float", pa.float32()) if own == "float" else ("double", pa.float64())
 
 
-def _blocks(classes: DataFrame, space: Space, centres: np.ndarray) -> DataFrame:
+def _blocks(classes: DataFrame, space: Space, cells: Cells) -> DataFrame:
     """The index: a row for each block of each list."""
     kind, arrow = _number(classes)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = matrix(batch.column("vector"))
-            own = nearest(space.points(x), centres, 1)[:, 0] if len(x) else np.zeros(0)
+            own = cells.nearest(space.points(x), 1)[:, 0] if len(x) else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("rep"), pa.array(own.astype(np.int32)), batch.column("vector")],
                 names=["rep", "list", "vector"],
@@ -171,6 +171,7 @@ def _blocks(classes: DataFrame, space: Space, centres: np.ndarray) -> DataFrame:
         )
 
     block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")
+    # What is broadcast has a row for each list: at most a million.
     spread = placed.join(F.broadcast(sizes), "list").select("list", block, "rep", "vector")
     return write_once(spread.groupBy("list", "block").applyInArrow(form, _BLOCK_SCHEMA.format(kind)), "ann-index")
 
@@ -227,23 +228,33 @@ def brute_force(index: DataFrame, ids: np.ndarray, q: np.ndarray, k: int) -> Dat
     return _top(index.mapInArrow(run, _FOUND), k)
 
 
-def _probes(queries: DataFrame, space: Space, centres: np.ndarray, n: int) -> DataFrame:
-    """``queries`` with the lists to probe: ``list`` and ``nth``, nearest first."""
+def _filled(index: DataFrame, cells: Cells) -> np.ndarray:
+    """The number of rows of each list: at most a million numbers."""
+    filled = np.zeros(len(cells), np.int64)
+    for r in index.groupBy("list").agg(F.sum(F.size("ids")).alias("n")).collect():
+        filled[r.list] = r.n
+    return filled
+
+
+def _probes(queries: DataFrame, space: Space, cells: Cells, filled: np.ndarray, n: int, k: int) -> DataFrame:
+    """``queries`` with the lists to probe: ``list`` and ``nth``, nearest first.
+
+    The nearest ``n`` lists that hold rows, and more where these hold fewer than ``k``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             q = matrix(batch.column("vector"))
             if not len(q):
                 continue
-            lists = nearest(space.queries(q), centres, n)
-            width = lists.shape[1]
-            rows = np.repeat(np.arange(len(q)), width)
+            lists = cells.nearest_filled(space.queries(q), n, filled, k)
+            rows = np.repeat(np.arange(len(q)), [len(own) for own in lists])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("rep").take(pa.array(rows)),
                     batch.column("vector").take(pa.array(rows)),
-                    pa.array(lists.reshape(-1).astype(np.int32)),
-                    pa.array(np.tile(np.arange(width, dtype=np.int32), len(q))),
+                    pa.array(np.concatenate(lists).astype(np.int32)),
+                    pa.array(np.concatenate([np.arange(len(own), dtype=np.int32) for own in lists])),
                 ],
                 names=["query", "vector", "list", "nth"],
             )
@@ -258,7 +269,7 @@ def _searched(probes: DataFrame, index: DataFrame, space: Space, k: int) -> Data
     """``probes`` (with ``floor``) against the blocks of their lists."""
     per_list = probes.groupBy("list").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks"))
     blocks = index.groupBy("list").agg(F.count("*").cast("int").alias("blocks"))
-    # One row for each list: bounded by MOST_LISTS.
+    # A row for each list: at most a million.
     sizes = F.broadcast(per_list.join(blocks, "list"))
     chunk = F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int").alias("chunk")
     upto = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
@@ -282,17 +293,17 @@ def _searched(probes: DataFrame, index: DataFrame, space: Space, k: int) -> Data
     return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(run, _FOUND)
 
 
-def probes_needed(index: DataFrame, queries: DataFrame, asking: int, space: Space, centres: np.ndarray, k: int,
+def probes_needed(index: DataFrame, queries: DataFrame, asking: int, space: Space, cells: Cells, filled: np.ndarray, k: int,
                   recall: float = RECALL, many: int = CALIBRATE) -> int:
     """Lists to probe so that at least ``recall`` of the true answers of a few queries lie in them."""
     few = least_hashed(queries, many, asking)
     if not few.num_rows:
         return 1
     ids, q = few["rep"].to_numpy(), matrix(few["vector"])
-    order = nearest(space.queries(q), centres, len(centres))
-    rank = {(int(i), int(c)): r for i, lists in zip(ids, order) for r, c in enumerate(lists)}
+    order = cells.nearest(space.queries(q), len(cells))
+    rows = {int(i): lists[filled[lists] > 0] for i, lists in zip(ids, order)}
     truth = brute_force(index, ids, q, k).select("query", "list").collect()
-    ranks = np.sort([rank[t.query, t.list] for t in truth])
+    ranks = np.sort([int(np.flatnonzero(rows[t.query] == t.list)[0]) for t in truth])
     return int(ranks[min(len(ranks) - 1, int(np.ceil(recall * len(ranks))) - 1)]) + 1
 
 
@@ -327,12 +338,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     space = Space(width, longest)
-    lists = max(1, min(MOST_LISTS, round(n / list_rows)))
-    centres = centroids(space.points(sample_of(classes, n)), lists)
-    index = _blocks(classes, space, centres)
+    cells = Cells(space.points(sample_of(classes, n)), n / list_rows, rotated=True)
+    index = _blocks(classes, space, cells)
     asking = classes.where("asks")
-    depth = probes_needed(index, asking, asks, space, centres, k)
-    probes = write_once(_probes(asking, space, centres, depth), "ann-probes")
+    filled = _filled(index, cells)
+    depth = probes_needed(index, asking, asks, space, cells, filled, k)
+    probes = write_once(_probes(asking, space, cells, filled, depth, k + 1), "ann-probes")
     first_list = probes.where("nth = 0").withColumn("floor", F.lit(float("-inf")))
     found = write_once(_top(_searched(first_list, index, space, k + 1), k + 1), "ann-first")
     floors = found.where(F.col("place") == k + 1).select("query", F.col("score").alias("floor"))

@@ -1,7 +1,7 @@
 """Embedding near-duplicates by a robust-pruned flat graph.
 
-Vectors are normalised and put into shards: each into those of its ``OVERLAP`` nearest
-centroids. A shard with more than ``NODES`` vectors is split, so a graph's size is bounded. In
+Vectors are normalised and put into shards, the cells of two codebooks: each into its ``OVERLAP``
+nearest. A shard with more than ``NODES`` vectors is split, so a graph's size is bounded. In
 each graph a vector takes the neighbours that robust pruning leaves of its nearest ones and
 some random ones: a candidate goes if one kept before is nearer to it by the factor ``ALPHA``
 than the vector itself (Subramanya et al., "DiskANN", 2019). A vector's adjacency lists from all
@@ -31,12 +31,12 @@ from pyspark.sql import functions as F
 
 from ..session import write_once
 from .components import connected_components
-from .vectors import MOST_LISTS, centroids, chunks, least_hashed, matrix, nearest, sample_of, usable, with_class
+from .vectors import Cells, chunks, least_hashed, matrix, sample_of, usable, with_class
 
-SHARD = 512  # vectors of a shard before overlap, on average
-NODES = 3072  # vectors of a graph, about
-QUERIES = 3072  # queries of a chunk, about
-OVERLAP = 3
+SHARD = 1024  # vectors of a shard before overlap, on average
+NODES = 6144  # vectors of a graph, about
+QUERIES = 6144  # queries of a chunk, about
+OVERLAP = 4
 POOL, RANDOM, DEGREE, ALPHA = 40, 8, 20, 1.2
 BEAM, SLACK = 4, 0.06
 AUDIT, RECALL = 64, 0.99
@@ -149,15 +149,15 @@ def _groups(found: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.
     return np.concatenate(ids), np.concatenate(roots)
 
 
-def _membership(nodes: DataFrame, centres: np.ndarray, overlap: int) -> DataFrame:
-    """``nodes`` with the array ``shards`` of the nearest centroids, in order of number."""
+def _membership(nodes: DataFrame, cells: Cells, overlap: int) -> DataFrame:
+    """``nodes`` with the array ``shards`` of the nearest cells, in order of number."""
     kind = nodes.schema["vector"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            lists = np.sort(nearest(unit(matrix(batch.column("vector"))), centres, overlap), axis=1)
+            lists = np.sort(cells.nearest(unit(matrix(batch.column("vector"))), overlap), axis=1)
             shards = pa.array(list(lists.astype(np.int32)), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("rep", "weight", "vector")), shards],
@@ -172,7 +172,7 @@ def _membership(nodes: DataFrame, centres: np.ndarray, overlap: int) -> DataFram
 def _split(members: DataFrame) -> DataFrame:
     """A row for each vector and shard: ``shard`` and ``part``, its part of a split shard, and the ``parts``."""
     each = members.select("rep", "weight", "vector", "shards", F.explode("shards").alias("shard"))
-    # One row for each shard: bounded by MOST_LISTS.
+    # What is broadcast has a row for each shard: at most a million.
     sizes = members.select(F.explode("shards").alias("shard")).groupBy("shard").agg(
         F.ceil(F.count("*") / NODES).cast("int").alias("parts"),
         F.ceil(F.count("*") / QUERIES).cast("int").alias("chunks"),
@@ -232,7 +232,8 @@ def _search(each: DataFrame, near: DataFrame, least: float) -> DataFrame:
                 low = own[:, k][:, None] == np.where(theirs[:, j] < shard, theirs[:, j], -1)[None, :]
                 earlier |= low
         root_of = dict(zip(*map(np.ndarray.tolist, _groups(found, names, ids)))) if found.any() else {}
-        links = (found & ~earlier) @ graph["weight"].to_numpy()
+        weight = graph["weight"].to_numpy()
+        links = np.concatenate([(found[t] & ~earlier[t]) @ weight for t in chunks(len(names), 256)])
         known = dict(zip(names.tolist(), links.tolist()))
         linked = sorted(root_of.keys() | {r for r, n in known.items() if n})
         return pa.table(
@@ -294,16 +295,15 @@ def near_duplicates(
     total = nodes.count()
     alone = fit.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), "usable")
     if total:
-        shards = max(1, min(MOST_LISTS, round(total / shard_rows)))
-        centres = centroids(unit(sample_of(nodes, total)), shards)
+        cells = Cells(unit(sample_of(nodes, total)), total / shard_rows)
         while True:
-            each = write_once(_split(_membership(nodes, centres, overlap)), "flatgraph-shards")
+            each = write_once(_split(_membership(nodes, cells, overlap)), "flatgraph-shards")
             near = write_once(adjacency(each), "flatgraph-adjacency")
             found = write_once(_search(each, near, threshold), "flatgraph-links")
             recall = _audited(nodes, total, found, threshold)
             if audit is not None:
-                audit |= {"recall": recall, "overlap": min(overlap, shards)}
-            if recall >= RECALL or overlap >= shards:
+                audit |= {"recall": recall, "overlap": min(overlap, len(cells))}
+            if recall >= RECALL or overlap >= len(cells):
                 break
             overlap *= 2
         links = found.groupBy("rep").agg(F.sum("links").alias("links"))

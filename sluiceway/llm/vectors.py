@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows that the centroids are fitted on at most.
 SAMPLE = 20_000
-#: Lists or shards at most: so many centroids the sample can carry.
-MOST_LISTS = 1024
+#: Centroids of a codebook at most, which the sample can carry: a million cells for two.
+MOST_CENTROIDS = 1024
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -73,25 +73,89 @@ def centroids(sample: np.ndarray, k: int, rounds: int = 10, seed: int = 5) -> np
     return centres
 
 
+def distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of rows, less the points' own norms."""
+    return (centres**2).sum(axis=1) - 2 * points @ centres.T
+
+
 def nearest(points: np.ndarray, centres: np.ndarray, k: int) -> np.ndarray:
     """For each point its ``k`` nearest centres, nearest first, equal ones by number."""
     k = min(k, len(centres))
     out = np.empty((len(points), k), np.int64)
-    norms = (centres**2).sum(axis=1)
-    for at in range(0, len(points), 1024):
-        far = norms - 2 * points[at : at + 1024] @ centres.T
-        if k == 1:
-            out[at : at + 1024, 0] = far.argmin(axis=1)
-        else:
-            out[at : at + 1024] = np.argsort(far, axis=1, kind="stable")[:, :k]
+    for some in chunks(len(points), 1024):
+        far = distances(points[some], centres)
+        out[some] = far.argmin(axis=1)[:, None] if k == 1 else np.argsort(far, axis=1, kind="stable")[:, :k]
     return out
 
 
-def float_lists(values: np.ndarray, kind=pa.float32()) -> pa.Array:
-    """The rows of a two-dimensional array as lists."""
-    n, d = values.shape
-    flat = pa.array(values.reshape(-1), kind)
-    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * d), flat)
+class Cells:
+    """Cells of a product of two codebooks: one centroid for either half of the dimensions.
+
+    Two codebooks of k centroids make k * k cells, so a bounded sample and a small model give as
+    many cells as the rows need (Babenko and Lempitsky, "The Inverted Multi-Index", 2012). The
+    dimensions are rotated first, so that either half tells as much, unless they are already.
+    """
+
+    def __init__(self, sample: np.ndarray, wanted: float, rotated: bool = False, seed: int = 9):
+        d = sample.shape[1]
+        noise = np.random.default_rng(seed).standard_normal((d, d))
+        self.rotation = None if rotated else np.linalg.qr(noise)[0]
+        self.half = (d + 1) // 2
+        k = max(1, min(MOST_CENTROIDS, round(np.sqrt(wanted))))
+        first, second = self._halves(sample)
+        self.first = centroids(first, k)
+        self.second = centroids(second, k) if d > 1 else np.zeros((1, 0))
+
+    def __len__(self) -> int:
+        return len(self.first) * len(self.second)
+
+    def _halves(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        turned = points if self.rotation is None else points @ self.rotation
+        return turned[:, : self.half], turned[:, self.half :]
+
+    def nearest(self, points: np.ndarray, n: int) -> np.ndarray:
+        """For each point its ``n`` nearest cells, nearest first."""
+        first, second = self._halves(points)
+        n, width = min(n, len(self)), len(self.second)
+        if n == 1:
+            return nearest(first, self.first, 1) * width + nearest(second, self.second, 1)
+        # Cell (i, j) by rank in either half comes after all (i', j') with i' <= i and j' <= j, so
+        # the n nearest are among those with (i + 1) * (j + 1) <= n.
+        i, j = np.divmod(np.arange(min(len(self.first), n) * min(width, n)), min(width, n))
+        some = (i + 1) * (j + 1) <= n
+        i, j = i[some], j[some]
+        out = np.empty((len(points), n), np.int64)
+        for tile in chunks(len(points), max(1, (1 << 20) // len(i))):
+            a, b = distances(first[tile], self.first), distances(second[tile], self.second)
+            by_a, by_b = np.argsort(a, axis=1, kind="stable"), np.argsort(b, axis=1, kind="stable")
+            a, b = np.take_along_axis(a, by_a, axis=1), np.take_along_axis(b, by_b, axis=1)
+            top = np.argsort(a[:, i] + b[:, j], axis=1, kind="stable")[:, :n]
+            rows = np.arange(len(top))[:, None]
+            out[tile] = by_a[rows, i[top]] * width + by_b[rows, j[top]]
+        return out
+
+    def nearest_filled(self, points: np.ndarray, n: int, filled: np.ndarray, least: int) -> list[np.ndarray]:
+        """For each point its ``n`` nearest cells that hold rows, and more until they hold ``least`` rows.
+
+        ``filled`` has the number of rows of each cell.
+        """
+        out: list = [None] * len(points)
+        waiting, m = np.arange(len(points)), min(2 * n, len(self))
+        while len(waiting):
+            left = []
+            for some in chunks(len(waiting), max(1, (1 << 20) // m)):
+                rows = waiting[some]
+                order = self.nearest(points[rows], m)
+                held = filled[order]
+                rank = np.cumsum(held > 0, axis=1)
+                before = np.cumsum(held, axis=1) - held
+                for k, row in enumerate(rows):
+                    if m < len(self) and (rank[k, -1] < n or before[k, -1] + held[k, -1] < least):
+                        left.append(row)
+                    else:
+                        out[row] = order[k, (held[k] > 0) & ((rank[k] <= n) | (before[k] < least))]
+            waiting, m = np.array(left, np.int64), min(4 * m, len(self))
+        return out
 
 
 def chunks(n: int, size: int) -> Iterator[slice]:

@@ -121,3 +121,29 @@ def test_space_turns_products_into_distances():
     a, b = space.queries(x[:5]), space.points(x)
     far = ((a[:, None] - b[None]) ** 2).sum(axis=2)
     assert far == pytest.approx((x[:5] ** 2).sum(axis=1)[:, None] + space.longest**2 - 2 * x[:5] @ x.T)
+
+
+@pytest.mark.parametrize("d", [1, 2, 7])
+def test_nearest_cells_against_all_cells(d):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((60, d))
+    cells = vectors.Cells(x, 20)
+    first, second = cells._halves(x)
+    far = ((first[:, None] - cells.first[None]) ** 2).sum(axis=2)[:, :, None]
+    far = (far + ((second[:, None] - cells.second[None]) ** 2).sum(axis=2)[:, None, :]).reshape(len(x), -1)
+    assert far.shape[1] == len(cells)
+    for n in (1, 2, 5, len(cells), 99):
+        got = np.take_along_axis(far, cells.nearest(x, n), axis=1)
+        assert got == pytest.approx(np.sort(far, axis=1)[:, : min(n, len(cells))], abs=1e-9)
+
+
+def test_probes_go_on_until_they_hold_enough_rows():
+    x = np.random.default_rng(3).standard_normal((50, 6))
+    cells = vectors.Cells(x, 36)
+    filled = np.zeros(len(cells), np.int64)
+    filled[::5] = 3
+    all_cells = cells.nearest(x, len(cells))
+    for n, least in ((1, 1), (1, 10), (3, 5), (99, 1), (1, 10**6)):
+        for row, got in zip(all_cells, cells.nearest_filled(x, n, filled, least)):
+            held = [c for c in row if filled[c]]
+            assert got.tolist() == held[: max(n, -(-least // 3))]
