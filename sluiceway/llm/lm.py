@@ -94,7 +94,7 @@ class _Block:
                 pa.array([self.ids], lists),
                 pa.array([self.held], pa.list_(pa.bool_())),
                 pa.array([lengths.astype(np.int32)], pa.list_(pa.int32())),
-                pa.array([codes.astype("<i4").tobytes()], pa.binary()),
+                pa.array([in_planes(codes, "<i4")], pa.binary()),
                 pa.array([hashes], lists),
                 pa.array([counts], lists),
                 pa.array([int(train.sum())], pa.int64()),
@@ -103,6 +103,20 @@ class _Block:
         )
 
 
+def in_planes(values: np.ndarray, kind: str) -> bytes:
+    """Integers with their first bytes together, then their second ones, and so on.
+
+    Most are small, so the planes of the higher bytes compress to nothing when written or shuffled.
+    """
+    whole = values.astype(kind)
+    return whole.view(np.uint8).reshape(len(whole), -1).T.tobytes()
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(data, np.uint8).reshape(size, -1).T.copy().view(kind).reshape(-1)
+
+
 def encoded_tokens(block: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """A block's distinct tokens, the codes of all its tokens into them, and the tokens of each text.
 
@@ -364,7 +378,7 @@ def _opened(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.
     """Held-out flags, lengths, codes and hashes of a block's row in a batch."""
     held = np.array(batch["held"][at].as_py(), dtype=bool)
     lengths = batch["lengths"][at].values.to_numpy().astype(np.int64)
-    codes = np.frombuffer(batch["codes"][at].as_py(), "<i4")
+    codes = from_planes(batch["codes"][at].as_py(), "<i4")
     return held, lengths, codes, batch["hashes"][at].values.to_numpy()
 
 
@@ -433,7 +447,7 @@ def _totals(rows: DataFrame) -> DataFrame:
     def gather(group: pa.Table) -> pa.Table:
         totals = np.zeros(group.num_rows, np.int64)
         totals[group["code"].to_numpy()] = group["total"].to_numpy()
-        return pa.table({"block": pa.array([group["block"][0].as_py()], pa.int64()), "totals": pa.array([totals.tobytes()], pa.binary())})
+        return pa.table({"block": pa.array([group["block"][0].as_py()], pa.int64()), "totals": pa.array([in_planes(totals, "<i8")], pa.binary())})
 
     return rows.select("block", "code", "total").groupBy("block").applyInArrow(gather, "block long, totals binary")
 
@@ -461,7 +475,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
         for batch in batches:
             for at in range(batch.num_rows):
                 held, lengths, codes, hashes = _opened(batch, at)
-                totals = np.frombuffer(batch["totals"][at].as_py(), np.int64)
+                totals = from_planes(batch["totals"][at].as_py(), "<i8")
                 head, ids = counts.places(hashes), batch["ids"][at].values
                 slots, known = slots_of(head, hashes), (totals > 0).astype(np.int64)
                 unigram, rest = counts.log_unigram(totals), counts.log_rest(totals)
