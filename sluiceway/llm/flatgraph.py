@@ -88,6 +88,17 @@ def robust_prune(x: np.ndarray, seed: int = 11) -> tuple[np.ndarray, np.ndarray]
     return both // n, both % n
 
 
+def _beam(best: np.ndarray, by: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Each query's ``BEAM`` largest cosines of those in ``best`` and the new ones."""
+    order = np.lexsort((-near, by))
+    by, near = by[order], near[order]
+    place = np.arange(len(by)) - np.searchsorted(by, by)
+    top = place < BEAM
+    more = np.full(best.shape, -2, np.float32)
+    more[by[top], place[top]] = near[top]
+    return -np.sort(-np.concatenate([best, more], axis=1), axis=1)[:, :BEAM]
+
+
 def range_search(x: np.ndarray, starts: np.ndarray, edges: np.ndarray, q: np.ndarray, least: float) -> np.ndarray:
     """Which nodes each query finds within cosine ``least``: a boolean array, queries by nodes.
 
@@ -103,23 +114,32 @@ def range_search(x: np.ndarray, starts: np.ndarray, edges: np.ndarray, q: np.nda
         rows = tile.stop - tile.start
         sims = np.full((rows, n), -2, np.float32)
         sims[:, entry] = asked[tile] @ light[entry]
-        spent = np.zeros((rows, n), dtype=bool)
-        while True:
-            # The beam: each query's best nodes so far; and all in range.
-            floor = np.partition(sims, n - BEAM, axis=1)[:, n - BEAM] if n > BEAM else np.full(rows, -2, np.float32)
-            floor = np.minimum(np.maximum(floor, -1.5), np.float32(least - SLACK))
-            qi, ni = np.nonzero((sims >= floor[:, None]) & ~spent)
-            if not len(qi):
-                break
-            spent[qi, ni] = True
+        best = np.full((rows, BEAM), -2, np.float32)
+        best[:, 0] = sims[:, entry]
+        marks = np.zeros((rows, n), np.int32)
+        qi, ni = np.arange(rows), np.full(rows, entry)
+        while len(qi):
+            met = []
             for some in chunks(len(qi), 1 << 14):
                 many = degree[ni[some]]
                 first = np.repeat(starts[ni[some]] - np.concatenate([[0], np.cumsum(many)[:-1]]), many)
                 to, by = edges[first + np.arange(many.sum())], np.repeat(qi[some], many)
                 new = sims[by, to] == -2
-                flat = np.unique(by[new] * n + to[new])
-                by, to = flat // n, flat % n
+                by, to = by[new], to[new]
+                # One of the pairs that are the same stays.
+                marks[by, to] = np.arange(len(by))
+                one = marks[by, to] == np.arange(len(by))
+                by, to = by[one], to[one]
                 sims[by, to] = np.einsum("ij,ij->i", asked[tile][by], light[to])
+                met.append((by, to))
+            by, to = (np.concatenate(part) for part in zip(*met))
+            near = sims[by, to]
+            best = _beam(best, by, near)
+            # On from each query's best so far, and from all that is in range. The floor only
+            # rises, so what lies below it when it is met is never needed.
+            floor = np.minimum(np.maximum(best.min(axis=1), -1.5), np.float32(least - SLACK))
+            on = near >= floor[by]
+            qi, ni = by[on], to[on]
         qi, ni = np.nonzero(sims >= least - 1e-4)
         for some in chunks(len(qi), 1 << 16):
             a, b = qi[some], ni[some]
