@@ -30,22 +30,23 @@ def read_receipts(df: DataFrame) -> DataFrame:
     return df.select("payload_id", F.col("status_code").cast("int"))
 
 
-def read_changes(spark: SparkSession, path: str, after: Row | None = None) -> DataFrame:
+def read_changes(spark: SparkSession, path: str, after: list[Row] | None = None) -> DataFrame:
     """The log of state changes written by :func:`sinks.append_changes`.
 
-    ``after``, a mark from :func:`read_folded`, leaves out the days and runs that a
-    version of the table already holds; earlier days are not listed.
+    ``after``, a mark from :func:`read_folded`, leaves out the runs that a version of the
+    table already holds and that were settled when it was written; their files are not read.
+    All else is read, whatever its day or sequence: a run may be settled after later ones were folded.
     """
     log = spark.read.schema(CHANGES).parquet(path)
-    if after is not None:
-        # The last folded run may have been settled after it was folded.
-        log = log.filter((F.col("day") >= F.lit(after.day)) & (F.col("run_seq") >= after.run_seq))
+    for mark in after or []:
+        if mark.runs:
+            log = log.filter(~((F.col("entity") == mark.entity) & F.col("run_id").isin(mark.runs)))
     return log
 
 
-def read_folded(spark: SparkSession, path: str, version: str) -> Row | None:
-    """How far the log was folded into a written version: ``day`` and ``run_seq``."""
-    return spark.read.schema("day date, run_seq long").parquet(f"{path}/_folded/{version}").first()
+def read_folded(spark: SparkSession, path: str, version: str) -> list[Row]:
+    """What of the log a written version holds for good: ``entity`` and its settled ``runs``."""
+    return spark.read.schema("entity string, runs array<string>").parquet(f"{path}/_folded/{version}").collect()
 
 
 def read_state(spark: SparkSession, path: str, version: str, name: str) -> DataFrame:

@@ -127,6 +127,39 @@ def test_log_by_runs_not_by_clocks(spark, world, tmp_path):
     assert states(tables.current_state(folded, newer, "households"))["b"] == ("Processing", True)
 
 
+def test_run_settled_after_a_later_run_was_folded(spark, world, tmp_path):
+    t = homes_world(world, [("a", "p"), ("b", "q")])
+    path, version = f"{tmp_path}/log", f"{tmp_path}/state"
+    first = dispatch(t, "households", record_id="a", run_id="r1", run_ts="2024-06-01 10:00:00", run_seq=1)
+    sinks.append_changes(first.claim_changes(), path)
+    second = dispatch(t, "households", record_id="b", run_id="r2", run_ts="2024-06-02 10:05:00", run_seq=2)
+    sinks.append_changes(second.claim_changes(), path)
+    sinks.append_changes(second.settle(answering(spark, {"q": [200]})(second.documents)), path)
+    # A later run of another entity.
+    other = second.claim_changes().withColumns(
+        {"entity": F.lit("farmers"), "run_id": F.lit("f"), "run_seq": F.lit(9).cast("long")}
+    )
+    sinks.append_changes(other, path)
+    log = tables.read_changes(spark, path)
+    state = tables.current_state(t["households"], log, "households")
+    assert states(state) == {"a": ("Processing", True), "b": ("Complete", False)}
+    sinks.write_state(state, version, "1", log)
+    sinks.write_state(state, version, "own", log, "households")
+    # Settled after the fold, first by a refusal and then, the delivery retried, by an acceptance.
+    for status, want in ((500, ("Failed", True)), (200, ("Complete", False))):
+        sinks.append_changes(first.settle(answering(spark, {"p": [status]})(first.documents)), path)
+        for name in ("1", "own"):
+            newer = tables.read_changes(spark, path, tables.read_folded(spark, version, name))
+            folded = tables.read_state(spark, version, name, "households")
+            got = states(tables.current_state(folded, newer, "households"))
+            assert got == {"a": want, "b": ("Complete", False)}
+    # With all settled, only the last run is read again; the other entity's is never left out.
+    log = tables.read_changes(spark, path)
+    sinks.write_state(tables.current_state(t["households"], log, "households"), version, "2", log, "households")
+    newer = tables.read_changes(spark, path, tables.read_folded(spark, version, "2"))
+    assert {r.run_id for r in newer.collect()} == {"r2", "f"}
+
+
 def test_state_versions_are_never_overwritten(spark, table, tmp_path):
     homes = table("households", {"id": "a", **flagged(DAY[0])})
     sinks.write_state(homes, str(tmp_path), "1")
