@@ -7,9 +7,16 @@ dealt to classes of ``WIDTH`` by frequency; all others, known or not, are one mo
 
 Both factors of a head token are softmaxes whose logits are the unigram's plus the weights of
 hashed features of the context: the token before, the two before together, and the tokens two and
-three before (skips). Within the class of the rest a token has its smoothed share
-(c + 0.1) / (n + 0.1 * (v + 1)) of that class's training tokens, so the model is a proper
-distribution over known tokens and one unknown.
+three before (skips). The class of the rest, which holds every other training token and one
+unknown, is a binary tree over their ranks by frequency, halved by smoothed count (c + 0.1). Each
+turn is logistic: the log ratio of the halves' counts plus hashed weights of the node with the same
+four contexts, told apart by their ranks. So every token has a path of its own, untrained weights
+give its smoothed share of the class, and the model is a proper distribution over known tokens and one unknown.
+
+Ranks need no tokens on the driver: counts by (total, slice of the hash) give where each slice
+begins, and the number of tokens of each total, the ladder, gives the count of any span of ranks.
+Slots and hashed weights grow with the distinct tokens, up to ``MOST_SLOTS`` and
+``MOST_WEIGHTS``, which is what a worker and the driver hold; beyond, contexts share weights.
 
 Passes: (1) each task turns texts into blocks, which hold codes into a block's list of
 distinct tokens, and counts training tokens per block; (2) counts are summed by a hash of the
@@ -17,7 +24,7 @@ token and go back to the blocks that hold it, so what is shuffled is a block's d
 tokens, not its text; (3) training: tasks run AdaGrad over all training tokens of some
 blocks, and their weights are averaged by how often each feature was seen (parameter mixing), in
 groups of bounded size; (4) blocks are scored in batches of numpy arrays. What comes to the driver
-is the head's counts and the weights, whose number is fixed.
+is the head's counts, the ladder and the weights.
 
 Tokens are told apart by 64 bits of XXH64: among ten billion distinct ones about three pairs would
 be counted together.
@@ -46,9 +53,12 @@ from .vectors import chunks
 
 HEAD, WIDTH = 480, 32  # with the rest 16 classes, so that a row of weights is 64 bytes
 CLASSES = HEAD // WIDTH
-SLOTS = 4096  # hashed values of one template of features
+SLOTS, MOST_SLOTS = 4096, 1 << 16  # hashed values of one template of features, at least and most
 TEMPLATES = 4
 WORD_WEIGHTS = 1 << 18
+MOST_WEIGHTS = 1 << 24  # of the rest's tree
+SLICES = 1024  # of the hashes of tokens with one count, which are ranked apart
+REST_BATCH = 1 << 13  # positions whose paths are followed together
 SMOOTH = 0.1
 RATE = 0.25
 BATCH = 1 << 15  # tokens of a gradient step
@@ -164,13 +174,70 @@ def blocks(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
 def counted(encoded: DataFrame) -> DataFrame:
     """``block``, ``code``, ``hash``, ``total`` (training tokens in all blocks), ``first`` (one row per token)."""
     pairs = encoded.select("block", F.posexplode(F.arrays_zip("hashes", "counts")).alias("code", "pair"))
-    rows = pairs.select("block", "code", F.col("pair.hashes").alias("hash"), F.col("pair.counts").alias("n"))
-    own = Window.partitionBy("hash")
-    return rows.select(
-        "block", "code", "hash",
+    # Arithmetic shifts keep the order of hashes, so slices are runs of it. Dealt out by them, rows
+    # need no other shuffle.
+    rows = pairs.select(
+        "block", "code", F.col("pair.hashes").alias("hash"), F.col("pair.counts").alias("n"),
+        F.shiftright("pair.hashes", 64 - SLICES.bit_length() + 1).cast("int").alias("slice"),
+    ).repartition("slice")
+    own = Window.partitionBy("slice", "hash")
+    totals = rows.select(
+        "block", "code", "hash", "slice",
         F.sum("n").over(own).alias("total"),
         (F.row_number().over(own.orderBy("block", "code")) == 1).alias("first"),
     )
+    # The same number in every block.
+    return totals.withColumn("within", F.dense_rank().over(Window.partitionBy("slice", "total").orderBy("hash")) - 1)
+
+
+class Ladder:
+    """How many of the rest's tokens have each training count, most frequent first, and one unknown last."""
+
+    def __init__(self, totals: np.ndarray, tokens: np.ndarray):
+        each = np.append(totals, 0) + SMOOTH
+        many = np.append(tokens, 1).astype(np.int64)
+        self.each, self.leaves = each, int(many.sum())
+        self.starts = np.cumsum(many) - many
+        self.mass = np.concatenate([[0.0], np.cumsum(many * each)[:-1]])
+
+    def upto(self, rank: np.ndarray) -> np.ndarray:
+        """The smoothed count of all tokens before ``rank``."""
+        k = np.searchsorted(self.starts, rank, side="right") - 1
+        return self.mass[k] + (rank - self.starts[k]) * self.each[k]
+
+    def paths(self, ranks: np.ndarray) -> Paths:
+        """The way to each leaf; a node is named by the rank at which it is cut, which no other has."""
+        low, high = np.zeros(len(ranks), np.int64), np.full(len(ranks), self.leaves)
+        below, above = np.zeros(len(ranks)), np.full(len(ranks), self.upto(np.array([self.leaves]))[0])
+        going, steps = np.arange(len(ranks)), []
+        going = going[high[going] - low[going] > 1]
+        while len(going):
+            a, b, start, end = low[going], high[going], below[going], above[going]
+            half = (start + end) / 2
+            k = np.searchsorted(self.mass, half, side="right") - 1
+            cut = np.clip(self.starts[k] + np.rint((half - self.mass[k]) / self.each[k]).astype(np.int64), a + 1, b - 1)
+            at = self.upto(cut)
+            right = ranks[going] >= cut
+            steps.append((going, cut, np.log((end - at) / (at - start)).astype(np.float32), right))
+            low[going], high[going] = np.where(right, cut, a), np.where(right, b, cut)
+            below[going], above[going] = np.where(right, at, start), np.where(right, end, at)
+            going = going[high[going] - low[going] > 1]
+        if not steps:
+            return Paths(np.zeros(len(ranks) + 1, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, bool))
+        owner, cut, bias, right = (np.concatenate(c) for c in zip(*steps))
+        order = np.argsort(owner, kind="stable")
+        bounds = np.searchsorted(owner[order], np.arange(len(ranks) + 1))
+        return Paths(bounds, cut[order].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), bias[order], right[order])
+
+
+@dataclass(frozen=True)
+class Paths:
+    """``bounds[i]:bounds[i + 1]`` are the turns of path i: the node's hash, the log ratio of its halves, right or not."""
+
+    bounds: np.ndarray
+    nodes: np.ndarray
+    bias: np.ndarray
+    right: np.ndarray
 
 
 @dataclass(frozen=True)
@@ -181,6 +248,9 @@ class Counts:
     distinct: int
     head: np.ndarray  # hashes, most frequent first
     head_counts: np.ndarray
+    ladder: Ladder | None = None  # without it the rest's tokens keep their shares
+    #: All tokens by count and slice, in order of rank: count, slice, and the first rank.
+    rungs: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def __post_init__(self):
         order = np.argsort(self.head)
@@ -194,6 +264,30 @@ class Counts:
         at = np.minimum(np.searchsorted(self._sorted, hashes), len(self.head) - 1)
         return np.where(self._sorted[at] == hashes, self._order[at], -1)
 
+    @property
+    def slots(self) -> int:
+        return min(MOST_SLOTS, max(SLOTS, 1 << (self.distinct // 32).bit_length()))
+
+    @property
+    def tree_weights(self) -> int:
+        return min(MOST_WEIGHTS, max(WORD_WEIGHTS, 1 << (4 * self.distinct).bit_length()))
+
+    def ranks(self, totals: np.ndarray, slices: np.ndarray, within: np.ndarray) -> np.ndarray:
+        """Ranks of tokens by count and hash; -1 of those without training tokens."""
+        if self.rungs is None or not len(self.rungs[0]):
+            return np.full(len(totals), -1)
+        # As rungs are in falling order of counts and rising order of slices, one key has both.
+        key = lambda n, k: -n * SLICES + k + SLICES // 2
+        at = np.searchsorted(key(*self.rungs[:2]), key(totals, slices))
+        first = self.rungs[2][np.minimum(at, len(self.rungs[2]) - 1)]
+        return np.where(totals > 0, first + within, -1)
+
+    def totals(self, ranks: np.ndarray) -> np.ndarray:
+        """The training counts of ranks."""
+        if self.rungs is None or not len(self.rungs[0]):
+            return np.zeros(len(ranks), np.int64)
+        return np.where(ranks >= 0, self.rungs[0][np.searchsorted(self.rungs[2], ranks, side="right") - 1], 0)
+
     @property
     def rest(self) -> int:
         return self.tokens - int(self.head_counts.sum())
@@ -220,33 +314,46 @@ class Counts:
 
 def count_summary(rows: DataFrame) -> Counts:
     one = rows.where("first AND total > 0")
-    tokens, distinct = one.agg(F.coalesce(F.sum("total"), F.lit(0)), F.count("*")).first()
+    rungs = one.groupBy("total", "slice").agg(F.count("*").alias("n")).toArrow()
+    total, part, n = (rungs[c].to_numpy() for c in ("total", "slice", "n"))
+    order = np.lexsort((part, -total))
+    total, part, n = total[order], part[order], n[order]
     top = one.orderBy(F.desc("total"), "hash").limit(HEAD).select("hash", "total").collect()
+    # The ladder of what the head leaves.
+    left = np.minimum(n, np.maximum(np.cumsum(n) - len(top), 0))
+    levels, at = np.unique(-total, return_inverse=True)
+    many = np.bincount(at, left, len(levels)).astype(np.int64)
     return Counts(
-        tokens, distinct, np.array([r.hash for r in top], np.int64), np.array([r.total for r in top], np.int64)
-    )
+        int((total * n).sum()), int(n.sum()),
+        np.array([r.hash for r in top], np.int64), np.array([r.total for r in top], np.int64),
+        Ladder(-levels[many > 0], many[many > 0]), (total, part, np.cumsum(n) - n),
+    )
 
 
 class Weights:
     """Weights of the features, and how often each was seen in training."""
 
-    def __init__(self):
-        self.classes = np.zeros((TEMPLATES * SLOTS, CLASSES + 1), np.float32)
+    def __init__(self, slots: int = SLOTS, tree: int = WORD_WEIGHTS):
+        self.slots = slots
+        self.classes = np.zeros((TEMPLATES * slots, CLASSES + 1), np.float32)
         self.words = np.zeros(WORD_WEIGHTS, np.float32)
-        self.class_seen = np.zeros(TEMPLATES * SLOTS, np.float32)
+        self.tree = np.zeros(tree, np.float32)
+        self.class_seen = np.zeros(TEMPLATES * slots, np.float32)
         self.word_seen = np.zeros(WORD_WEIGHTS, np.float32)
+        self.tree_seen = np.zeros(tree, np.float32)
 
     def flat(self) -> tuple[np.ndarray, np.ndarray]:
         """All weights times how often they were seen, and that number."""
-        seen = np.concatenate([np.repeat(self.class_seen, CLASSES + 1), self.word_seen])
-        return np.concatenate([self.classes.reshape(-1), self.words]) * seen, seen
+        seen = np.concatenate([np.repeat(self.class_seen, CLASSES + 1), self.word_seen, self.tree_seen])
+        return np.concatenate([self.classes.reshape(-1), self.words, self.tree]) * seen, seen
 
     @classmethod
-    def mixed(cls, weighted: np.ndarray, seen: np.ndarray) -> Weights:
-        new = cls()
+    def mixed(cls, weighted: np.ndarray, seen: np.ndarray, slots: int, tree: int) -> Weights:
+        new = cls(slots, tree)
         flat = (weighted / np.maximum(seen, 1)).astype(np.float32)
         new.classes = flat[: new.classes.size].reshape(new.classes.shape).copy()
-        new.words = flat[new.classes.size :].copy()
+        new.words = flat[new.classes.size : -tree].copy()
+        new.tree = flat[-tree:].copy()
         return new
 
 
@@ -258,9 +365,9 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def slots_of(head: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def slots_of(head: np.ndarray, hashes: np.ndarray, slots: int = SLOTS) -> np.ndarray:
     """A slot for each head token; others share the remaining ones; 0 is before a text."""
-    spread = (hashes.view(np.uint64) % np.uint64(SLOTS - 1 - HEAD)).astype(np.int64)
+    spread = (hashes.view(np.uint64) % np.uint64(slots - 1 - HEAD)).astype(np.int64)
     return np.where(head >= 0, 1 + head, 1 + HEAD + spread)
 
 
@@ -276,31 +383,63 @@ def spans(lengths: np.ndarray) -> Iterator[tuple[slice, slice]]:
 
 
 class Positions:
-    """The positions of some texts: each token's place in the head, and its context's features."""
+    """The positions of some texts: each token's place in the head, and its context's features.
+
+    With the counts' ladder also the ways to the rest's tokens, and hashes of the ranks of the contexts.
+    """
+
+    paths: Paths | None = None
 
-    def __init__(self, head: np.ndarray, slots: np.ndarray, codes: np.ndarray, lengths: np.ndarray):
+    def __init__(
+        self, head: np.ndarray, slots: np.ndarray, codes: np.ndarray, lengths: np.ndarray,
+        counts: Counts | None = None, ranks: np.ndarray | None = None,
+    ):
+        many = counts.slots if counts else SLOTS
         self.target = head[codes]
-        slot = slots[codes]
         starts = np.cumsum(lengths) - lengths
         into = np.arange(len(codes)) - np.repeat(starts, lengths)
 
-        def back(k: int) -> np.ndarray:
-            moved = np.zeros(len(slot), np.int64)
-            moved[k:] = slot[:-k]
+        def back(of: np.ndarray, k: int) -> np.ndarray:
+            moved = np.zeros(len(of), of.dtype)
+            moved[k:] = of[:-k]
             moved[into < k] = 0
             return moved
 
-        one, two, three = back(1), back(2), back(3)
-        pair = ((one * 2654435761 + two * 40503) >> 7) % SLOTS
-        self.features = np.stack([one, SLOTS + pair, 2 * SLOTS + two, 3 * SLOTS + three]).astype(np.uint16)
+        one, two, three = (back(slots[codes].astype(np.int64), k) for k in (1, 2, 3))
+        pair = ((one * 2654435761 + two * 40503) >> 7) % many
+        self.features = np.stack([one, many + pair, 2 * many + two, 3 * many + three]).astype(np.uint32)
+        if counts and counts.ladder:
+            own = np.zeros(len(head), bool)
+            own[codes[self.target < 0]] = True
+            own = np.flatnonzero(own)
+            leaf = np.where(ranks[own] < 0, counts.ladder.leaves - 1, ranks[own] - len(counts.head))
+            self.paths = counts.ladder.paths(leaf)
+            place = np.full(len(head), -1)
+            place[own] = np.arange(len(own))
+            self.path = place[codes]
+            one, two, three = (back(ranks[codes].astype(np.uint64) + np.uint64(2), k) for k in (1, 2, 3))
+            odd = [np.uint64(k) for k in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xFF51AFD7ED558CCD)]
+            pair = (one * odd[1] ^ two) * odd[0]
+            self.contexts = np.stack([one * odd[0], pair, two * odd[2], three * odd[3]])
 
     def __len__(self) -> int:
         return len(self.target)
 
+    def turns(self, rows: np.ndarray, weights: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of all turns to the tokens at ``rows``: places of the weights, log ratio, right or not; and each row's number."""
+        path = self.path[rows]
+        first, many = self.paths.bounds[path], np.diff(self.paths.bounds)[path]
+        ends = np.cumsum(many)
+        at = np.arange(many.sum()) + np.repeat(first - ends + many, many)
+        by, node = np.repeat(rows, many), self.paths.nodes[at]
+        mixed = (self.contexts[:, by] ^ node) * np.uint64(0xFF51AFD7ED558CCD)
+        places = (mixed >> np.uint64(65 - weights.bit_length())).view(np.int64)
+        return places, self.paths.bias[at], self.paths.right[at], many
+
 
 def _word_places(features: np.ndarray, members: np.ndarray) -> np.ndarray:
-    """Hashed weights of a class's words with the token before and the one two before: 2, n, WIDTH."""
-    base = features[[0, 2]].astype(np.int64) * 0x9E3779B1
+    """Hashed weights of a class's words with each of the contexts: TEMPLATES, n, WIDTH."""
+    base = features.astype(np.int64) * 0x9E3779B1
     return ((base[:, :, None] + members[None] * 0x85EBCA6B) >> 11) & (WORD_WEIGHTS - 1)
 
 
@@ -321,11 +460,26 @@ class Model:
         """P(word | its class, context) of all words of the targets' classes, and the weights' places."""
         members = (target // WIDTH * WIDTH)[:, None] + np.arange(WIDTH)
         places = _word_places(features, members)
-        logits = self.word_bias[members] + self.weights.words[places[0]] + self.weights.words[places[1]]
+        logits = self.word_bias[members]
+        for k in range(TEMPLATES):
+            logits += self.weights.words[places[k]]
         return _softmax(logits), places
 
+    def log_within_rest(self, positions: Positions, rows: np.ndarray) -> np.ndarray:
+        """log10 P of the tokens at ``rows`` within the class of the rest."""
+        out = np.empty(len(rows))
+        for some in chunks(len(rows), REST_BATCH):
+            places, logit, right, many = positions.turns(rows[some], len(self.weights.tree))
+            for at in places:
+                logit += self.weights.tree[at]
+            turns = -np.logaddexp(0, np.where(right, -logit, logit).astype(np.float64)) / np.log(10)
+            sums = np.concatenate([[0.0], np.cumsum(turns)])
+            ends = np.cumsum(many)
+            out[some] = sums[ends] - sums[ends - many]
+        return out
+
     def log_probability(self, positions: Positions, log_rest: np.ndarray) -> np.ndarray:
-        """log10 P of each position; ``log_rest``: that of its token within the class of the rest."""
+        """log10 P of each position; ``log_rest``: that of its token within the class of the rest, if there are no paths."""
         out = np.empty(len(positions))
         for some in chunks(len(positions), BATCH):
             features, target = positions.features[:, some], positions.target[some]
@@ -333,7 +487,10 @@ class Model:
             which = np.where(in_head, target // WIDTH, CLASSES)
             p = self.classes(features)[np.arange(len(target)), which].astype(np.float64)
             log_p = np.log10(np.maximum(p, 1e-30))
-            log_p[~in_head] += log_rest[some][~in_head]
+            if positions.paths is None:
+                log_p[~in_head] += log_rest[some][~in_head]
+            else:
+                log_p[~in_head] += self.log_within_rest(positions, some.start + np.flatnonzero(~in_head))
             if in_head.any():
                 own = target[in_head]
                 q, _ = self.words(features[:, in_head], own)
@@ -346,7 +503,9 @@ class Trainer(Model):
     """AdaGrad on batches of positions."""
 
     def __init__(self, counts: Counts):
-        super().__init__(counts, Weights())
+        super().__init__(counts, Weights(counts.slots, counts.tree_weights))
+        self.tree_squares = np.full(counts.tree_weights, 1.0, np.float32)
+        self.tree_sums = np.zeros(counts.tree_weights, np.float32)
         self.class_squares = np.full(self.weights.classes.shape, 1.0, np.float32)
         self.word_squares = np.full(WORD_WEIGHTS, 1.0, np.float32)
 
@@ -357,12 +516,18 @@ class Trainer(Model):
         slope[np.arange(n), np.where(in_head, target // WIDTH, CLASSES)] -= 1
         by_class = slope.T.astype(np.float64)
         for k in range(TEMPLATES):
-            rows = slice(k * SLOTS, (k + 1) * SLOTS)
-            at = features[k].astype(np.intp) - rows.start
-            sums = np.stack([np.bincount(at, s, SLOTS) for s in by_class], axis=1).astype(np.float32)
-            self.class_squares[rows] += sums**2
-            w.classes[rows] -= RATE * sums / np.sqrt(self.class_squares[rows])
-            w.class_seen[rows] += np.bincount(at, minlength=SLOTS)
+            at = features[k].astype(np.intp) - k * w.slots
+            many = np.bincount(at, minlength=w.slots)
+            # Only the rows met, however many slots there are.
+            met = np.flatnonzero(many)
+            many[met], seen = np.arange(len(met)), many[met]
+            at = many[at]
+            sums = np.stack([np.bincount(at, s, len(met)) for s in by_class], axis=1).astype(np.float32)
+            rows = met + k * w.slots
+            squares = self.class_squares[rows] + sums**2
+            self.class_squares[rows] = squares
+            w.classes[rows] -= RATE * sums / np.sqrt(squares)
+            w.class_seen[rows] += seen
         if in_head.any():
             own = target[in_head]
             slope, places = self.words(features[:, in_head], own)
@@ -373,34 +538,53 @@ class Trainer(Model):
             w.words -= RATE * sums / np.sqrt(self.word_squares)
             w.word_seen += sums != 0
 
+    def step_rest(self, positions: Positions, rows: np.ndarray) -> None:
+        """The same for the turns to the rest's tokens at ``rows``; weights not met are not touched."""
+        w, sums = self.weights, self.tree_sums
+        for some in chunks(len(rows), REST_BATCH):
+            places, logit, right, _ = positions.turns(rows[some], len(w.tree))
+            old = w.tree[places]
+            logit += old.sum(axis=0)
+            slope = 1 / (1 + np.exp(-np.clip(logit, -80, 80))) - right
+            for at in places:
+                np.add.at(sums, at, slope)
+            # A place met several times is written the same value each time.
+            own = sums[places]
+            squares = self.tree_squares[places] + own**2
+            w.tree_seen[places] += 1
+            self.tree_squares[places] = squares
+            w.tree[places] = old - RATE * own / np.sqrt(squares)
+            sums[places] = 0
+
 
 def _opened(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Held-out flags, lengths, codes and hashes of a block's row in a batch."""
+    """Held-out flags, lengths, codes and ranks of a block's row in a batch."""
     held = np.array(batch["held"][at].as_py(), dtype=bool)
     lengths = batch["lengths"][at].values.to_numpy().astype(np.int64)
     codes = from_planes(batch["codes"][at].as_py(), "<i4")
-    return held, lengths, codes, batch["hashes"][at].values.to_numpy()
+    return held, lengths, codes, from_planes(batch["ranks"][at].as_py(), "<i8")
 
 
 def train(encoded: DataFrame, counts: Counts) -> Weights:
     """One pass of distributed gradient updates over all training tokens."""
-    total = encoded.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    total = counts.tokens
     if not total or not len(counts.head):
-        return Weights()
+        return Weights(counts.slots, counts.tree_weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Trainer(counts)
         for batch in batches:
             for at in range(batch.num_rows):
-                held, lengths, codes, hashes = _opened(batch, at)
-                head = counts.places(hashes)
-                slots = slots_of(head, hashes)
+                held, lengths, codes, ranks = _opened(batch, at)
+                head = np.where(ranks < len(counts.head), ranks, -1)
+                slots = slots_of(head, ranks, counts.slots)
                 for docs, tokens in spans(lengths):
-                    positions = Positions(head, slots, codes[tokens], lengths[docs])
+                    positions = Positions(head, slots, codes[tokens], lengths[docs], counts, ranks)
                     trained = np.flatnonzero(~np.repeat(held[docs], lengths[docs]))
                     for some in chunks(len(trained), BATCH):
                         rows = trained[some]
                         own.step(positions.features[:, rows], positions.target[rows])
+                        own.step_rest(positions, rows[positions.target[rows] < 0])
         weighted, seen = own.weights.flat()
         task = TaskContext.get().partitionId()
         for k, part in enumerate(chunks(len(seen), PART)):
@@ -409,7 +593,7 @@ def train(encoded: DataFrame, counts: Counts) -> Weights:
     kinds = "task long, part int, weighted binary, seen binary"
     tasks = max(1, round(total / TASK_TOKENS))
     models = write_once(
-        encoded.select("held", "lengths", "codes", "hashes").coalesce(tasks).mapInArrow(run, kinds), "lm-weights"
+        encoded.select("held", "lengths", "codes", "ranks").coalesce(tasks).mapInArrow(run, kinds), "lm-weights"
     )
 
     def add(group: pa.Table) -> pa.Table:
@@ -426,7 +610,7 @@ def train(encoded: DataFrame, counts: Counts) -> Weights:
         left = -(-left // MIXED)
     rows = sorted(models.collect(), key=lambda r: r.part)
     weighted, seen = (np.concatenate([np.frombuffer(r[c], np.float32) for r in rows]) for c in ("weighted", "seen"))
-    return Weights.mixed(weighted, seen)
+    return Weights.mixed(weighted, seen, counts.slots, counts.tree_weights)
 
 
 def _model_row(task: int, part: int, weighted: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
@@ -441,15 +625,16 @@ def _model_row(task: int, part: int, weighted: np.ndarray, seen: np.ndarray) ->
     )
 
 
-def _totals(rows: DataFrame) -> DataFrame:
-    """``block``, ``totals``: the training counts of a block's distinct tokens, in order of code."""
+def _ranks(rows: DataFrame, counts: Counts) -> DataFrame:
+    """``block``, ``ranks``: those of a block's distinct tokens, in order of code."""
 
     def gather(group: pa.Table) -> pa.Table:
-        totals = np.zeros(group.num_rows, np.int64)
-        totals[group["code"].to_numpy()] = group["total"].to_numpy()
-        return pa.table({"block": pa.array([group["block"][0].as_py()], pa.int64()), "totals": pa.array([in_planes(totals, "<i8")], pa.binary())})
+        ranks = np.zeros(group.num_rows, np.int64)
+        ranks[group["code"].to_numpy()] = counts.ranks(*(group[c].to_numpy() for c in ("total", "slice", "within")))
+        return pa.table({"block": pa.array([group["block"][0].as_py()], pa.int64()), "ranks": pa.array([in_planes(ranks, "<i8")], pa.binary())})
 
-    return rows.select("block", "code", "total").groupBy("block").applyInArrow(gather, "block long, totals binary")
+    some = rows.select("block", "code", "total", "slice", "within")
+    return some.groupBy("block").applyInArrow(gather, "block long, ranks binary")
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -466,23 +651,23 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     encoded = write_once(blocks(docs, held, id_col, text_col), "lm-blocks")
     rows = write_once(counted(encoded), "lm-counts")
     counts = count_summary(rows)
-    weights = spark.sparkContext.broadcast(train(encoded, counts))
-    joined = encoded.drop("counts", "tokens").join(_totals(rows), "block")
+    joined = write_once(encoded.drop("hashes", "counts", "tokens").join(_ranks(rows, counts), "block"), "lm-ranked")
+    weights = spark.sparkContext.broadcast(train(joined, counts))
     names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(counts, weights.value)
         for batch in batches:
             for at in range(batch.num_rows):
-                held, lengths, codes, hashes = _opened(batch, at)
-                totals = from_planes(batch["totals"][at].as_py(), "<i8")
-                head, ids = counts.places(hashes), batch["ids"][at].values
-                slots, known = slots_of(head, hashes), (totals > 0).astype(np.int64)
+                held, lengths, codes, ranks = _opened(batch, at)
+                totals = counts.totals(ranks)
+                head, ids = np.where(ranks < len(counts.head), ranks, -1), batch["ids"][at].values
+                slots, known = slots_of(head, ranks, counts.slots), (totals > 0).astype(np.int64)
                 unigram, rest = counts.log_unigram(totals), counts.log_rest(totals)
                 for docs, tokens in spans(lengths):
                     own, n = codes[tokens], lengths[docs]
                     starts = np.cumsum(n) - n
-                    log_p = model.log_probability(Positions(head, slots, own, n), rest[own])
+                    log_p = model.log_probability(Positions(head, slots, own, n, counts, ranks), rest[own])
                     yield pa.RecordBatch.from_arrays(
                         [
                             ids.slice(docs.start, docs.stop - docs.start),

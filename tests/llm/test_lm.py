@@ -138,3 +138,34 @@ def test_without_training_tokens_everything_is_certain(spark, docs):
     got = lm.score(docs((1, "a b"), (2, None)), F.lit(True)).collect()
     assert {(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got} == {(1, 3, 0, 0, 0.0), (2, 1, 0, 0, 0.0)}
     assert all(r.score == pytest.approx(0, abs=1e-9) for r in got)
+
+
+def test_contexts_tell_tokens_beyond_the_head_apart():
+    """Every training token takes part, is told from others by its context, and all sum to one."""
+    rng, distinct = np.random.default_rng(2), 3000
+    hashes = rng.integers(-(2**62), 2**62, distinct)
+    totals = np.sort(np.minimum(rng.zipf(1.3, distinct), 500))[::-1].astype(np.int64)
+    levels, many = np.unique(-totals[lm.HEAD :], return_counts=True)
+    counts = lm.Counts(int(totals.sum()), distinct, hashes[: lm.HEAD], totals[: lm.HEAD], lm.Ladder(-levels, many))
+    hashes, ranks = np.append(hashes, 77), np.append(np.arange(distinct), -1)  # and one unknown
+    head = counts.places(hashes)
+    slots = lm.slots_of(head, hashes, counts.slots)
+    # Tokens 2000 and 2001, of one count, each after one of the head and in the end after each other's.
+    codes = np.tile([5, 2000, 9, 2001], 400)
+    codes[-4:] = [5, 2001, 9, 2000]
+
+    def of(codes):
+        return lm.Positions(head, slots, codes, np.array([len(codes)]), counts, ranks)
+
+    positions, trainer = of(codes), lm.Trainer(counts)
+    fresh = trainer.log_within_rest(positions, np.array([1]))[0]
+    assert fresh == pytest.approx(counts.log_rest(totals[2000:2001])[0], abs=1e-4)
+    for _ in range(5):
+        trainer.step(positions.features[:, :-4], positions.target[:-4])
+        trainer.step_rest(positions, np.flatnonzero(positions.target[:-4] < 0))
+    p = trainer.log_probability(positions, np.zeros(len(positions)))
+    assert p[1589] > p[1597] + 1 and p[1591] > p[1599] + 1
+    every = of(np.arange(distinct + 1))
+    every.features = np.repeat(positions.features[:, 1:2], distinct + 1, axis=1)
+    every.contexts = np.repeat(positions.contexts[:, 1:2], distinct + 1, axis=1)
+    assert (10 ** trainer.log_probability(every, np.zeros(distinct + 1))).sum() == pytest.approx(1, abs=1e-4)
