@@ -13,8 +13,10 @@ A pair counts in the first shard both are in. Graphs give each vector's number o
 and one edge to the least vector of its group there, never the pairs, so a group of copies
 writes as many rows as it has members. Equal vectors are one node with a weight.
 
-The recall is audited: ``AUDIT`` vectors are compared with all rows, and while the links found
-are fewer than ``RECALL`` of the true ones the whole is done again with twice the overlap.
+The recall is audited: ``AUDIT`` vectors, and up to ``MOST_AUDITED`` until ``ENOUGH`` of each order
+of link counts are seen, are compared with all rows. The recall is the mean over vectors, that of the
+worst order of link counts, so a large group does not hide small ones. While it is below ``RECALL``
+the whole is done again with twice the overlap. Without a true link seen it is not audited.
 
 Within a group of m near copies that are not equal, all m * m cosines are measured, in bounded
 memory, since a link's cosine is what is asked for; see the README.
@@ -39,7 +41,7 @@ QUERIES = 6144  # queries of a chunk, about
 OVERLAP = 4
 POOL, RANDOM, DEGREE, ALPHA = 40, 8, 20, 1.2
 BEAM, SLACK = 4, 0.06
-AUDIT, RECALL = 64, 0.99
+AUDIT, MOST_AUDITED, ENOUGH, RECALL = 1024, 1 << 14, 64, 0.99
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -268,27 +270,62 @@ def _search(each: DataFrame, near: DataFrame, least: float) -> DataFrame:
     return graphs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, "rep long, links long, root long")
 
 
-def _audited(nodes: DataFrame, total: int, found: DataFrame, least: float, many: int = AUDIT) -> float:
-    """The share of the true links of a few vectors that was found."""
-    few = least_hashed(nodes, many, total)
+def stratified_recall(true: np.ndarray, links: np.ndarray) -> float | None:
+    """The least mean recall of vectors with about as many true links; None without any.
+
+    Orders of link counts with less than ``ENOUGH`` vectors go with the next ones.
+    """
+    linked = true > 0
+    true, links = true[linked], links[linked]
+    if not len(true):
+        return None
+    order = np.argsort(true, kind="stable")
+    recall, level = np.minimum(links / true, 1)[order], np.log2(true[order]).astype(int)
+    cuts = [0]
+    for end in np.flatnonzero(np.diff(level)) + 1:
+        if end - cuts[-1] >= ENOUGH and len(true) - end >= ENOUGH:
+            cuts.append(int(end))
+    return min(float(recall[i:j].mean()) for i, j in zip(cuts, [*cuts[1:], len(true)]))
+
+
+def _true_links(nodes: DataFrame, few: pa.Table, least: float) -> DataFrame:
+    """``rep``, ``true``: the links of a few vectors among all."""
     ids, q = few["rep"].to_numpy(), unit(matrix(few["vector"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        true = np.zeros(len(ids), np.int64)
+        true, light = np.zeros(len(ids), np.int64), q.astype(np.float32)
         for batch in batches:
             if not batch.num_rows:
                 continue
             own, x = batch.column("rep").to_numpy(), unit(matrix(batch.column("vector")))
-            weight = batch.column("weight").to_numpy()
-            for j, v in enumerate(q):
-                true[j] += weight[(cosines(np.broadcast_to(v, x.shape), x) >= least) & (own != ids[j])].sum()
+            weight, thin = batch.column("weight").to_numpy(), x.astype(np.float32)
+            for some in chunks(len(ids), 256):
+                i, j = np.nonzero(light[some] @ thin.T >= least - 1e-4)
+                for part in chunks(len(i), 1 << 16):
+                    a, b = some.start + i[part], j[part]
+                    sure = (ids[a] != own[b]) & (cosines(q[a], x[b]) >= least)
+                    np.add.at(true, a[sure], weight[b[sure]])
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(true)], names=["rep", "true"])
 
     true = nodes.select("rep", "weight", "vector").mapInArrow(run, "rep long, true long")
-    true = true.groupBy("rep").agg(F.sum("true").alias("true"))
-    seen = true.join(found.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left")
-    all_, some = seen.agg(F.sum("true"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return some / all_ if all_ else 1.0
+    return true.groupBy("rep").agg(F.sum("true").alias("true"))
+
+
+def _audited(nodes: DataFrame, total: int, found: DataFrame, least: float, many: int = AUDIT) -> float | None:
+    """The recall of vectors drawn until enough of them have links; None if none has and not all were drawn."""
+    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    while True:
+        true = _true_links(nodes, least_hashed(nodes, many, total), least)
+        seen = true.where(F.col("true") > 0).join(links, "rep", "left").select("true", F.coalesce("links", F.lit(0)).alias("links"))
+        seen = seen.toArrow()
+        true, got = seen["true"].to_numpy(), seen["links"].to_numpy()
+        orders = np.bincount(np.log2(true).astype(int)) if len(true) else np.zeros(1, int)
+        scarce = not len(true) or orders[orders > 0].min() < ENOUGH
+        if not scarce or many >= min(total, MOST_AUDITED):
+            break
+        many = min(many * 4, MOST_AUDITED)
+    recall = stratified_recall(true, got)
+    return 1.0 if recall is None and many >= total else recall
 
 
 def near_duplicates(
@@ -301,7 +338,7 @@ def near_duplicates(
     another than the usual length, or hold null or non-finite components have no links and are
     their own component; repeated rows are other rows with equal vectors; a row without an id has
     links but is never the least of a component; an empty table gives no rows; other columns
-    are ignored. ``audit``, if given, receives the audited ``recall`` and the ``overlap`` used.
+    are ignored. ``audit``, if given, receives the audited ``recall`` (None: not audited, as no true link was seen) and the ``overlap`` used.
     """
     rows = usable(vectors, id_col, vector_col)
     fit = write_once(with_class(rows).select("vec_id", "class", "vector", "usable"), "vectors")
@@ -323,7 +360,7 @@ def near_duplicates(
             recall = _audited(nodes, total, found, threshold)
             if audit is not None:
                 audit |= {"recall": recall, "overlap": min(overlap, len(cells))}
-            if recall >= RECALL or overlap >= len(cells):
+            if recall is None or recall >= RECALL or overlap >= len(cells):
                 break
             overlap *= 2
         links = found.groupBy("rep").agg(F.sum("links").alias("links"))

@@ -107,3 +107,23 @@ def test_pruned_graph_is_searchable():
     found = flatgraph.range_search(x, starts, dst[order], x, 0.95)
     # Each vector finds itself by the greedy walk from the medoid.
     assert found.diagonal().mean() >= 0.99 and found.sum() <= 900
+
+
+def test_audit_sees_lost_small_groups_beside_a_large_one(spark):
+    # A third of the rows is one group, all found; 250 planted pairs are lost.
+    assert flatgraph.stratified_recall(np.array([500] * 500 + [1] * 500), np.array([500] * 500 + [0] * 500)) == 0
+    assert flatgraph.stratified_recall(np.array([500] * 500 + [1] * 100), np.array([500] * 500 + [1] * 95 + [0] * 5)) == 0.95
+    assert flatgraph.stratified_recall(np.zeros(9, int), np.zeros(9, int)) is None
+    rng = np.random.default_rng(3)
+    hot = rng.standard_normal(32) + 0.01 * rng.standard_normal((500, 32))
+    pairs = np.repeat(rng.standard_normal((250, 32)), 2, axis=0)
+    pairs += 0.02 * rng.standard_normal(pairs.shape)
+    x = np.concatenate([hot, pairs, rng.standard_normal((500, 32))])
+    nodes = spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "rep long, weight long, vector array<double>")
+    lost = spark.createDataFrame([(i, 499) for i in range(500)], "rep long, links long")
+    whole = lost.union(spark.createDataFrame([(i, 1) for i in range(500, 1000)], "rep long, links long"))
+    assert flatgraph._audited(nodes, len(x), lost, 0.95) == 0
+    assert flatgraph._audited(nodes, len(x), whole, 0.95) == 1
+    # Without a true link among those drawn there is nothing to go by.
+    alone = nodes.where("rep >= 1000")
+    assert flatgraph._audited(alone, 1 << 20, lost.limit(0), 0.95) is None
