@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, flatgraph, langid, lm, mixing, packing, pii, sharding, simhash, toxicity
+from . import ann, chat, flatgraph, langid, lm, merkle, mixing, packing, pii, sharding, simhash, toxicity
 from .common import remainder, table
 
 HELD_OUT = 2  # remainder of the labels that only measure
@@ -70,6 +70,14 @@ def op10_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return flatgraph.near_duplicates(table(spark, folder, "embeddings"), threshold=0.95)
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of all documents; texts of every fifth doc_id by crc32 are checked with A-Z lower-cased."""
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return merkle.manifest(docs, F.when(tampered, lowered).otherwise(F.col("text")))
+
+
 def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"), shards=16)
 
@@ -77,7 +85,7 @@ def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_mixing, op2_pii, op3_ann, op4_packing, op5_toxicity, op6_language, op7_chat, op8_simhash, op9_lm, op10_embedding_dedup,
-        op12_sharding,
+        op11_merkle, op12_sharding,
     )
     return {query.__name__: query for query in own}
 
