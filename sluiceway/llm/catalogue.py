@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, flatgraph, langid, lm, merkle, mixing, packing, pii, sharding, simhash, toxicity
+from . import ann, chat, flatgraph, langid, lm, merkle, mixing, packing, pii, sharding, simhash, toxicity, variants
 from .common import remainder, table
 
 HELD_OUT = 2  # remainder of the labels that only measure
@@ -82,10 +82,14 @@ def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(table(spark, folder, "documents"), shards=16)
 
 
+def op13_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.variants(table(spark, folder, "documents"), least_length=7, least_count=2, ratio=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = (
         op1_mixing, op2_pii, op3_ann, op4_packing, op5_toxicity, op6_language, op7_chat, op8_simhash, op9_lm, op10_embedding_dedup,
-        op11_merkle, op12_sharding,
+        op11_merkle, op12_sharding, op13_variants,
     )
     return {query.__name__: query for query in own}
 
