@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -14,7 +16,7 @@ from sluiceway.operators.positions import with_positions
 from sluiceway.schemas import COMPLETE, FLAG, STATUS, UPDATED
 from sluiceway.session import write_once
 
-# Decides how rows are claimed, not which: up to this limit a top-n keeps its rows per
+# Decides how rows are claimed, not how many: up to this limit a top-n keeps its rows per
 # task and merges them in one; above it the last row within the limit is looked for.
 TOP_N = 2_000
 # Ages are counted by spans of 2 ** 30 microseconds, some 18 minutes.
@@ -26,8 +28,9 @@ def fifo_order(*ties: str) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in (UPDATED, "id", *ties)]
 
 
-def last_within(df: DataFrame, bucket: Column, order: list[str], limit: int) -> Row | None:
-    """The row at place ``limit`` by (``bucket``, ``order``), ascending with nulls last.
+def _edge(df: DataFrame, bucket: Column, order: list[str], limit: int) -> tuple[Row, int] | None:
+    """The row at place ``limit`` by (``bucket``, ``order``), ascending with nulls last, and
+    how many rows come strictly before it.
 
     None when there are no more rows than that. Buckets are counted, which combines per
     task; only the rows of the bucket in which the limit falls are ranked, and of
@@ -42,36 +45,72 @@ def last_within(df: DataFrame, bucket: Column, order: list[str], limit: int) ->
     inside = keyed.filter(F.col("bucket").eqNullSafe(F.lit(edge["bucket"])))
     by = [F.col(c).asc_nulls_last() for c in order]
     written = write_once(inside, "boundary")
-    place = limit - (edge["upto"] - edge["count"])
-    return with_positions(written, [], by, name="place").filter(F.col("place") == place).first()
+    earlier = edge["upto"] - edge["count"]
+    last = with_positions(written, [], by, name="place").filter(F.col("place") == limit - earlier).first()
+    ahead = earlier + written.filter(_before(last, order, dict(df.dtypes))).count()
+    return last, ahead
+
+
+def last_within(df: DataFrame, bucket: Column, order: list[str], limit: int) -> Row | None:
+    """The row at place ``limit`` by (``bucket``, ``order``); None when there are no more rows."""
+    found = _edge(df, bucket, order, limit)
+    return None if found is None else found[0]
 
 
-def _not_after(last: Row, order: list[str], types: Mapping[str, str]) -> Column:
-    """Rows up to ``last``; the leading column is also compared plainly, for scans to filter by."""
-    within = F.lit(True)
+def _before(last: Row, order: list[str], types: Mapping[str, str]) -> Column:
+    """Rows strictly before ``last``, ascending with nulls last; a null comparison means after."""
+    before = F.lit(False)
     for name in reversed(order):
         at, column = last[name], F.col(name)
         if at is None:
-            # Only rows without this value share its place; all others come before.
-            within = column.isNotNull() | within
+            before = column.isNotNull() | (column.isNull() & before)
         else:
             value = F.lit(at).cast(types[name])
-            within = (column < value) | ((column == value) & within)
-    within = F.coalesce(within, F.lit(False))
+            before = (column < value) | ((column == value) & before)
+    return F.coalesce(before, F.lit(False))
+
+
+def _equal(last: Row, order: list[str], types: Mapping[str, str]) -> Column:
+    same = [
+        F.col(name).isNull() if last[name] is None else F.col(name) == F.lit(last[name]).cast(types[name])
+        for name in order
+    ]
+    return F.coalesce(reduce(and_, same), F.lit(False))
+
+
+def _leading(last: Row, order: list[str], types: Mapping[str, str]) -> Column:
+    """The leading column compared plainly, for scans to filter by."""
     if last[order[0]] is None:
-        return within
-    return (F.col(order[0]) <= F.lit(last[order[0]]).cast(types[order[0]])) & within
+        return F.lit(True)
+    return F.col(order[0]) <= F.lit(last[order[0]]).cast(types[order[0]])
 
 
 def _up_to(df: DataFrame, bucket: Column, order: list[str], limit: int) -> DataFrame:
-    last = last_within(df, bucket, order, limit)
-    return df if last is None else df.filter(_not_after(last, order, dict(df.dtypes)))
+    """Exactly ``limit`` rows: those strictly before the row at that place by filter, and of
+    the rows equal to it in all of ``order`` only as many as are missing.
+
+    Equal rows are numbered apart by a hash of all their columns, then the columns, in
+    sorted ranges, so a tie held by a third of all rows spans many tasks.
+    """
+    found = _edge(df, bucket, order, limit)
+    if found is None:
+        return df
+    last, ahead = found
+    types = dict(df.dtypes)
+    lead = _leading(last, order, types)
+    before = df.filter(lead & _before(last, order, types))
+    tied = write_once(df.filter(lead & _equal(last, order, types)), "ties")
+    plain = [F.col(c) for c, t in tied.dtypes if not t.startswith("map")]
+    apart = [F.xxhash64(*plain)] + plain
+    numbered = with_positions(tied, [], apart, name="__tie")
+    return before.unionByName(numbered.filter(F.col("__tie") <= limit - ahead).drop("__tie"))
 
 
 def take_first(df: DataFrame, order: list[str], limit: int | None) -> DataFrame:
     """The first ``limit`` rows by ``order``, ascending with nulls last; all without a limit.
 
-    Beyond a top-n, rows that are equal in all of ``order`` are taken or left together.
+    Exactly ``limit`` rows (or all there are). Rows equal in all of ``order`` are told apart
+    by their other columns; which of fully equal rows are taken does not show.
     """
     if limit is None:
         return df

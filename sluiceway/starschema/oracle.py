@@ -890,6 +890,12 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT * FROM ({_enriched("training_sessions", _ELIGIBLE)})
                   ORDER BY project_unique_id ASC NULLS LAST, {fifo}, worker_group ASC NULLS LAST
                   LIMIT 300)""",
+        "claim_by_group_large": f"""
+            SELECT row_number() OVER (ORDER BY project_unique_id ASC NULLS LAST, {fifo},
+                worker_group ASC NULLS LAST) AS pos, id, project_unique_id, worker_group
+            FROM (SELECT * FROM ({_enriched("training_sessions", _ELIGIBLE)})
+                  ORDER BY project_unique_id ASC NULLS LAST, {fifo}, worker_group ASC NULLS LAST
+                  LIMIT 2500)""",
         "expr_prefer_id": f"SELECT id, {_prefer('sf_id', 'id')} AS record_id FROM households",
         "expr_full_name": f"SELECT id, {_STAFF_NAME} AS staff_name FROM users",
         "expr_replace": "SELECT id, replace(role, ' ', '_') AS role FROM project_staff_roles",

@@ -242,6 +242,16 @@ def claim_by_group(t):
     return ordered.select("pos", "id", "project_unique_id", "worker_group")
 
 
+@query
+def claim_by_group_large(t):
+    """A limit above the top-n's, over joined rows that repeat records: exactly 2,500 rows."""
+    joined = P.enrich_sessions(t, eligible(t["training_sessions"]))
+    claimed = claim_grouped(joined, 2_500, ties=("worker_group",))
+    key = F.col("project_unique_id").asc_nulls_last()
+    ordered = with_positions(claimed, [], [key, *fifo_order("worker_group")])
+    return ordered.select("pos", "id", "project_unique_id", "worker_group")
+
+
 @query
 def claim_state(t):
     """All households after a claim of the entity's own limit."""

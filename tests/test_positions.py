@@ -112,3 +112,27 @@ def test_grouped_claim_counts_joined_rows(spark):
     df = spark.createDataFrame(rows, "project_unique_id string, updated_at int, id string")
     assert sorted(r.id for r in claim_grouped(df, 2).collect()) == ["b", "b"]
     assert sorted(r.id for r in claim_grouped(df, 4).collect()) == ["a", "b", "b", "c"]
+
+
+@pytest.mark.parametrize("limit", [1_999, 2_000, 2_001, 2_002, 2_500, 3_001, 5_999, 6_000, 6_001])
+def test_limit_is_exact_with_repeated_rows(spark, limit):
+    """6,000 joined rows, three equal ones per id: exactly ``limit`` are taken, the first by order."""
+    rows = [(i // 3 % 500, f"{i // 3:05d}", "x" if i % 3 else None) for i in range(6_000)]
+    df = spark.createDataFrame(rows, "updated_at int, id string, note string")
+    taken = take_first(df, ["updated_at", "id"], limit).collect()
+    assert len(taken) == min(limit, 6_000)
+    ranked = sorted(rows, key=lambda r: (r[0], r[1]))
+    want = {(r[0], r[1]) for r in ranked[: min(limit, 6_000)]}
+    assert {(r.updated_at, r.id) for r in taken} == want
+    edge = ranked[min(limit, 6_000) - 1][:2]
+    assert sum((r.updated_at, r.id) == edge for r in taken) == sum(r[:2] == edge for r in ranked[:limit])
+
+
+def test_limit_is_exact_when_one_tie_holds_a_third(spark, monkeypatch):
+    monkeypatch.setattr("sluiceway.operators.positions.ROWS_PER_RANGE", 500)
+    rows = [(1 if i % 3 == 0 else 2 + i, str(i % 3 == 0 and "same" or i)) for i in range(6_000)]
+    df = spark.createDataFrame(rows, "updated_at int, id string")
+    for limit in (2_001, 2_500, 4_000):
+        taken = take_first(df, ["updated_at", "id"], limit).collect()
+        assert len(taken) == limit
+        assert sum(r.id == "same" for r in taken) == 2_000
