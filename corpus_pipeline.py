@@ -30,22 +30,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of linked fingerprints.
-
-    Of rows that repeat the id one stays; rows without an id have nothing to be told apart by
-    and all stay.
+    """One document of each group of linked fingerprints: the one with the group's least id.
+
+    Decided row by row. An id held by one row is kept when it is its group's least; such
+    rows are left out by an anti join on their ids, so no text is shuffled. Rows that share
+    an id may lie in different groups: only they get their fingerprints again, each is kept
+    when its own group's least id is its id, and of the kept rows of one id one stays (equal
+    ids in one group are copies). Rows without an id have nothing to be told apart by and all
+    stay. Very long and empty texts are fingerprinted whole (empty: fingerprint 0).
     """
     docs = docs.select(*COLUMNS)
     found = simhash.near_duplicates(docs, shingle=3, radius=2)
-    rows = found.where("doc_id IS NOT NULL").groupBy("doc_id", "component_id").agg(F.count("*").alias("rows"))
-    rows = write_once(rows.where("doc_id != component_id OR rows > 1"), "pipeline-repeats")
+    per_id = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.count("*").alias("rows"), F.min("component_id").alias("least")
+    )
+    leave = write_once(per_id.where("rows > 1 OR doc_id != least").select("doc_id", "rows"), "pipeline-repeats")
     # Ids to leave out: broadcast if they are few, so that no text is shuffled.
-    known = F.broadcast(rows) if rows.count() <= FEW_IDS else rows
-    kept = docs.join(known, "doc_id", "left_anti")
-    repeated = rows.where("doc_id = component_id").select("doc_id")
-    if not repeated.isEmpty():
-        # Only these have to be compared with all their columns.
-        kept = kept.unionByName(docs.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    known = F.broadcast(leave) if leave.count() <= FEW_IDS else leave
+    kept = docs.join(known.select("doc_id"), "doc_id", "left_anti")
+    shared = leave.where("rows > 1").select("doc_id")
+    if not shared.isEmpty():
+        rows = write_once(
+            docs.join(shared, "doc_id", "left_semi").withColumn("row", F.monotonically_increasing_id()), "pipeline-shared"
+        )
+        own = simhash.fingerprints(rows.select(F.col("row").alias("doc_id"), "text")).withColumnRenamed("doc_id", "row")
+        groups = found.select("fp", "component_id").distinct()
+        decided = rows.join(own, "row").join(groups, "fp")
+        chosen = decided.where(F.col("doc_id") == F.col("component_id")).dropDuplicates(["doc_id"])
+        kept = kept.unionByName(chosen.select(*COLUMNS))
     return kept
 
 

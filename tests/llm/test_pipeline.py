@@ -102,5 +102,15 @@ def test_stages_take_odd_rows(spark, docs, clashing):
 
 def test_entry_registers_everything():
     names = entry.queries().keys()
-    assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", n)[0] for n in names if re.match(r"op\d", n)}
+    assert {f"op{n}_" for n in range(1, 14)} == {re.match(r"op\d+_", n)[0] for n in names if re.match(r"op\d", n)}
     assert "pipeline" in names and "pipeline" not in entry.oracle_sql()
+
+
+def test_shared_ids_in_two_groups_keep_each_group(spark, docs):
+    """ids 5 (A), 5 (B), 2 (B), 9 (A): A keeps 5, B keeps 2; no text is lost."""
+    a = "the quick brown fox jumps over the lazy dog again and again"
+    b = "completely different words make up this other text in full"
+    c = "yet another set of words entirely unrelated to both of them"
+    rows = docs((5, a), (5, b), (2, b), (9, a), (7, c), (7, c), (None, b))
+    kept = sorted(((r.doc_id if r.doc_id is not None else -1), r.text) for r in P.drop_near_duplicates(spark, rows, "").collect())
+    assert kept == sorted([(5, a), (2, b), (7, c), (-1, b)])
