@@ -8,7 +8,8 @@ concatenated. What remains of a source is its subroot; subroots ordered by sourc
 first, UTF-8 bytewise) make the root the same way.
 
 Method: concatenated-level strings. Nodes are cut into aligned blocks of 16^3, one row each,
-that keep a level as one hex string. A parent is the digest of a fixed-width substring (16
+that keep a level as one hex string (held as its ASCII bytes, so that a substring is found by
+its offset rather than by walking the characters before it). A parent is the digest of a fixed-width substring (16
 digests), so a block climbs three levels with SQL functions alone; its root is a node of the
 next round, and rounds recur until a source has one node. The proof of a node is read from
 the same strings: at each level, the substrings left and right of it inside its run (its
@@ -43,7 +44,7 @@ FAN = 16
 DEPTH = 3
 BLOCK = FAN**DEPTH
 HEX = 64
-PATH = "array<struct<left:string,right:string>>"
+PATH = "array<struct<left:binary,right:binary>>"
 
 
 def field(value: Column) -> Column:
@@ -69,11 +70,12 @@ def _upto(n: Column, first: int = 1) -> Column:
 
 
 def _parent(level: Column) -> Column:
+    """The level above, as ASCII bytes: substrings of bytes are found by offset, not by a walk."""
     runs = ((F.length(level) - 1) / (FAN * HEX)).cast("int")
     return F.array_join(
         F.transform(F.sequence(F.lit(0), runs), lambda j: F.sha2(level.substr(j * (FAN * HEX) + 1, F.lit(FAN * HEX)), 256)),
         "",
-    )
+    ).cast("binary")
 
 
 def _blocks(nodes: DataFrame, keys: list[str], payload: list[str], run: str) -> DataFrame:
@@ -83,10 +85,10 @@ def _blocks(nodes: DataFrame, keys: list[str], payload: list[str], run: str) ->
         F.array_sort(F.collect_list(F.struct("pos", "node", *payload))).alias("items"), F.max("n").alias("n")
     )
     nlev = F.when(F.col("n") > BLOCK, F.lit(DEPTH)).otherwise(_levels_for(F.size("items")))
-    first = F.array(F.array_join(F.transform("items", lambda it: it["node"]), ""))
+    first = F.array(F.array_join(F.transform("items", lambda it: it["node"]), "").cast("binary"))
     climbed = F.aggregate(_upto(F.col("nlev")), first, lambda acc, _: F.concat(acc, F.array(_parent(F.element_at(acc, -1)))))
     blocks = grouped.withColumn("nlev", nlev).withColumn("levels", climbed)
-    return write_once(blocks.withColumn("top", F.element_at("levels", -1)), "merkle-blocks", run)
+    return write_once(blocks.withColumn("top", F.element_at("levels", -1).cast("string")), "merkle-blocks", run)
 
 
 def _climb(nodes: DataFrame, keys: list[str], payload: list[str], run: str) -> list[DataFrame]:
@@ -160,8 +162,10 @@ def manifest(docs: DataFrame, check_text: Column | None = None, run: str = "") -
                              F.col("node").alias("subroot"), "root")
 
     found = _paths(rounds, ["source"], above, ["subroot", "root"], ["doc_id", "check"], run)
-    proof = F.sha2(F.array_join(F.transform("path", lambda f: F.concat(f["left"], f["right"])), ""), 256)
-    folded = F.aggregate("path", F.coalesce(F.col("check"), F.col("node")), lambda cur, f: F.sha2(F.concat(f["left"], cur, f["right"]), 256))
+    siblings = F.aggregate("path", F.lit(bytearray()), lambda acc, f: F.concat(acc, f["left"], f["right"]))
+    proof = F.sha2(siblings, 256)
+    start = F.coalesce(F.col("check"), F.col("node"))
+    folded = F.aggregate("path", start, lambda cur, f: F.sha2(F.concat(f["left"], cur.cast("binary"), f["right"]), 256))
     result = found.select(
         "doc_id", F.col("node").alias("leaf"), "subroot", "root", proof.alias("proof_sha256"), folded.alias("folded_root")
     )
