@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import and_
 from datetime import datetime
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.expressions import run_time
 from sluiceway.functions.predicates import eligible
+from sluiceway.operators.joins import lookup
 from sluiceway.operators.positions import with_positions
 from sluiceway.schemas import COMPLETE, FLAG, STATUS, UPDATED
 from sluiceway.session import write_once
@@ -147,6 +148,37 @@ def claim_grouped(
     return take_first(joined, [key, UPDATED, "id", *ties], limit)
 
 
+def claim_joined(
+    enrich: Callable[[DataFrame], DataFrame],
+    candidates: DataFrame,
+    limit: int | None,
+    key: str = "project_unique_id",
+    ties: tuple = (),
+    run: str = "",
+) -> DataFrame:
+    """``claim_grouped(enrich(candidates), limit, key, ties)``, with dimensions joined to the winners only.
+
+    The limit is taken on the joined rows' ordering columns alone, so Spark prunes every
+    dimension to its join keys. The winners (at most ``limit`` rows, written) are enriched
+    alone, and of their joined rows exactly the claimed ones are kept, each as often as it
+    was claimed; copies equal in the ordering columns are told apart by all their columns.
+    ``enrich`` has to join record by record: a record's rows must not depend on others.
+    """
+    if limit is None:
+        return claim_grouped(enrich(candidates), None, key, ties)
+    order = [key, UPDATED, "id", *ties]
+    won = write_once(claim_grouped(enrich(candidates).select(*order), limit, key, ties), "won", run)
+    ids = won.select(F.col("id").alias("__won")).distinct()
+    winners = candidates.join(ids, candidates["id"].eqNullSafe(ids["__won"]), "left_semi")
+    joined = enrich(winners)
+    wanted = won.groupBy(*order).agg(F.count("*").alias("__k"))
+    plain = [F.col(c) for c, t in joined.dtypes if not t.startswith("map")]
+    copies = Window.partitionBy(*order).orderBy(F.xxhash64(*plain), *plain)
+    ranked = joined.withColumn("__r", F.row_number().over(copies))
+    kept = lookup(ranked, wanted, {c: c for c in order}, null_safe=True)
+    return kept.filter(F.col("__r") <= F.col("__k")).drop("__r", "__k")
+
+
 def state_changes(
     records: DataFrame,
     entity: str,

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceway.functions.predicates import eligible, eligible_one
-from sluiceway.operators.claim import claim_grouped, state_changes, take_oldest
+from sluiceway.operators.claim import claim_grouped, claim_joined, state_changes, take_oldest
 from sluiceway.operators.joins import exclude_in_flight, stranded
 from sluiceway.operators.packaging import documents, members, place
 from sluiceway.operators.reporting import run_report, run_totals, union_all
@@ -146,10 +147,12 @@ def dispatch(
     if claims is not None:
         candidates = exclude_in_flight(candidates, claims, spec.entity, run_id)
 
-    if spec.claim_after_joins:
+    if spec.claim_after_joins and one:
         # A single record is sent once, even where joins repeat it.
-        joined = spec.enrich(tables, candidates)
-        claimed = claim_grouped(joined, 1 if one else limit, ties=spec.ties)
+        claimed = claim_grouped(spec.enrich(tables, candidates), 1, ties=spec.ties)
+    elif spec.claim_after_joins:
+        # The limit is taken on join keys; only the winners are enriched.
+        claimed = claim_joined(partial(spec.enrich, tables), candidates, limit, ties=spec.ties, run=run_id)
     else:
         claimed = candidates if one else take_oldest(candidates, limit)
     claimed = write_once(claimed, f"claim-{spec.entity}", run_id)

@@ -7,6 +7,7 @@ Each takes ``(spark, folder)`` and has the same name as its SQL in
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from sluiceway.functions.predicates import eligible, not_deleted
 from sluiceway.operators import joins as J
 from sluiceway.operators import ranking as R
 from sluiceway.operators import rollups as A
-from sluiceway.operators.claim import claim_fifo, claim_grouped, fifo_order
+from sluiceway.operators.claim import claim_fifo, claim_joined, fifo_order
 from sluiceway.operators.packaging import place
 from sluiceway.operators.positions import with_positions
 from sluiceway.operators.reporting import count_all, count_pending, group_sizes
@@ -235,8 +236,8 @@ def claim_fifo_large(t):
 
 @query
 def claim_by_group(t):
-    joined = P.enrich_sessions(t, eligible(t["training_sessions"]))
-    claimed = claim_grouped(joined, 300, ties=("worker_group",))
+    enrich = partial(P.enrich_sessions, t)
+    claimed = claim_joined(enrich, eligible(t["training_sessions"]), 300, ties=("worker_group",))
     key = F.col("project_unique_id").asc_nulls_last()
     ordered = with_positions(claimed, [], [key, *fifo_order("worker_group")])
     return ordered.select("pos", "id", "project_unique_id", "worker_group")
@@ -245,8 +246,8 @@ def claim_by_group(t):
 @query
 def claim_by_group_large(t):
     """A limit above the top-n's, over joined rows that repeat records: exactly 2,500 rows."""
-    joined = P.enrich_sessions(t, eligible(t["training_sessions"]))
-    claimed = claim_grouped(joined, 2_500, ties=("worker_group",))
+    enrich = partial(P.enrich_sessions, t)
+    claimed = claim_joined(enrich, eligible(t["training_sessions"]), 2_500, ties=("worker_group",))
     key = F.col("project_unique_id").asc_nulls_last()
     ordered = with_positions(claimed, [], [key, *fifo_order("worker_group")])
     return ordered.select("pos", "id", "project_unique_id", "worker_group")

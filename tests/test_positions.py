@@ -136,3 +136,31 @@ def test_limit_is_exact_when_one_tie_holds_a_third(spark, monkeypatch):
         taken = take_first(df, ["updated_at", "id"], limit).collect()
         assert len(taken) == limit
         assert sum(r.id == "same" for r in taken) == 2_000
+
+
+@pytest.mark.parametrize("limit", [10, 1_500, 2_500])
+def test_claim_joined_enriches_only_the_winners(spark, limit):
+    """The same rows as a claim after all joins, with the dimensions joined to the winners only."""
+    from sluiceway.operators.claim import claim_grouped, claim_joined
+
+    records = [(f"r{i:05d}", i % 50, i % 7) for i in range(3_000)] + [(None, 3, 1)]
+    candidates = spark.createDataFrame(records, "id string, updated_at int, g int")
+    # groups 0, 3 and 6 have no dimension row; others repeat a record once or twice
+    dim = spark.createDataFrame(
+        [(g, f"p{g % 3}", w) for g in range(7) for w in range(g % 3)] + [(4, "p1", 1)],
+        "g int, project_unique_id string, worker_group int",
+    )
+    seen = []
+
+    def enrich(rows):
+        seen.append(rows)
+        return rows.join(dim, "g").withColumn("payload", F.concat_ws("-", "id", "worker_group"))
+
+    def rows(df):
+        return sorted(map(tuple, df.select("project_unique_id", "updated_at", "id", "worker_group", "payload").collect()), key=repr)
+
+    got = rows(claim_joined(enrich, candidates, limit, ties=("worker_group",)))
+    winners = seen[1].count()
+    want = rows(claim_grouped(enrich(candidates), limit, ties=("worker_group",)))
+    assert got == want and len(got) == limit
+    assert winners <= limit
