@@ -3,13 +3,17 @@
 Each kind has a proposal (a pattern), a check of the proposal (Luhn for cards,
 mod 97 for IBANs, ranges and digit counts for the rest) and words that raise or
 lower the score when they stand near the span. The four base kinds are kept
-whenever their check passes; the further kinds have no proof of their own in their
-form, so they are kept only if the score reaches ``THRESHOLD`` and they overlap no
-base span.
+whenever their check passes; further spans are kept if their score reaches
+``THRESHOLD``. ``ssn`` and ``local_phone`` have no proof of their own in their form, so
+they are also dropped where they overlap a base span; an IBAN that passed mod 97 stays
+beside the base spans inside it (say, a run of its digits that passes Luhn), and
+``redact`` merges overlapping spans into one.
 
 Rows are independent, so the work is one pass over the documents without a shuffle.
-Defined results: a null text is an empty text; empty texts have no spans; repeated
-rows each give their own row; other columns are ignored.
+Defined results: a null text is an empty text; empty texts have no spans; very long
+texts are searched whole (runs of digits are scanned once); a null id gives a row with a
+null id; repeated rows each give their own row; an empty table gives no rows; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -193,7 +197,9 @@ def find_spans(text: str | None) -> list[Span]:
     more = []
     for kind, start, end in _proposed(text):
         at = bisect_right(ends, start)
-        if at < len(taken) and taken[at][0] < end:
+        # An IBAN has passed its own checksum and stays beside base spans inside it; the
+        # others have no proof in their form and yield to a base span.
+        if kind != "iban" and at < len(taken) and taken[at][0] < end:
             continue
         score = context_score(text, kind, start, end)
         if score >= THRESHOLD:

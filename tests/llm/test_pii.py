@@ -106,3 +106,25 @@ def test_query_against_plain_patterns(spark, sf):
         assert [mine.n_email, mine.n_ip, mine.n_card, mine.n_phone] == [
             sum(k == kind for k, _, _ in spans) for kind in PLAIN
         ]
+
+
+def test_checked_ibans_of_five_countries_are_all_found():
+    """Random valid IBANs beside 'iban' and 'bank': none is lost to a base span inside it."""
+    import random
+
+    rng = random.Random(11)
+    shapes = {"GB": "AAAA" + "9" * 14, "DE": "9" * 18, "FR": "9" * 23, "ES": "9" * 20, "NL": "AAAA" + "9" * 10}
+
+    def valid(country, shape):
+        bban = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c == "A" else rng.choice("0123456789") for c in shape)
+        number = int("".join(str(int(c, 36)) for c in bban + country + "00"))
+        return f"{country}{98 - number % 97:02d}{bban}"
+
+    for _ in range(600):
+        country, shape = rng.choice(sorted(shapes.items()))
+        iban = valid(country, shape)
+        assert pii.mod97(iban)
+        spaced = " ".join(iban[i : i + 4] for i in range(0, len(iban), 4)) if rng.random() < 0.5 else iban
+        text = f"iban for the bank transfer: {spaced} thanks"
+        start = text.index(spaced)
+        assert ("iban", start, start + len(spaced)) in {(s.kind, s.start, s.end) for s in pii.find_spans(text)}, text
