@@ -5,7 +5,9 @@ hashed byte triples, fitted on at most ``sample_rows`` labelled texts (a documen
 a hash of the id). Texts are scored whole; as their triples overlap, a text counts as ``STRENGTH``
 times the square root of its triples independent ones.
 
-Text likelihoods and the smoothed share of languages give every row a first posterior. Grouped
+Text likelihoods and the smoothed share of languages (from the texts alone) give every row
+whose text has a say (likelihoods that are not all equal) a first posterior; other rows add
+nothing to the sums below, so pages without text do not outvote those with it. Grouped
 aggregates of these, whose sums combine before the shuffle, give the share of languages in
 all, for each address suffix, and for each host, each smoothed by the one before with
 ``SMOOTHING`` rows, and how often a language declares each language. The final posterior is
@@ -18,7 +20,8 @@ languages are grouped and joined, so a host with a third of all rows costs its s
 
 Defined results: a null or empty text has no say, nor has a missing declaration (its own value in
 the declared table), suffix or host (values of their own, in the hierarchy like others); ties go
-to the language first in code point order; repeated rows count and are returned each; without
+to the language first in code point order; languages are those of the labelled texts, as many
+as there are; repeated rows count and are returned each; without
 labelled texts the language is null; an empty table gives no rows; other columns are ignored.
 """
 
@@ -215,6 +218,14 @@ def identify(rows: DataFrame, model: Model, keys: tuple[str, ...], smoothing: fl
         return rows.select(*keys, "host", F.lit(NONE).alias("declared"), empty.cast("string").alias("lang"),
                            empty.cast("double").alias("probability"))
     seen = scored(rows, model, keys)
+    # A text has a say when its likelihoods differ; the others vote nowhere.
+    say = F.array_max("likelihoods") > F.array_min("likelihoods")
+    nothing = F.array(*[F.lit(0.0)] * n)
+    text_alone = _shares(seen.withColumn("first", F.when(say, F.col("first")).otherwise(nothing)), n).first().sums
+    logs = F.zip_with("likelihoods", F.array(*[F.lit(math.log((s + 1) / (sum(text_alone) + n))) for s in text_alone]), lambda a, b: a + b)
+    raw = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
+    first = F.transform(raw, lambda x: x / F.aggregate(raw, F.lit(0.0), lambda a, y: a + y))
+    seen = seen.withColumn("first", F.when(say, first).otherwise(nothing))
     one = _shares(seen, n).first().sums
     shares = [(s + 1) / (sum(one) + n) for s in one]
     everywhere = F.array(*map(F.lit, shares))

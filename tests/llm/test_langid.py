@@ -64,10 +64,21 @@ def plain(rows, model, smoothing):
         host = host or ""
         said, prose = langid.read_page(text or "") if markup else ("", text or "")
         like = model.likelihoods(prose)
-        first = np.exp(like - like.max())
         suffix = host.rsplit(".", 1)[1] if "." in host and not host.endswith(".") else ""
-        seen.append((key, host, suffix, said, like, first / first.sum()))
-    total = sum(s[5] for s in seen)
+        seen.append((key, host, suffix, said, like))
+
+    def posterior(like, shares):
+        """A text without a say (all likelihoods equal) votes nowhere."""
+        if like.max() == like.min():
+            return np.zeros(n)
+        z = like + np.log(shares)
+        p = np.exp(z - z.max())
+        return p / p.sum()
+
+    alone = sum((posterior(s[4], np.ones(n)) for s in seen), np.zeros(n))
+    shares = (alone + 1) / (alone.sum() + n)
+    seen = [(*s, posterior(s[4], shares)) for s in seen]
+    total = sum((s[5] for s in seen), np.zeros(n))
     everywhere = (total + 1) / (total.sum() + n)
 
     def smooth(group, prior):
@@ -80,7 +91,7 @@ def plain(rows, model, smoothing):
         prior = smooth([g for g in seen if g[1] == host], above)
         z = like + np.log(prior)
         if said:
-            s = sum(g[5] for g in seen if g[3] == said)
+            s = sum((g[5] for g in seen if g[3] == said), np.zeros(n))
             usual = (s.sum() + 1) / (total.sum() + 1)
             z = z + np.log((s + usual * smoothing) / (total + smoothing))
         p = np.exp(z - z.max())
@@ -116,6 +127,17 @@ def test_evidence_decides_where_text_is_silent(spark, docs):
     assert [got[k] for k in (200, 201, 202)] == ["de", "de", "fr"]
 
 
+def test_pages_without_text_do_not_outvote_a_host(spark, docs):
+    """60 French pages and one silent page on a host: 5,000 more pages without text change nothing."""
+    model = langid.fit(labelled(docs, spark))
+    french = [(k, "h.example", WORDS["fr"], False) for k in range(60)] + [(60, "h.example", None, False)]
+    empty = [(1_000 + k, "h.example", None, False) for k in range(5_000)]
+    for rows in (french, french + empty):
+        frame = spark.createDataFrame(rows, "page_id long, host string, text string, markup boolean")
+        got = {r.page_id: (r.lang, r.probability) for r in langid.identify(frame, model, ("page_id",)).collect()}
+        assert got[60][0] == "fr" and got[60][1] > 0.9
+
+
 def test_odd_rows(spark, docs, clashing):
     model = langid.fit(labelled(docs, spark))
     rows = [(1, None, None), (1, None, None), (None, "http://a.de/", "<p>und der"), (2, "x", "der " * 50_000)]
