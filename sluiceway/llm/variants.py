@@ -13,9 +13,10 @@ ranked by how often they occur in the words, rarest first; this table has at mos
 alphabet is fixed), so it is broadcast. A word's prefix is its first ``q * tau + 1`` positional
 bigrams in that order (with every gram tied to the last); its pivots are ``tau + 1`` disjoint
 bigrams of the prefix of least total frequency, chosen by dynamic programming. If two words
-are within ``tau`` edits, one of them has a pivot that the other's prefix holds at a place at
-most ``tau`` away, and their lengths differ by at most ``tau``: pivots are joined with
-prefixes on (bigram, place, length) and every candidate is verified by a banded edit distance.
+are within ``tau`` edits and the last prefix bigram of ``a`` comes no later in the order than
+that of ``b``, a pivot of ``a`` lies in ``b``'s prefix, at the same place if their lengths are
+equal, else there or one place on: pivots are joined with prefixes on (bigram, place, length)
+under that condition, and every candidate is verified by a banded edit distance.
 No pair is lost and no group is compared with itself in full.
 
 Forms only point to words with at least ``ratio`` times the count, so chains are shorter than
@@ -101,12 +102,15 @@ def choose(grams: list[tuple[int, str, int]], q: int = Q, tau: int = TAU) -> tup
 
 
 def _signatures(freq: dict[str, int]):
+    order = {gram: rank for rank, gram in enumerate(sorted(freq, key=lambda g: (freq[g], g)))}
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = {"word": [], "role": [], "gram": [], "pos": [], "len": []}
+            out = {"word": [], "role": [], "gram": [], "pos": [], "len": [], "last": []}
             for word in batch["word"]:
                 grams = [(freq[word[i : i + Q]], word[i : i + Q], i) for i in range(len(word) - Q + 1)]
                 prefix, pivots = choose(grams)
+                last = max(order[g[1]] for g in prefix)
                 for role, chosen in ((0, pivots), (1, prefix)):
                     for _, gram, pos in chosen:
                         out["word"].append(word)
@@ -114,7 +118,8 @@ def _signatures(freq: dict[str, int]):
                         out["gram"].append(gram)
                         out["pos"].append(pos)
                         out["len"].append(len(word))
-            yield pd.DataFrame(out).astype({"role": "int32", "pos": "int32", "len": "int32"})
+                        out["last"].append(last)
+            yield pd.DataFrame(out).astype({"role": "int32", "pos": "int32", "len": "int32", "last": "int32"})
 
     return run
 
@@ -124,14 +129,18 @@ def near_pairs(words: DataFrame, run: str = "") -> DataFrame:
     grams = words.select("word", F.posexplode(F.transform(F.sequence(F.lit(0), F.length("word") - Q), lambda i: F.col("word").substr(i + 1, F.lit(Q)))))
     # at most 90 ** 2 bigrams: the alphabet bounds this table
     freq = {r["col"]: r["count"] for r in grams.groupBy("col").count().collect()}
-    schema = "word string, role int, gram string, pos int, len int"
+    schema = "word string, role int, gram string, pos int, len int, last int"
     signed = write_once(words.select("word").mapInPandas(_signatures(freq), schema), "variant-signatures", run)
-    shift = F.array(*[F.lit(d) for d in range(-TAU, TAU + 1)])
+    # Where a pivot lies in the other word: the same place if the lengths are equal; if the
+    # other is one longer (an insertion) or shorter (a deletion), there or one place on.
+    moves = F.array(*[F.struct(F.lit(dp).alias("dp"), F.lit(dl).alias("dl")) for dp, dl in ((0, 0), (0, 1), (1, 1), (0, -1), (-1, -1))])
     pivots = signed.filter("role = 0").select(
-        F.col("word").alias("a"), "gram", F.explode(F.transform(shift, lambda d: F.col("pos") + d)).alias("pos"), F.col("len").alias("len_a")
-    ).select("a", "gram", "pos", F.explode(F.transform(shift, lambda d: F.col("len_a") + d)).alias("len"))
-    prefixes = signed.filter("role = 1").select(F.col("word").alias("b"), "gram", "pos", "len")
-    candidates = pivots.join(prefixes, ["gram", "pos", "len"]).filter(F.col("a") != F.col("b"))
+        F.col("word").alias("a"), "gram", F.col("last").alias("last_a"), F.inline(F.transform(moves, lambda m: F.struct(
+            (F.col("pos") + m["dp"]).alias("pos"), (F.col("len") + m["dl"]).alias("len")))),
+    )
+    prefixes = signed.filter("role = 1").select(F.col("word").alias("b"), "gram", "pos", "len", F.col("last").alias("last_b"))
+    # The lemma's direction: a's pivot needs to be sought only where b's prefix reaches as far in the order.
+    candidates = pivots.join(prefixes, ["gram", "pos", "len"]).filter((F.col("a") != F.col("b")) & (F.col("last_a") <= F.col("last_b")))
     pairs = candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     near = pairs.filter(F.levenshtein("a", "b", TAU) == TAU)
     return near.select("a", "b").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
