@@ -15,9 +15,13 @@ bigrams in that order (with every gram tied to the last); its pivots are ``tau +
 bigrams of the prefix of least total frequency, chosen by dynamic programming. If two words
 are within ``tau`` edits and the last prefix bigram of ``a`` comes no later in the order than
 that of ``b``, a pivot of ``a`` lies in ``b``'s prefix, at the same place if their lengths are
-equal, else there or one place on: pivots are joined with prefixes on (bigram, place, length)
-under that condition, and every candidate is verified by a banded edit distance.
-No pair is lost and no group is compared with itself in full.
+equal, else there or one place on; pairs are sought from both sides, as one of the two does. Pivots are joined with prefixes on (bigram, place, rest),
+folded into one 64-bit hash: the rest is the word as it is and without each code point outside the
+bigram, as a word one edit away has one of these too (with the same place in it). Words of
+``LONG`` code points and more have many places, so for them the rest is a half of ``b``, one of
+which the edit leaves as it is, at the lemma's place by length. Every candidate is verified by a
+banded edit distance, so clashing hashes add no pair. No pair is lost and no group of a bigram
+and place is compared with itself in full.
 
 Forms only point to words with at least ``ratio`` times the count, so chains are shorter than
 log base ``ratio`` of the largest count; roots are found by pointer doubling, as many joins as
@@ -35,7 +39,7 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_once
@@ -44,6 +48,8 @@ RUN = r"[A-Za-zÀ-ÿ]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Q = 2  # bigrams
 TAU = 1  # one edit
+LONG = 32  # words up to this length are joined without a code point, those from it by halves
+LEFT, RIGHT = 0, 1  # halves of a word
 
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,47 +108,93 @@ def choose(grams: list[tuple[int, str, int]], q: int = Q, tau: int = TAU) -> tup
 
 
 def _signatures(freq: dict[str, int]):
-    order = {gram: rank for rank, gram in enumerate(sorted(freq, key=lambda g: (freq[g], g)))}
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = {"word": [], "role": [], "gram": [], "pos": [], "len": [], "last": []}
-            for word in batch["word"]:
+            out = {"id": [], "word": [], "role": [], "gram": [], "pos": [], "len": []}
+            for number, word in zip(batch["id"], batch["word"]):
                 grams = [(freq[word[i : i + Q]], word[i : i + Q], i) for i in range(len(word) - Q + 1)]
                 prefix, pivots = choose(grams)
-                last = max(order[g[1]] for g in prefix)
                 for role, chosen in ((0, pivots), (1, prefix)):
                     for _, gram, pos in chosen:
+                        out["id"].append(number)
                         out["word"].append(word)
                         out["role"].append(role)
                         out["gram"].append(gram)
                         out["pos"].append(pos)
                         out["len"].append(len(word))
-                        out["last"].append(last)
-            yield pd.DataFrame(out).astype({"role": "int32", "pos": "int32", "len": "int32", "last": "int32"})
+            yield pd.DataFrame(out).astype({"id": "int64", "role": "int32", "pos": "int32", "len": "int32"})
 
     return run
 
 
+def candidates(signed: DataFrame) -> DataFrame:
+    """(a, b), numbers of words, where a pivot of ``a`` lies in the prefix of ``b`` and the rest of both can be one edit apart."""
+    short, long_ = signed.filter(F.col("len") <= LONG), signed.filter(F.col("len") >= LONG)
+    pivots, prefixes = (_deleted(short.filter(F.col("role") == role)) for role in (0, 1))
+    sought = _with_keys(long_.filter("role = 0"), *_sought())
+    half = F.floor(F.col("len") / 2).cast("int")
+    kept = _with_keys(
+        long_.filter("role = 1"),
+        _key(F.col("pos"), F.col("len"), LEFT, F.col("word").substr(F.lit(1), half)),
+        _key(F.col("pos"), F.col("len"), RIGHT, F.col("word").substr(half + 1, F.col("len"))),
+    )
+    pivots = pivots.unionByName(sought).withColumnRenamed("id", "a")
+    prefixes = prefixes.unionByName(kept).withColumnRenamed("id", "b")
+    return pivots.join(prefixes, "key").filter(F.col("a") != F.col("b")).select("a", "b")
+
+
+def _with_keys(signed: DataFrame, *keys: Column) -> DataFrame:
+    return signed.select("id", F.explode(F.array(*keys)).alias("key")).filter(F.col("key").isNotNull())
+
+
+def _deleted(signed: DataFrame) -> DataFrame:
+    """``id``, ``key``: a bigram, its place and the word, as it is (cut -1) and without each code point outside the bigram."""
+    cut, pos, word = F.col("cut"), F.col("pos"), F.col("word")
+    rows = signed.select("id", "word", "gram", "pos", F.explode(F.sequence(F.lit(-1), F.col("len") - 1)).alias("cut"))
+    outside = rows.filter((cut < pos) | (cut >= pos + Q))
+    left = F.when(cut < 0, word).otherwise(F.concat(word.substr(F.lit(1), cut), word.substr(cut + 2, F.length(word))))
+    moved = pos - F.when((cut >= 0) & (cut < pos), 1).otherwise(0)
+    return outside.select("id", F.xxhash64("gram", moved, left).alias("key"))
+
+
+def _key(pos: Column, length: Column, side: int, half: Column) -> Column:
+    return F.xxhash64("gram", pos, length, F.lit(side), half)
+
+
+def _sought() -> list[Column]:
+    """Keys of the words one edit from ``word`` that keep its pivot and a half of their own; null where that cannot be.
+
+    The pivot lies at the same place if the lengths are equal; if the other word is one longer (an
+    insertion) or shorter (a deletion), there when the edit comes after it, else one place on.
+    """
+    keys = []
+    for longer in (0, 1, -1):
+        length = F.col("len") + longer
+        half = F.floor(length / 2).cast("int")
+        left = F.col("word").substr(F.lit(1), half)
+        right = F.col("word").substr(F.col("len") - length + half + 1, F.col("len"))
+        for moved in {0, longer}:
+            pos = F.col("pos") + moved
+            # An edit behind the left half comes before a pivot only if that lies there too; one
+            # before the right half comes after a pivot only if that ends before it.
+            in_left, in_right = F.lit(moved == 0) | (pos >= half), F.lit(moved == longer) | (pos < half - 1)
+            keys.append(F.when(in_left, _key(pos, length, LEFT, left)))
+            keys.append(F.when(in_right, _key(pos, length, RIGHT, right)))
+    return keys
+
+
 def near_pairs(words: DataFrame, run: str = "") -> DataFrame:
     """(a, b) for every ordered pair of words one edit apart."""
     grams = words.select("word", F.posexplode(F.transform(F.sequence(F.lit(0), F.length("word") - Q), lambda i: F.col("word").substr(i + 1, F.lit(Q)))))
     # at most 90 ** 2 bigrams: the alphabet bounds this table
     freq = {r["col"]: r["count"] for r in grams.groupBy("col").count().collect()}
-    schema = "word string, role int, gram string, pos int, len int, last int"
-    signed = write_once(words.select("word").mapInPandas(_signatures(freq), schema), "variant-signatures", run)
-    # Where a pivot lies in the other word: the same place if the lengths are equal; if the
-    # other is one longer (an insertion) or shorter (a deletion), there or one place on.
-    moves = F.array(*[F.struct(F.lit(dp).alias("dp"), F.lit(dl).alias("dl")) for dp, dl in ((0, 0), (0, 1), (1, 1), (0, -1), (-1, -1))])
-    pivots = signed.filter("role = 0").select(
-        F.col("word").alias("a"), "gram", F.col("last").alias("last_a"), F.inline(F.transform(moves, lambda m: F.struct(
-            (F.col("pos") + m["dp"]).alias("pos"), (F.col("len") + m["dl"]).alias("len")))),
-    )
-    prefixes = signed.filter("role = 1").select(F.col("word").alias("b"), "gram", "pos", "len", F.col("last").alias("last_b"))
-    # The lemma's direction: a's pivot needs to be sought only where b's prefix reaches as far in the order.
-    candidates = pivots.join(prefixes, ["gram", "pos", "len"]).filter((F.col("a") != F.col("b")) & (F.col("last_a") <= F.col("last_b")))
-    pairs = candidates.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    near = pairs.filter(F.levenshtein("a", "b", TAU) == TAU)
+    # Words are joined by number, however long they are.
+    numbered = write_once(words.select(F.monotonically_increasing_id().alias("id"), "word"), "variant-numbers", run)
+    schema = "id long, word string, role int, gram string, pos int, len int"
+    signed = write_once(numbered.mapInPandas(_signatures(freq), schema), "variant-signatures", run)
+    pairs = candidates(signed).select(F.least("a", "b").alias("ia"), F.greatest("a", "b").alias("ib")).distinct()
+    named = [numbered.select(F.col("id").alias(f"i{x}"), F.col("word").alias(x)) for x in "ab"]
+    near = pairs.join(named[0], "ia").join(named[1], "ib").filter(F.levenshtein("a", "b", TAU) == TAU)
     return near.select("a", "b").unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 

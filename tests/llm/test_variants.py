@@ -78,6 +78,45 @@ def test_against_brute_force(spark, docs):
     assert got(variants.variants(docs(*rows))) == plain(rows)
 
 
+def test_words_that_share_a_bigram_are_not_all_compared(spark):
+    rng = random.Random(5)
+    words = {"qx" + "".join(rng.choice("abc") for _ in range(9)) for _ in range(600)}
+    words = spark.createDataFrame([(w, 2) for w in sorted(words)], "word string, n long")
+    listed = [r.word for r in words.collect()]
+    expected = {(a, b) for a in listed for b in listed if one_edit(a, b)}
+    assert {tuple(r) for r in variants.near_pairs(words).collect()} == expected
+    joined = [0]
+    real = variants.candidates
+
+    def counted(signed):
+        found = real(signed)
+        joined[0] = found.count()
+        return found
+
+    variants.candidates = counted
+    try:
+        variants.near_pairs(words).count()
+    finally:
+        variants.candidates = real
+    # All share the bigram at their start, its place and their length: some 600 ** 2 pairs.
+    assert len(expected) <= joined[0] < len(listed) ** 2 / 20
+
+
+def test_random_words_of_every_length(spark):
+    """Insertions, deletions and replacements at every place, the middle and the ends among them."""
+    rng = random.Random(11)
+    words = set()
+    for size in [*range(7, 14)] * 4 + [variants.LONG - 1, variants.LONG, variants.LONG + 1]:
+        w = "".join(rng.choice("abcdé") for _ in range(size))
+        words.add(w)
+        for k in range(len(w) + 1):
+            words |= {w[:k] + "z" + w[k:], w[:k] + w[k + 1 :], w[:k] + "y" + w[k + 1 :]}
+    listed = sorted(w for w in words if len(w) >= 7)
+    table = spark.createDataFrame([(w, 2) for w in listed], "word string, n long")
+    expected = {(a, b) for a in listed for b in listed if one_edit(a, b)}
+    assert {tuple(r) for r in variants.near_pairs(table).collect()} == expected
+
+
 def test_chain_of_forms(spark, docs):
     rows = [(i, "abcdefghij") for i in range(1, 201)] + [(i, "abcdefghi") for i in range(201, 221)]
     rows += [(i, "abcdefgh") for i in range(221, 223)]
