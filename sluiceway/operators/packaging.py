@@ -26,7 +26,8 @@ class Placed:
     positions: DataFrame  # ref, entity, id, unique_project_key, pos, chunk, payload_id
 
     def rows(self) -> DataFrame:
-        return lookup(self.positions, self.items, {"ref": "ref"})
+        """Every position with its item, which it has one of: readers of positions alone need no join."""
+        return lookup(self.positions, self.items, {"ref": "ref"}, "left")
 
 
 def place(
@@ -54,21 +55,23 @@ def place(
     item = F.struct(*[c.alias(name) for name, c in fields.items()])
     if packable is not None:
         item = F.when(packable, item)
-    ranks = [f"__rank_{name}" for name in order]
+    # The id is kept anyway.
+    ranks = {name: name if name == "id" else f"__rank_{name}" for name in order}
+    only = [rank for name, rank in ranks.items() if name != "id"]
     rows = enriched.select(
-        F.lit(entity).alias("entity"),
         "id",
         F.col(key).alias(KEY),
         item.alias("item"),
-        *[F.col(name).alias(rank) for name, rank in zip(order, ranks)],
+        *[F.col(name).alias(rank) for name, rank in ranks.items() if name != "id"],
         F.monotonically_increasing_id().alias("ref"),
     )
     written = write_once(rows, f"items-{entity}", run_id)
-    by = [F.col(rank).asc_nulls_last() for rank in (*ranks, "ref")]
-    narrow = written.select("entity", "id", KEY, "ref", *ranks)
-    placed = with_positions(narrow, [KEY], by, run=run_id).drop(*ranks)
+    by = [F.col(rank).asc_nulls_last() for rank in (*ranks.values(), "ref")]
+    narrow = written.select("id", KEY, "ref", *only)
+    placed = with_positions(narrow, [KEY], by, run=run_id).drop(*only)
     chunk = F.floor((F.col("pos") - 1) / F.lit(max_items)).cast("bigint")
-    positions = placed.withColumn("chunk", chunk).withColumn(
+    named = placed.withColumn("entity", F.lit(entity)).withColumn("chunk", chunk)
+    positions = named.withColumn(
         "payload_id", doc_id("entity", F.lit(run_id), KEY, "chunk")
     )
     return Placed(

@@ -8,10 +8,12 @@ Every result is a DataFrame; the caller writes them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 from datetime import datetime
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -221,9 +223,18 @@ def sync_all(
     entities: dict[str, EntitySpec] | None = None,
     **options,
 ) -> FullRun:
-    """One batch of every entity in order, with totals."""
+    """One batch of every entity, delivered in order, with totals.
+
+    The entities are claimed and packaged by concurrent jobs, so that the last tasks of one
+    leave no executor idle: none reads what another writes.
+    """
     specs = ENTITIES if entities is None else entities
-    runs = {name: sync_batch(tables, spec, deliver, **options) for name, spec in specs.items()}
+    spark = next(iter(tables.values())).sparkSession
+    # Job groups, pools and tags of the caller's thread hold for the others.
+    one = inheritable_thread_target(spark)(lambda spec: dispatch(tables, spec, **options))
+    with ThreadPoolExecutor(max(1, len(specs))) as pool:
+        sent = dict(zip(specs, pool.map(one, specs.values())))
+    runs = {name: finish_run(run, deliver(run.documents)) for name, run in sent.items()}
     report = union_all(run.report for run in runs.values())
     return FullRun(runs, report, run_totals(report))
 

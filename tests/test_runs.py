@@ -1,7 +1,9 @@
 """Whole runs: claim to report, one record, several runs in a row."""
 
+import dataclasses
 import datetime as dt
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -276,6 +278,39 @@ def test_all_entities_run_in_order_with_totals(spark, world):
     assert tuple(full.totals.first()) == (3, 2)
 
 
+def test_entities_are_claimed_and_packaged_at_the_same_time(spark, world):
+    """Each entity waits for the others inside its enrichment: one after another, none would come."""
+    t = homes_world(world, [("a", "p"), ("b", "q")])
+    together = threading.Barrier(2, timeout=60)
+
+    def waiting(spec):
+        def enrich(tables, rows):
+            together.wait()
+            return spec.enrich(tables, rows)
+
+        return dataclasses.replace(spec, enrich=enrich)
+
+    specs = {name: waiting(ENTITIES[name]) for name in ("households", "farmers")}
+    asked = []
+
+    def deliver(documents):
+        asked.append(documents.columns)
+        return answering(spark, {"p": [200], "q": [500]})(documents)
+
+    full = sync_all(t, deliver, specs, **NOW)
+    assert list(full.runs) == ["households", "farmers"] and len(asked) == 2
+    assert tuple(full.totals.first()) == (2, 1)
+
+
+def test_document_ids_are_listed_without_a_join_of_their_items(spark, world):
+    t = homes_world(world, [("a", "p"), ("b", "q")])
+    sent = dispatch(t, "households", **NOW)
+    listed = sent.documents.select("payload_id", "unique_project_key")
+    plan = listed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert {tuple(r) for r in listed.collect()} == {(d.payload_id, d.unique_project_key) for d in sent.documents.collect()}
+
+
 def test_default_limits_and_failure_states():
     assert {n: s.limit for n, s in ENTITIES.items()} == {
         "project_staff_roles": 500, "farmer_groups": 500, "training_sessions": 300,
