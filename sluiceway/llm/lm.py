@@ -8,9 +8,10 @@ dealt to classes of ``WIDTH`` by frequency; all others, known or not, are one mo
 Both factors of a head token are softmaxes whose logits are the unigram's plus the weights of
 hashed features of the context: the token before, the two before together, and the tokens two and
 three before (skips). The class of the rest, which holds every other training token and one
-unknown, is a binary tree over their ranks by frequency, halved by smoothed count (c + 0.1). Each
-turn is logistic: the log ratio of the halves' counts plus hashed weights of the node with the same
-four contexts, told apart by their ranks. So every token has a path of its own, untrained weights
+unknown, is a tree of classes over their ranks by frequency: a node is split into ``WAYS`` spans of
+near equal smoothed count (c + 0.1), until each is one token. Each turn is a softmax as well, whose
+logits are the log shares of the spans plus rows of weights hashed from the node with the same four
+contexts, told apart by their ranks. So every token has a path of its own, untrained weights
 give its smoothed share of the class, and the model is a proper distribution over known tokens and one unknown.
 
 Ranks need no tokens on the driver: counts by (total, slice of the hash) give where each slice
@@ -19,12 +20,12 @@ Slots and hashed weights grow with the distinct tokens, up to ``MOST_SLOTS`` and
 ``MOST_WEIGHTS``, which is what a worker and the driver hold; beyond, contexts share weights.
 
 Passes: (1) each task turns texts into blocks, which hold codes into a block's list of
-distinct tokens, and counts training tokens per block; (2) counts are summed by a hash of the
-token and go back to the blocks that hold it, so what is shuffled is a block's distinct
-tokens, not its text; (3) training: tasks run AdaGrad over all training tokens of some
-blocks, and their weights are averaged by how often each feature was seen (parameter mixing), in
-groups of bounded size; (4) blocks are scored in batches of numpy arrays. What comes to the driver
-is the head's counts, the ladder and the weights.
+distinct tokens, and counts training tokens per block; (2) counts are summed by slice of the hash
+and go back to the blocks that hold the token, both ways as one row of packed numbers for each block and
+slice, so what is shuffled is a block's distinct tokens, not its text; (3) training: tasks run AdaGrad
+over all training tokens of some blocks, and their weights are averaged by how often each row was seen
+(parameter mixing), in groups of bounded size, as half-precision rows; (4) blocks are scored in batches
+of numpy arrays. What comes to the driver is the ladder and the weights.
 
 Tokens are told apart by 64 bits of XXH64: among ten billion distinct ones about three pairs would
 be counted together.
@@ -44,7 +45,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import write_once
@@ -55,9 +56,10 @@ HEAD, WIDTH = 480, 32  # with the rest 16 classes, so that a row of weights is 6
 CLASSES = HEAD // WIDTH
 SLOTS, MOST_SLOTS = 4096, 1 << 16  # hashed values of one template of features, at least and most
 TEMPLATES = 4
-WORD_WEIGHTS = 1 << 18
-MOST_WEIGHTS = 1 << 24  # of the rest's tree
-SLICES = 1024  # of the hashes of tokens with one count, which are ranked apart
+WORD_WEIGHTS = 1 << 20  # of the head's words, and of the rest's tree at least
+MOST_WEIGHTS = 1 << 24  # of the tree at most
+WAYS = 16  # of a turn in the rest's tree, so that a row of its weights is 64 bytes too
+SLICES = 1024  # of the hashes, which are counted and ranked apart
 REST_BATCH = 1 << 13  # positions whose paths are followed together
 SMOOTH = 0.1
 RATE = 0.25
@@ -65,8 +67,9 @@ BATCH = 1 << 15  # tokens of a gradient step
 BLOCK_CHARS = 14_000_000
 #: Tokens of a block that are looked at together, about: whole texts.
 SPAN_TOKENS = 250_000
-#: Training tokens of a task, about: its weights are mixed with those of the other tasks.
-TASK_TOKENS = 8_000_000
+#: Training tokens of a task, about: its weights are mixed with those of the other tasks. The largest model
+#: shuffles 45 MB, about half of what so many tokens are as compressed text.
+TASK_TOKENS = 16_000_000
 MIXED = 8  # models mixed in one task
 PART = 1 << 14  # weights in a row of a model
 #: Fixed value: what the end of a text is hashed as; a word has no blank.
@@ -74,8 +77,9 @@ END = b" end"
 
 _BLOCK = (
     "block long, ids array<long>, held array<boolean>, lengths array<int>, codes binary,"
-    " hashes array<long>, counts array<long>, tokens long"
+    " order binary, hashes binary, counts binary"
 )
+_RANKED = "block long, ids array<long>, held array<boolean>, lengths array<int>, codes binary, ranks binary"
 
 
 class _Block:
@@ -97,19 +101,20 @@ class _Block:
         train = ~np.repeat(np.array(self.held, dtype=bool), lengths)
         counts = np.bincount(codes[train], minlength=len(tokens))
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens)).view(np.int64)
-        lists = pa.list_(pa.int64())
+        # In order of hash, so that a slice's are together.
+        order = np.argsort(hashes)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
-                pa.array([self.ids], lists),
+                pa.array([self.ids], pa.list_(pa.int64())),
                 pa.array([self.held], pa.list_(pa.bool_())),
                 pa.array([lengths.astype(np.int32)], pa.list_(pa.int32())),
                 pa.array([in_planes(codes, "<i4")], pa.binary()),
-                pa.array([hashes], lists),
-                pa.array([counts], lists),
-                pa.array([int(train.sum())], pa.int64()),
+                pa.array([in_planes(order, "<i4")], pa.binary()),
+                pa.array([hashes[order].astype("<i8").tobytes()], pa.binary()),
+                pa.array([in_planes(counts[order], "<i8")], pa.binary()),
             ],
-            names=["block", "ids", "held", "lengths", "codes", "hashes", "counts", "tokens"],
+            names=["block", "ids", "held", "lengths", "codes", "order", "hashes", "counts"],
         )
 
 
@@ -119,7 +124,7 @@ def in_planes(values: np.ndarray, kind: str) -> bytes:
     Most are small, so the planes of the higher bytes compress to nothing when written or shuffled.
     """
     whole = values.astype(kind)
-    return whole.view(np.uint8).reshape(len(whole), -1).T.tobytes()
+    return whole.view(np.uint8).reshape(len(whole), whole.itemsize).T.tobytes()
 
 
 def from_planes(data: bytes, kind: str) -> np.ndarray:
@@ -172,22 +177,56 @@ def blocks(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
 
 
 def counted(encoded: DataFrame) -> DataFrame:
-    """``block``, ``code``, ``hash``, ``total`` (training tokens in all blocks), ``first`` (one row per token)."""
-    pairs = encoded.select("block", F.posexplode(F.arrays_zip("hashes", "counts")).alias("code", "pair"))
-    # Arithmetic shifts keep the order of hashes, so slices are runs of it. Dealt out by them, rows
-    # need no other shuffle.
-    rows = pairs.select(
-        "block", "code", F.col("pair.hashes").alias("hash"), F.col("pair.counts").alias("n"),
-        F.shiftright("pair.hashes", 64 - SLICES.bit_length() + 1).cast("int").alias("slice"),
-    ).repartition("slice")
-    own = Window.partitionBy("slice", "hash")
-    totals = rows.select(
-        "block", "code", "hash", "slice",
-        F.sum("n").over(own).alias("total"),
-        (F.row_number().over(own.orderBy("block", "code")) == 1).alias("first"),
-    )
-    # The same number in every block.
-    return totals.withColumn("within", F.dense_rank().over(Window.partitionBy("slice", "total").orderBy("hash")) - 1)
+    """``slice``, ``block``, ``totals``, ``within``: of a block's tokens of a slice, in order of hash.
+
+    ``totals``: training tokens in all blocks; ``within``: the token's place among those of its
+    slice and total, the same in every block. Rows without a block have a slice's distinct totals and
+    how many tokens have each.
+    """
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                hashes = np.frombuffer(batch["hashes"][at].as_py(), "<i8")
+                counts = from_planes(batch["counts"][at].as_py(), "<i8")
+                # Arithmetic shifts keep the order of hashes, so slices are runs of it.
+                part = hashes >> (64 - SLICES.bit_length() + 1)
+                starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+                runs = [slice(a, b) for a, b in zip(starts, np.append(starts[1:], len(part)))]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(part[starts].astype(np.int32)),
+                        pa.array(np.full(len(runs), batch["block"][at].as_py(), np.int64)),
+                        pa.array([hashes[r].tobytes() for r in runs], pa.binary()),
+                        pa.array([in_planes(counts[r], "<i8") for r in runs], pa.binary()),
+                    ],
+                    names=["slice", "block", "hashes", "counts"],
+                )
+
+    def summed(group: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(b, "<i8") for b in group["hashes"].to_pylist()]
+        counts = np.concatenate([from_planes(b, "<i8") for b in group["counts"].to_pylist()])
+        ends = np.cumsum([len(h) for h in hashes])
+        known, at = np.unique(np.concatenate(hashes), return_inverse=True)
+        totals = np.zeros(len(known), np.int64)
+        np.add.at(totals, at, counts)
+        order = np.argsort(totals, kind="stable")
+        levels, first, many = np.unique(totals[order], return_index=True, return_counts=True)
+        within = np.empty(len(known), np.int64)
+        within[order] = np.arange(len(known)) - np.repeat(first, many)
+        trained = levels > 0
+        of = [[in_planes(x[at[a:b]], "<i8") for a, b in zip(np.append(0, ends), ends)] for x in (totals, within)]
+        return pa.table(
+            {
+                "slice": pa.array([group["slice"][0].as_py()] * (len(ends) + 1), pa.int32()),
+                "block": pa.array([*group["block"].to_pylist(), None], pa.int64()),
+                "totals": pa.array([*of[0], in_planes(levels[trained], "<i8")], pa.binary()),
+                "within": pa.array([*of[1], in_planes(many[trained], "<i8")], pa.binary()),
+            }
+        )
+
+    rows = encoded.select("block", "hashes", "counts").mapInArrow(dealt, "slice int, block long, hashes binary, counts binary")
+    return rows.groupBy("slice").applyInArrow(summed, "slice int, block long, totals binary, within binary")
 
 
 class Ladder:
@@ -205,39 +244,66 @@ class Ladder:
         k = np.searchsorted(self.starts, rank, side="right") - 1
         return self.mass[k] + (rank - self.starts[k]) * self.each[k]
 
+    def cuts(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The ranks at which spans begin that nodes are split into, and the nodes' ends: n, WAYS + 1.
+
+        Spans have near equal smoothed counts and at least one token; a node of fewer tokens than
+        ``WAYS`` has a span for each, and empty ones.
+        """
+        start, end = self.upto(low)[:, None], self.upto(high)[:, None]
+        low, high, j = low[:, None], high[:, None], np.arange(1, WAYS)
+        want = start + (end - start) * (j / WAYS)
+        k = np.searchsorted(self.mass, want, side="right") - 1
+        at = self.starts[k] + np.rint((want - self.mass[k]) / self.each[k]).astype(np.int64)
+        at = np.maximum.accumulate(np.maximum(at - j, low), axis=1) + j
+        at = np.where(high - low < WAYS, np.minimum(low + j, high), np.minimum(at, high - WAYS + j))
+        return np.concatenate([low, at, high], axis=1)
+
     def paths(self, ranks: np.ndarray) -> Paths:
-        """The way to each leaf; a node is named by the rank at which it is cut, which no other has."""
-        low, high = np.zeros(len(ranks), np.int64), np.full(len(ranks), self.leaves)
-        below, above = np.zeros(len(ranks)), np.full(len(ranks), self.upto(np.array([self.leaves]))[0])
-        going, steps = np.arange(len(ranks)), []
-        going = going[high[going] - low[going] > 1]
+        """The way to each leaf; a node is named by its depth and first rank, which no other has."""
+        known, place = np.unique(ranks, return_inverse=True)
+        low, high = np.zeros(len(known), np.int64), np.full(len(known), self.leaves)
+        owners, nodes, children = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        names, biases, named = [np.zeros(0, np.uint64)], [np.zeros((0, WAYS), np.float32)], 0
+        going = np.flatnonzero(high - low > 1)
         while len(going):
-            a, b, start, end = low[going], high[going], below[going], above[going]
-            half = (start + end) / 2
-            k = np.searchsorted(self.mass, half, side="right") - 1
-            cut = np.clip(self.starts[k] + np.rint((half - self.mass[k]) / self.each[k]).astype(np.int64), a + 1, b - 1)
-            at = self.upto(cut)
-            right = ranks[going] >= cut
-            steps.append((going, cut, np.log((end - at) / (at - start)).astype(np.float32), right))
-            low[going], high[going] = np.where(right, cut, a), np.where(right, b, cut)
-            below[going], above[going] = np.where(right, at, start), np.where(right, end, at)
-            going = going[high[going] - low[going] > 1]
-        if not steps:
-            return Paths(np.zeros(len(ranks) + 1, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, bool))
-        owner, cut, bias, right = (np.concatenate(c) for c in zip(*steps))
+            # In order of rank, so a node's leaves are together.
+            begin = low[going]
+            first = np.append(True, begin[1:] != begin[:-1])
+            node, at = np.cumsum(first) - 1, going[first]
+            cuts = self.cuts(low[at], high[at])
+            mass = np.diff(self.upto(cuts), axis=1)
+            shares = np.maximum(mass, 1e-30) / mass.sum(axis=1)[:, None]
+            biases.append(np.where(mass > 0, np.log(shares), -1e9).astype(np.float32))
+            names.append((low[at] * 64 + len(names)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            child = (cuts[node, 1:-1] <= known[going][:, None]).sum(axis=1)
+            owners.append(going)
+            nodes.append(named + node)
+            children.append(child)
+            low[going], high[going] = cuts[node, child], cuts[node, child + 1]
+            going, named = going[high[going] - low[going] > 1], named + len(at)
+        owner = np.concatenate(owners)
         order = np.argsort(owner, kind="stable")
-        bounds = np.searchsorted(owner[order], np.arange(len(ranks) + 1))
-        return Paths(bounds, cut[order].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), bias[order], right[order])
+        bounds = np.searchsorted(owner[order], np.arange(len(known) + 1))
+        return Paths(
+            place, bounds, np.concatenate(nodes)[order], np.concatenate(children)[order],
+            np.concatenate(names), np.concatenate(biases),
+        )
 
 
 @dataclass(frozen=True)
 class Paths:
-    """``bounds[i]:bounds[i + 1]`` are the turns of path i: the node's hash, the log ratio of its halves, right or not."""
+    """``bounds[i]:bounds[i + 1]``, i = ``place`` of a leaf, are its turns: the node and the child taken.
+
+    A node has the hash of its name and the log shares of its children.
+    """
 
+    place: np.ndarray
     bounds: np.ndarray
     nodes: np.ndarray
-    bias: np.ndarray
-    right: np.ndarray
+    children: np.ndarray
+    names: np.ndarray
+    biases: np.ndarray
 
 
 @dataclass(frozen=True)
@@ -246,7 +312,7 @@ class Counts:
 
     tokens: int
     distinct: int
-    head: np.ndarray  # hashes, most frequent first
+    head: np.ndarray  # the tokens' names, hashes or ranks, most frequent first
     head_counts: np.ndarray
     ladder: Ladder | None = None  # without it the rest's tokens keep their shares
     #: All tokens by count and slice, in order of rank: count, slice, and the first rank.
@@ -257,12 +323,18 @@ class Counts:
         object.__setattr__(self, "_sorted", self.head[order])
         object.__setattr__(self, "_order", order)
 
-    def places(self, hashes: np.ndarray) -> np.ndarray:
-        """Each hash's place in the head, or -1."""
+    def places(self, names: np.ndarray) -> np.ndarray:
+        """Each token's place in the head, or -1."""
         if not len(self.head):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self._sorted, hashes), len(self.head) - 1)
-        return np.where(self._sorted[at] == hashes, self._order[at], -1)
+            return np.full(len(names), -1)
+        at = np.minimum(np.searchsorted(self._sorted, names), len(self.head) - 1)
+        return np.where(self._sorted[at] == names, self._order[at], -1)
+
+    def paths(self, head: np.ndarray, ranks: np.ndarray) -> Paths | None:
+        """The ways to a block's tokens of the rest; tokens of the head stand at the unknown's."""
+        if not self.ladder:
+            return None
+        return self.ladder.paths(np.where((ranks < 0) | (head >= 0), self.ladder.leaves - 1, ranks - len(self.head)))
 
     @property
     def slots(self) -> int:
@@ -313,48 +385,38 @@ class Counts:
 
 
 def count_summary(rows: DataFrame) -> Counts:
-    one = rows.where("first AND total > 0")
-    rungs = one.groupBy("total", "slice").agg(F.count("*").alias("n")).toArrow()
-    total, part, n = (rungs[c].to_numpy() for c in ("total", "slice", "n"))
+    found = rows.where("block IS NULL").select("slice", "totals", "within").toArrow()
+    total, n = (
+        np.concatenate([np.zeros(0, np.int64), *(from_planes(b, "<i8") for b in found[c].to_pylist())]) for c in ("totals", "within")
+    )
+    part = np.repeat(found["slice"].to_numpy().astype(np.int64), [len(b) // 8 for b in found["totals"].to_pylist()])
     order = np.lexsort((part, -total))
     total, part, n = total[order], part[order], n[order]
-    top = one.orderBy(F.desc("total"), "hash").limit(HEAD).select("hash", "total").collect()
+    ends = np.cumsum(n)
+    top = np.arange(min(HEAD, int(n.sum())))
     # The ladder of what the head leaves.
-    left = np.minimum(n, np.maximum(np.cumsum(n) - len(top), 0))
+    left = np.minimum(n, np.maximum(ends - len(top), 0))
     levels, at = np.unique(-total, return_inverse=True)
     many = np.bincount(at, left, len(levels)).astype(np.int64)
     return Counts(
-        int((total * n).sum()), int(n.sum()),
-        np.array([r.hash for r in top], np.int64), np.array([r.total for r in top], np.int64),
-        Ladder(-levels[many > 0], many[many > 0]), (total, part, np.cumsum(n) - n),
+        int((total * n).sum()), int(n.sum()), top, total[np.searchsorted(ends, top, side="right")],
+        Ladder(-levels[many > 0], many[many > 0]), (total, part, ends - n),
     )
 
 
 class Weights:
-    """Weights of the features, and how often each was seen in training."""
+    """Weights of the features."""
 
     def __init__(self, slots: int = SLOTS, tree: int = WORD_WEIGHTS):
         self.slots = slots
         self.classes = np.zeros((TEMPLATES * slots, CLASSES + 1), np.float32)
-        self.words = np.zeros(WORD_WEIGHTS, np.float32)
-        self.tree = np.zeros(tree, np.float32)
-        self.class_seen = np.zeros(TEMPLATES * slots, np.float32)
-        self.word_seen = np.zeros(WORD_WEIGHTS, np.float32)
-        self.tree_seen = np.zeros(tree, np.float32)
-
-    def flat(self) -> tuple[np.ndarray, np.ndarray]:
-        """All weights times how often they were seen, and that number."""
-        seen = np.concatenate([np.repeat(self.class_seen, CLASSES + 1), self.word_seen, self.tree_seen])
-        return np.concatenate([self.classes.reshape(-1), self.words, self.tree]) * seen, seen
-
-    @classmethod
-    def mixed(cls, weighted: np.ndarray, seen: np.ndarray, slots: int, tree: int) -> Weights:
-        new = cls(slots, tree)
-        flat = (weighted / np.maximum(seen, 1)).astype(np.float32)
-        new.classes = flat[: new.classes.size].reshape(new.classes.shape).copy()
-        new.words = flat[new.classes.size : -tree].copy()
-        new.tree = flat[-tree:].copy()
-        return new
+        self.words = np.zeros((WORD_WEIGHTS // WIDTH, WIDTH), np.float32)
+        self.tree = np.zeros((tree // WAYS, WAYS), np.float32)
+
+    def parts(self) -> list[np.ndarray]:
+        """All weights in order, as views of at most ``PART``."""
+        flat = (one.reshape(-1) for one in (self.classes, self.words, self.tree))
+        return [one[some] for one in flat for some in chunks(len(one), PART)]
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -392,7 +454,7 @@ class Positions:
 
     def __init__(
         self, head: np.ndarray, slots: np.ndarray, codes: np.ndarray, lengths: np.ndarray,
-        counts: Counts | None = None, ranks: np.ndarray | None = None,
+        counts: Counts | None = None, ranks: np.ndarray | None = None, paths: Paths | None = None,
     ):
         many = counts.slots if counts else SLOTS
         self.target = head[codes]
@@ -409,14 +471,8 @@ class Positions:
         pair = ((one * 2654435761 + two * 40503) >> 7) % many
         self.features = np.stack([one, many + pair, 2 * many + two, 3 * many + three]).astype(np.uint32)
         if counts and counts.ladder:
-            own = np.zeros(len(head), bool)
-            own[codes[self.target < 0]] = True
-            own = np.flatnonzero(own)
-            leaf = np.where(ranks[own] < 0, counts.ladder.leaves - 1, ranks[own] - len(counts.head))
-            self.paths = counts.ladder.paths(leaf)
-            place = np.full(len(head), -1)
-            place[own] = np.arange(len(own))
-            self.path = place[codes]
+            self.paths = paths or counts.paths(head, ranks)
+            self.path = self.paths.place[codes]
             one, two, three = (back(ranks[codes].astype(np.uint64) + np.uint64(2), k) for k in (1, 2, 3))
             odd = [np.uint64(k) for k in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xFF51AFD7ED558CCD)]
             pair = (one * odd[1] ^ two) * odd[0]
@@ -426,27 +482,29 @@ class Positions:
         return len(self.target)
 
     def turns(self, rows: np.ndarray, weights: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of all turns to the tokens at ``rows``: places of the weights, log ratio, right or not; and each row's number."""
+        """Of all turns to the tokens at ``rows``: places of the rows of weights, nodes, children; and each token's number."""
         path = self.path[rows]
         first, many = self.paths.bounds[path], np.diff(self.paths.bounds)[path]
         ends = np.cumsum(many)
         at = np.arange(many.sum()) + np.repeat(first - ends + many, many)
-        by, node = np.repeat(rows, many), self.paths.nodes[at]
-        mixed = (self.contexts[:, by] ^ node) * np.uint64(0xFF51AFD7ED558CCD)
-        places = (mixed >> np.uint64(65 - weights.bit_length())).view(np.int64)
-        return places, self.paths.bias[at], self.paths.right[at], many
+        node = self.paths.nodes[at]
+        mixed = np.repeat(self.contexts[:, rows], many, axis=1)
+        mixed ^= self.paths.names[node]
+        mixed *= np.uint64(0xFF51AFD7ED558CCD)
+        mixed >>= np.uint64(65 - weights.bit_length())
+        return mixed.view(np.int64), node, self.paths.children[at], many
 
 
-def _word_places(features: np.ndarray, members: np.ndarray) -> np.ndarray:
-    """Hashed weights of a class's words with each of the contexts: TEMPLATES, n, WIDTH."""
-    base = features.astype(np.int64) * 0x9E3779B1
-    return ((base[:, :, None] + members[None] * 0x85EBCA6B) >> 11) & (WORD_WEIGHTS - 1)
+def _word_places(features: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Hashed rows of weights of the words of ``classes`` with each of the contexts: TEMPLATES, n."""
+    mixed = (features.astype(np.uint64) * np.uint64(CLASSES) + classes.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(65 - (WORD_WEIGHTS // WIDTH).bit_length())).view(np.int64)
 
 
 class Model:
     def __init__(self, counts: Counts, weights: Weights):
         self.weights = weights
-        self.class_bias, self.word_bias = counts.class_bias(), counts.word_bias()
+        self.class_bias, self.word_bias = counts.class_bias(), counts.word_bias().reshape(CLASSES, WIDTH)
 
     def classes(self, features: np.ndarray) -> np.ndarray:
         """P(class | context), one row per position."""
@@ -457,23 +515,28 @@ class Model:
         return _softmax(logits)
 
     def words(self, features: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """P(word | its class, context) of all words of the targets' classes, and the weights' places."""
-        members = (target // WIDTH * WIDTH)[:, None] + np.arange(WIDTH)
-        places = _word_places(features, members)
-        logits = self.word_bias[members]
-        for k in range(TEMPLATES):
-            logits += self.weights.words[places[k]]
+        """P(word | its class, context) of all words of the targets' classes, and the places of the rows of weights."""
+        own = target // WIDTH
+        places = _word_places(features, own)
+        logits = np.take(self.word_bias, own, axis=0)
+        for at in places:
+            logits += np.take(self.weights.words, at, axis=0)
         return _softmax(logits), places
 
+    def turns(self, positions: Positions, places: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+        """P(child | node, context), one row per turn."""
+        logits = np.take(positions.paths.biases, nodes, axis=0)
+        for at in places:
+            logits += np.take(self.weights.tree, at, axis=0)
+        return _softmax(logits)
+
     def log_within_rest(self, positions: Positions, rows: np.ndarray) -> np.ndarray:
         """log10 P of the tokens at ``rows`` within the class of the rest."""
         out = np.empty(len(rows))
         for some in chunks(len(rows), REST_BATCH):
-            places, logit, right, many = positions.turns(rows[some], len(self.weights.tree))
-            for at in places:
-                logit += self.weights.tree[at]
-            turns = -np.logaddexp(0, np.where(right, -logit, logit).astype(np.float64)) / np.log(10)
-            sums = np.concatenate([[0.0], np.cumsum(turns)])
+            places, nodes, children, many = positions.turns(rows[some], len(self.weights.tree))
+            p = self.turns(positions, places, nodes)[np.arange(len(nodes)), children].astype(np.float64)
+            sums = np.concatenate([[0.0], np.cumsum(np.log10(np.maximum(p, 1e-30)))])
             ends = np.cumsum(many)
             out[some] = sums[ends] - sums[ends - many]
         return out
@@ -503,58 +566,62 @@ class Trainer(Model):
     """AdaGrad on batches of positions."""
 
     def __init__(self, counts: Counts):
-        super().__init__(counts, Weights(counts.slots, counts.tree_weights))
-        self.tree_squares = np.full(counts.tree_weights, 1.0, np.float32)
-        self.tree_sums = np.zeros(counts.tree_weights, np.float32)
-        self.class_squares = np.full(self.weights.classes.shape, 1.0, np.float32)
-        self.word_squares = np.full(WORD_WEIGHTS, 1.0, np.float32)
+        w = Weights(counts.slots, counts.tree_weights)
+        super().__init__(counts, w)
+        self.class_squares, self.class_seen = np.ones(len(w.classes), np.float32), np.zeros(len(w.classes), np.float32)
+        self.word_squares, self.word_seen = np.ones(len(w.words), np.float32), np.zeros(len(w.words), np.float32)
+        self.tree_squares, self.tree_seen = np.ones(len(w.tree), np.float32), np.zeros(len(w.tree), np.float32)
+        self.last = np.zeros(max(len(w.classes), len(w.words), len(w.tree)), np.int32)
 
     def step(self, features: np.ndarray, target: np.ndarray) -> None:
         n, w = len(target), self.weights
         in_head = target >= 0
         slope = self.classes(features)
         slope[np.arange(n), np.where(in_head, target // WIDTH, CLASSES)] -= 1
-        by_class = slope.T.astype(np.float64)
-        for k in range(TEMPLATES):
-            at = features[k].astype(np.intp) - k * w.slots
-            many = np.bincount(at, minlength=w.slots)
-            # Only the rows met, however many slots there are.
-            met = np.flatnonzero(many)
-            many[met], seen = np.arange(len(met)), many[met]
-            at = many[at]
-            sums = np.stack([np.bincount(at, s, len(met)) for s in by_class], axis=1).astype(np.float32)
-            rows = met + k * w.slots
-            squares = self.class_squares[rows] + sums**2
-            self.class_squares[rows] = squares
-            w.classes[rows] -= RATE * sums / np.sqrt(squares)
-            w.class_seen[rows] += seen
+        for at in features:
+            self._descend(w.classes, self.class_squares, self.class_seen, at.astype(np.intp), slope)
         if in_head.any():
             own = target[in_head]
             slope, places = self.words(features[:, in_head], own)
             slope[np.arange(len(own)), own % WIDTH] -= 1
-            flat = slope.reshape(-1).astype(np.float64)
-            sums = sum(np.bincount(p.reshape(-1), flat, WORD_WEIGHTS) for p in places).astype(np.float32)
-            self.word_squares += sums**2
-            w.words -= RATE * sums / np.sqrt(self.word_squares)
-            w.word_seen += sums != 0
+            for at in places:
+                self._descend(w.words, self.word_squares, self.word_seen, at, slope)
 
     def step_rest(self, positions: Positions, rows: np.ndarray) -> None:
-        """The same for the turns to the rest's tokens at ``rows``; weights not met are not touched."""
-        w, sums = self.weights, self.tree_sums
+        """The same for the turns to the rest's tokens at ``rows``."""
         for some in chunks(len(rows), REST_BATCH):
-            places, logit, right, _ = positions.turns(rows[some], len(w.tree))
-            old = w.tree[places]
-            logit += old.sum(axis=0)
-            slope = 1 / (1 + np.exp(-np.clip(logit, -80, 80))) - right
+            places, nodes, children, _ = positions.turns(rows[some], len(self.weights.tree))
+            slope = self.turns(positions, places, nodes)
+            slope[np.arange(len(nodes)), children] -= 1
             for at in places:
-                np.add.at(sums, at, slope)
-            # A place met several times is written the same value each time.
-            own = sums[places]
-            squares = self.tree_squares[places] + own**2
-            w.tree_seen[places] += 1
-            self.tree_squares[places] = squares
-            w.tree[places] = old - RATE * own / np.sqrt(squares)
-            sums[places] = 0
+                self._descend(self.weights.tree, self.tree_squares, self.tree_seen, at, slope)
+
+    def _descend(self, weights: np.ndarray, squares: np.ndarray, seen: np.ndarray, at: np.ndarray, slope: np.ndarray) -> None:
+        """A step of the rows ``at``, down their summed slopes; rows not met are not touched, however many there are."""
+        each, wide = np.arange(len(at), dtype=np.int32), weights.shape[1]
+        self.last[at] = each
+        met = at[self.last[at] == each]
+        self.last[met] = each[: len(met)]
+        own = self.last[at].astype(np.intp)
+        sums = np.zeros((len(met), wide), np.float32)
+        # Flat, which numpy adds up some times faster than rows.
+        np.add.at(sums.reshape(-1), ((own * wide)[:, None] + np.arange(wide)).reshape(-1), slope.reshape(-1))
+        past = squares[met] + np.einsum("ij,ij->i", sums, sums)
+        squares[met] = past
+        sums *= (RATE / np.sqrt(past))[:, None]
+        weights[met] = np.take(weights, met, axis=0) - sums
+        seen[met] += np.bincount(own, minlength=len(met))
+
+    def parts(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Number, weights, and how often each row of them was seen, of the parts that were."""
+        seen = [
+            one[some]
+            for one, wide in ((self.class_seen, CLASSES + 1), (self.word_seen, WIDTH), (self.tree_seen, WAYS))
+            for some in chunks(len(one), PART // wide)
+        ]
+        for k, (own, many) in enumerate(zip(self.weights.parts(), seen, strict=True)):
+            if many.any():
+                yield k, own, many
 
 
 def _opened(batch: pa.RecordBatch, at: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -576,65 +643,71 @@ def train(encoded: DataFrame, counts: Counts) -> Weights:
         for batch in batches:
             for at in range(batch.num_rows):
                 held, lengths, codes, ranks = _opened(batch, at)
-                head = np.where(ranks < len(counts.head), ranks, -1)
-                slots = slots_of(head, ranks, counts.slots)
+                head = counts.places(ranks)
+                slots, paths = slots_of(head, ranks, counts.slots), counts.paths(head, ranks)
                 for docs, tokens in spans(lengths):
-                    positions = Positions(head, slots, codes[tokens], lengths[docs], counts, ranks)
+                    positions = Positions(head, slots, codes[tokens], lengths[docs], counts, ranks, paths)
                     trained = np.flatnonzero(~np.repeat(held[docs], lengths[docs]))
                     for some in chunks(len(trained), BATCH):
                         rows = trained[some]
                         own.step(positions.features[:, rows], positions.target[rows])
                         own.step_rest(positions, rows[positions.target[rows] < 0])
-        weighted, seen = own.weights.flat()
         task = TaskContext.get().partitionId()
-        for k, part in enumerate(chunks(len(seen), PART)):
-            yield _model_row(task, k, weighted[part], seen[part])
+        for part in own.parts():
+            yield _model_row(task, *part)
 
-    kinds = "task long, part int, weighted binary, seen binary"
+    kinds = "task long, part int, weights binary, seen binary"
     tasks = max(1, round(total / TASK_TOKENS))
-    models = write_once(
-        encoded.select("held", "lengths", "codes", "ranks").coalesce(tasks).mapInArrow(run, kinds), "lm-weights"
-    )
+    models = encoded.select("held", "lengths", "codes", "ranks").coalesce(tasks).mapInArrow(run, kinds)
 
-    def add(group: pa.Table) -> pa.Table:
-        sums = [
-            sum(np.frombuffer(b, np.float32).astype(np.float64) for b in group[c].to_pylist()) for c in ("weighted", "seen")
-        ]
-        return pa.Table.from_batches([_model_row(group["task"][0].as_py(), group["part"][0].as_py(), *sums)])
+    def mixed(group: pa.Table) -> pa.Table:
+        weighted, seen = 0.0, 0.0
+        for own, many in zip(group["weights"].to_pylist(), group["seen"].to_pylist()):
+            many = np.frombuffer(many, np.float32).astype(np.float64)
+            weighted = weighted + np.frombuffer(own, np.float16).reshape(len(many), -1) * many[:, None]
+            seen = seen + many
+        mean = weighted / np.maximum(seen, 1)[:, None]
+        return pa.Table.from_batches([_model_row(group["task"][0].as_py(), group["part"][0].as_py(), mean, seen)])
 
     left = tasks
     while left > 1:
         # A bounded number of models in each group, however many tasks trained.
         some = models.withColumn("task", F.floor(F.col("task") / MIXED).cast("long"))
-        models = write_once(some.groupBy("task", "part").applyInArrow(add, kinds), "lm-weights")
+        models = write_once(some.groupBy("task", "part").applyInArrow(mixed, kinds), "lm-weights")
         left = -(-left // MIXED)
-    rows = sorted(models.collect(), key=lambda r: r.part)
-    weighted, seen = (np.concatenate([np.frombuffer(r[c], np.float32) for r in rows]) for c in ("weighted", "seen"))
-    return Weights.mixed(weighted, seen, counts.slots, counts.tree_weights)
+    weights = Weights(counts.slots, counts.tree_weights)
+    parts = weights.parts()
+    for row in models.select("part", "weights").collect():
+        parts[row.part][:] = np.frombuffer(row.weights, np.float16)
+    return weights
 
 
-def _model_row(task: int, part: int, weighted: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+def _model_row(task: int, part: int, weights: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array([task], pa.int64()),
             pa.array([part], pa.int32()),
-            pa.array([weighted.astype(np.float32).tobytes()], pa.binary()),
+            pa.array([weights.astype(np.float16).tobytes()], pa.binary()),
             pa.array([seen.astype(np.float32).tobytes()], pa.binary()),
         ],
-        names=["task", "part", "weighted", "seen"],
+        names=["task", "part", "weights", "seen"],
     )
 
 
-def _ranks(rows: DataFrame, counts: Counts) -> DataFrame:
-    """``block``, ``ranks``: those of a block's distinct tokens, in order of code."""
+def _ranked(encoded: DataFrame, rows: DataFrame, counts: Counts) -> DataFrame:
+    """The blocks with ``ranks``, those of their distinct tokens, in order of code."""
 
-    def gather(group: pa.Table) -> pa.Table:
-        ranks = np.zeros(group.num_rows, np.int64)
-        ranks[group["code"].to_numpy()] = counts.ranks(*(group[c].to_numpy() for c in ("total", "slice", "within")))
-        return pa.table({"block": pa.array([group["block"][0].as_py()], pa.int64()), "ranks": pa.array([in_planes(ranks, "<i8")], pa.binary())})
+    def joined(block: pa.Table, parts: pa.Table) -> pa.Table:
+        parts = parts.sort_by("slice")
+        totals, within = ([from_planes(b, "<i8") for b in parts[c].to_pylist()] for c in ("totals", "within"))
+        slices = np.repeat(parts["slice"].to_numpy().astype(np.int64), [len(t) for t in totals])
+        order = from_planes(block["order"][0].as_py(), "<i4")
+        ranks = np.empty(len(order), np.int64)
+        ranks[order] = counts.ranks(np.concatenate(totals), slices, np.concatenate(within))
+        return block.drop_columns("order").append_column("ranks", pa.array([in_planes(ranks, "<i8")], pa.binary()))
 
-    some = rows.select("block", "code", "total", "slice", "within")
-    return some.groupBy("block").applyInArrow(gather, "block long, ranks binary")
+    own = encoded.drop("hashes", "counts").groupBy("block")
+    return own.cogroup(rows.where("block IS NOT NULL").groupBy("block")).applyInArrow(joined, _RANKED)
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -651,7 +724,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     encoded = write_once(blocks(docs, held, id_col, text_col), "lm-blocks")
     rows = write_once(counted(encoded), "lm-counts")
     counts = count_summary(rows)
-    joined = write_once(encoded.drop("hashes", "counts", "tokens").join(_ranks(rows, counts), "block"), "lm-ranked")
+    joined = write_once(_ranked(encoded, rows, counts), "lm-ranked")
     weights = spark.sparkContext.broadcast(train(joined, counts))
     names = ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
@@ -661,13 +734,14 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             for at in range(batch.num_rows):
                 held, lengths, codes, ranks = _opened(batch, at)
                 totals = counts.totals(ranks)
-                head, ids = np.where(ranks < len(counts.head), ranks, -1), batch["ids"][at].values
+                head, ids = counts.places(ranks), batch["ids"][at].values
+                paths = counts.paths(head, ranks)
                 slots, known = slots_of(head, ranks, counts.slots), (totals > 0).astype(np.int64)
                 unigram, rest = counts.log_unigram(totals), counts.log_rest(totals)
                 for docs, tokens in spans(lengths):
                     own, n = codes[tokens], lengths[docs]
                     starts = np.cumsum(n) - n
-                    log_p = model.log_probability(Positions(head, slots, own, n, counts, ranks), rest[own])
+                    log_p = model.log_probability(Positions(head, slots, own, n, counts, ranks, paths), rest[own])
                     yield pa.RecordBatch.from_arrays(
                         [
                             ids.slice(docs.start, docs.stop - docs.start),

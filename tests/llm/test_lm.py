@@ -169,3 +169,72 @@ def test_contexts_tell_tokens_beyond_the_head_apart():
     every.features = np.repeat(positions.features[:, 1:2], distinct + 1, axis=1)
     every.contexts = np.repeat(positions.contexts[:, 1:2], distinct + 1, axis=1)
     assert (10 ** trainer.log_probability(every, np.zeros(distinct + 1))).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_counts_travel_as_one_row_for_each_block_and_slice(spark, docs, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_CHARS", 30_000)
+    texts = [(k, " ".join(f"w{j}" for j in range(k % 3, 4000, 1 + k % 3))) for k in range(4)]
+    encoded = lm.blocks(docs(*texts).coalesce(1), F.col("doc_id") == 3).cache()
+    rows = lm.counted(encoded).cache()
+    many = encoded.count()
+    assert many > 1 and rows.count() <= (many + 1) * lm.SLICES
+    want: Counter = Counter()
+    for k, text in texts[:3]:
+        want.update(tokens(text))
+    got = lm.count_summary(rows)
+    assert (got.tokens, got.distinct) == (sum(want.values()), len(want))
+    assert got.head_counts.tolist() == sorted(want.values(), reverse=True)[: lm.HEAD]
+    # Each token's rank gives its count, and no two tokens have one rank.
+    ranks = {}
+    for block, opened in zip(encoded.orderBy("block").collect(), lm._ranked(encoded, rows, got).orderBy("block").collect()):
+        hashes = np.empty(len(block.hashes) // 8, np.int64)
+        hashes[lm.from_planes(block.order, "<i4")] = np.frombuffer(block.hashes, "<i8")
+        ranks |= dict(zip(hashes.tolist(), lm.from_planes(opened.ranks, "<i8").tolist()))
+    own = {lm.xxhash.xxh64_intdigest(w.encode() if w else lm.END): n for w, n in want.items()}
+    known = {h % 2**64: r for h, r in ranks.items() if r >= 0}
+    assert sorted(known.values()) == list(range(len(want)))
+    places = np.array([known[h] for h in own])
+    assert got.totals(places).tolist() == list(own.values())
+
+
+def test_models_are_half_precision_rows_of_parts_that_were_met():
+    counts, own, *_ = model()
+    rows = [lm._model_row(0, *part) for part in own.parts()]
+    assert 0 < sum(r.nbytes for r in rows) < 2.5 * sum(len(w) for _, w, _ in own.parts())
+    assert len(rows) < len(own.weights.parts())
+    back = lm.Weights(counts.slots, counts.tree_weights)
+    parts = back.parts()
+    for row in rows:
+        parts[row["part"][0].as_py()][:] = np.frombuffer(row["weights"][0].as_py(), np.float16)
+    for name in ("classes", "words", "tree"):
+        assert np.allclose(getattr(back, name), getattr(own.weights, name), rtol=1e-3, atol=1e-6)
+
+
+def test_score_agrees_with_a_plain_tree():
+    """The probabilities within the rest against one softmax after another, turn by turn."""
+    rng, totals = np.random.default_rng(3), np.sort(np.random.default_rng(4).integers(1, 40, 700))[::-1]
+    levels, many = np.unique(-totals[lm.HEAD :], return_counts=True)
+    counts = lm.Counts(int(totals.sum()), len(totals), np.arange(lm.HEAD), totals[: lm.HEAD], lm.Ladder(-levels, many))
+    ranks = np.arange(len(totals))
+    head = counts.places(ranks)
+    codes = rng.integers(lm.HEAD, len(totals), 60)
+    positions = lm.Positions(head, lm.slots_of(head, ranks), codes, np.array([40, 20]), counts, ranks)
+    weights = lm.Weights(counts.slots, counts.tree_weights)
+    weights.tree[:] = rng.normal(0, 0.5, weights.tree.shape)
+    got = lm.Model(counts, weights).log_within_rest(positions, np.arange(60))
+    each = np.append(totals[lm.HEAD :], 0) + 0.1
+    for at, code in enumerate(codes):
+        low, high, depth, want = 0, len(each), 1, 0.0
+        while high - low > 1:
+            cuts = counts.ladder.cuts(np.array([low]), np.array([high]))[0]
+            assert (np.diff(cuts) >= (high - low >= lm.WAYS)).all()
+            name = (low * 64 + depth) * 0x9E3779B97F4A7C15 % 2**64
+            logits = np.array([math.log(s) if (s := each[a:b].sum()) else -80 for a, b in zip(cuts[:-1], cuts[1:])])
+            for context in positions.contexts[:, at]:
+                mixed = (int(context) ^ name) * 0xFF51AFD7ED558CCD % 2**64
+                logits += weights.tree[mixed >> (65 - len(weights.tree).bit_length())]
+            child = int(np.searchsorted(cuts[1:-1], code - lm.HEAD, side="right"))
+            live = np.diff(cuts) > 0
+            want += math.log10(math.exp(logits[child]) / np.exp(logits[live]).sum())
+            low, high, depth = int(cuts[child]), int(cuts[child + 1]), depth + 1
+        assert got[at] == pytest.approx(want, abs=1e-4)
