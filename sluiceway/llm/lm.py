@@ -68,7 +68,7 @@ BLOCK_CHARS = 14_000_000
 #: Tokens of a block that are looked at together, about: whole texts.
 SPAN_TOKENS = 250_000
 #: Training tokens of a task, about: its weights are mixed with those of the other tasks. The largest model
-#: shuffles 45 MB, about half of what so many tokens are as compressed text.
+#: shuffles 48 MB, about what so many tokens are as compressed text.
 TASK_TOKENS = 16_000_000
 MIXED = 8  # models mixed in one task
 PART = 1 << 14  # weights in a row of a model
