@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sluiceway.functions.expressions import cast_all
 from sluiceway.functions.predicates import not_deleted
+from sluiceway.operators.folding import fold, foldable, unfold
 from sluiceway.operators.joins import (
     lookup,
     narrow,
@@ -236,6 +237,10 @@ def enrich_households(t: Tables, households: DataFrame) -> DataFrame:
 
 
 def enrich_farmers(t: Tables, farmers: DataFrame) -> DataFrame:
+    """Farmers with household, group and staff; unmatched ones drop out.
+
+    The wide rows of a backlog are exchanged by both keys, so their values travel folded.
+    """
     # Joined by the same key next, which keeps what the claim reaches: no need to narrow first.
     homes = pick(
         t["households"],
@@ -246,7 +251,8 @@ def enrich_farmers(t: Tables, farmers: DataFrame) -> DataFrame:
         household_tns_id="tns_id",
         household_farm_size=F.col("farm_size").cast("string"),
     )
-    context = _group_context(t, farmers, location=True)
+    # A group's farmers are many, so their keys are combined before they are exchanged.
+    context = _group_context(t, farmers.select("farmer_group_id").distinct(), location=True)
     kept = farmers.select(
         "id",
         "sf_id",
@@ -265,9 +271,16 @@ def enrich_farmers(t: Tables, farmers: DataFrame) -> DataFrame:
         "farmer_group_id",
         UPDATED,
     )
-    housed = lookup(kept, homes, {"household_id": "hid"})
-    return lookup(
-        housed, context.withColumn("gid", F.col("group_id")), {"farmer_group_id": "gid"}
+    own = foldable(kept, keep=("household_id", "farmer_group_id"))
+    housed = lookup(fold(kept, "folded", own), homes, {"household_id": "hid"})
+    home = foldable(housed, keep=("farmer_group_id",))
+    grouped = lookup(
+        fold(housed, "folded", home),
+        context.withColumn("gid", F.col("group_id")),
+        {"farmer_group_id": "gid"},
+    )
+    return unfold(grouped, "folded", own + home).select(
+        *kept.columns, *[c for c in homes.columns if c != "hid"], *context.columns
     )
 
 
